@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 # Larger than the number of bigint values, so that time always outweighs the id.
 ID_SPAN = 20_000_000_000_000_000_000
 
+# Bits of an id that fit a long beside the microseconds of an hour.
+ID_BITS = 31
+ID_MASK = (1 << ID_BITS) - 1
+
 
 def notional(price: Column, quantity: Column, exact: bool = True) -> Column:
     """Traded value of one row.
@@ -31,13 +35,32 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def trade_order(time: Column, trade_id: Column) -> Column:
-    """One exact number ordering trades by time, then id.
+    """One exact number ordering trades by time, then id, over all times and ids.
 
-    A scalar keeps ``min_by``/``max_by`` in a hash aggregate; a struct of the two
-    would make Spark sort every row.
+    Wide decimals are slow to compare; use it on aggregated rows.
     """
     micros = F.unix_micros(time).cast("decimal(19,0)")
     span = F.lit(str(ID_SPAN)).cast("decimal(20,0)")
-    return (micros * span + F.coalesce(trade_id, F.lit(0)).cast("decimal(19,0)")).cast(
-        "decimal(38,0)"
-    )
+    return (micros * span + trade_id.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+def id_block(trade_id: Column) -> Column:
+    """The upper bits of an id; ids of one block differ in ``ID_BITS`` bits only."""
+    return F.shiftright(trade_id, ID_BITS)
+
+
+def position(time: Column, hour: Column, trade_id: Column) -> Column:
+    """A long ordering the trades of one hour and id block by time, then id.
+
+    Microseconds of an hour take 32 bits, which leaves 31 for the id.
+    """
+    offset = F.unix_micros(time) - F.unix_micros(hour)
+    return F.shiftleft(offset, ID_BITS).bitwiseOR(trade_id.bitwiseAND(F.lit(ID_MASK)))
+
+
+def position_time(hour: Column, place: Column) -> Column:
+    return F.timestamp_micros(F.unix_micros(hour) + F.shiftright(place, ID_BITS))
+
+
+def position_id(block: Column, place: Column) -> Column:
+    return F.shiftleft(block, ID_BITS).bitwiseOR(place.bitwiseAND(F.lit(ID_MASK)))

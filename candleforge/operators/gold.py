@@ -1,14 +1,14 @@
 """Gold: OHLCV candles and the summary per symbol.
 
-Candles are built in two steps, partial sums per bucket and their roll-up, so that hourly
+Candles are built in two steps, partial sums per hour and their roll-up, so that hourly
 and daily candles share one pass over the trades. All aggregates are hash-aggregated with
 map-side partials: a symbol holding most of the rows reaches the shuffle as one row per
-bucket and task.
+hour and task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candleforge.functions import clock, measures
@@ -22,96 +22,107 @@ HOURLY_KEY = ["symbol", "batch_date", "hour_bucket"]
 PRICES = ["open_price", "high_price", "low_price", "close_price"]
 
 
-def candle_partials(
-    trades: DataFrame, keys: list[str], bucket: Column | None = None, exact: bool = True
-) -> DataFrame:
-    """Aggregates per key over valid trades, with the order of the first and last trade.
+def candle_partials(trades: DataFrame, exact: bool = True) -> DataFrame:
+    """Aggregates over valid trades per symbol, day, hour and block of ids.
+
+    The first and last trade follow (time, id). Within an hour and a block of 2^31 ids
+    that order fits one long, which keeps every aggregate a hash aggregate over machine
+    words; ids are sequential, so blocks hardly add rows. ``roll_up`` merges the blocks by
+    the full order.
 
-    ``bucket`` adds a named time bucket to the keys. In exact mode price and quantity are
-    narrowed to 18 digits first: they then fit a machine word, and products keep all
-    decimals. A larger value fails the job; ``exact=False`` takes any value and rounds
-    each product to six decimals.
+    In exact mode price and quantity are narrowed to 18 digits first: they then fit a
+    machine word, and products keep all decimals. A larger value fails the job;
+    ``exact=False`` takes any value and rounds each product to six decimals.
     """
     operand = "decimal(18,8)" if exact else AMOUNT.simpleString()
-    valid = trades.filter("is_valid")
-    if bucket is not None:
-        valid = valid.withColumn("hour_bucket", bucket)
-    rows = valid.select(
-        *keys,
-        F.col("transact_time").alias("_time"),
+    hour = clock.hour_bucket(F.col("transact_time"))
+    rows = trades.filter("is_valid").select(
+        *DAILY_KEY,
+        hour.alias("hour_bucket"),
+        measures.id_block(F.col("agg_trade_id")).alias("_block"),
+        measures.position(F.col("transact_time"), hour, F.col("agg_trade_id")).alias("_position"),
         F.col("price").cast(operand).alias("_price"),
         F.col("quantity").cast(operand).alias("_quantity"),
-        measures.trade_order(F.col("transact_time"), F.col("agg_trade_id")).alias("_order"),
     )
-    candles = rows.groupBy(*keys).agg(
-        F.min("_time").alias("session_open_at"),
-        F.max("_time").alias("session_close_at"),
-        F.min_by("_price", "_order").alias("open_price"),
+    grouped = rows.groupBy(*HOURLY_KEY, "_block").agg(
+        F.min("_position").alias("_first"),
+        F.max("_position").alias("_last"),
+        F.min_by("_price", "_position").alias("open_price"),
         F.max("_price").alias("high_price"),
         F.min("_price").alias("low_price"),
-        F.max_by("_price", "_order").alias("close_price"),
+        F.max_by("_price", "_position").alias("close_price"),
         F.sum("_quantity").alias("volume"),
         F.sum(measures.notional(F.col("_price"), F.col("_quantity"), exact)).alias("notional"),
         F.count("*").alias("trade_count"),
-        F.min("_order").alias("open_order"),
-        F.max("_order").alias("close_order"),
     )
-    amounts = {name: F.col(name).cast(AMOUNT) for name in [*PRICES, "volume"]}
-    return candles.withColumns(amounts)
+    opened, closed = (
+        (
+            measures.position_time(F.col("hour_bucket"), F.col(end)),
+            measures.position_id(F.col("_block"), F.col(end)),
+        )
+        for end in ("_first", "_last")
+    )
+    return grouped.select(
+        *HOURLY_KEY,
+        opened[0].alias("session_open_at"),
+        closed[0].alias("session_close_at"),
+        measures.trade_order(*opened).alias("open_order"),
+        measures.trade_order(*closed).alias("close_order"),
+        *[F.col(name).cast(AMOUNT).alias(name) for name in [*PRICES, "volume"]],
+        F.col("notional").cast(NOTIONAL).alias("notional"),
+        "trade_count",
+    )
 
 
 def roll_up(partials: DataFrame, keys: list[str]) -> DataFrame:
     """Merge partials into coarser ones; the same numbers as from the trades themselves."""
-    notional_type = partials.schema["notional"].dataType
-    return (
-        partials.groupBy(*keys)
-        .agg(
-            F.min("session_open_at").alias("session_open_at"),
-            F.max("session_close_at").alias("session_close_at"),
-            F.min_by("open_price", "open_order").alias("open_price"),
-            F.max("high_price").alias("high_price"),
-            F.min("low_price").alias("low_price"),
-            F.max_by("close_price", "close_order").alias("close_price"),
-            F.sum("volume").alias("volume"),
-            F.sum("notional").alias("notional"),
-            F.sum("trade_count").alias("trade_count"),
-            F.min("open_order").alias("open_order"),
-            F.max("close_order").alias("close_order"),
-        )
-        .withColumns(
-            {"volume": F.col("volume").cast(AMOUNT), "notional": F.col("notional").cast(notional_type)}
-        )
+    merged = partials.groupBy(*keys).agg(
+        F.min("session_open_at").alias("session_open_at"),
+        F.max("session_close_at").alias("session_close_at"),
+        F.min("open_order").alias("open_order"),
+        F.max("close_order").alias("close_order"),
+        F.min_by("open_price", "open_order").alias("open_price"),
+        F.max("high_price").alias("high_price"),
+        F.min("low_price").alias("low_price"),
+        F.max_by("close_price", "close_order").alias("close_price"),
+        F.sum("volume").alias("volume"),
+        F.sum("notional").alias("notional"),
+        F.sum("trade_count").alias("trade_count"),
+    )
+    return merged.withColumns(
+        {"volume": F.col("volume").cast(AMOUNT), "notional": F.col("notional").cast(NOTIONAL)}
     )
 
 
-def finished(partials: DataFrame, keys: list[str], sessions: bool) -> DataFrame:
-    """Candles as published: vwap added, internal order dropped, declared types."""
+def finished(merged: DataFrame, keys: list[str], sessions: bool) -> DataFrame:
+    """Candles as published: vwap added, internal order dropped."""
     session = ["session_open_at", "session_close_at"] if sessions else []
-    return partials.select(
-        *keys,
-        *session,
-        *PRICES,
-        "volume",
-        F.col("notional").cast(NOTIONAL).alias("notional"),
-        measures.ratio(F.col("notional"), F.col("volume")).cast(VWAP).alias("vwap"),
-        "trade_count",
+    vwap = measures.ratio(F.col("notional"), F.col("volume")).cast(VWAP)
+    return merged.select(
+        *keys, *session, *PRICES, "volume", "notional", vwap.alias("vwap"), "trade_count"
     )
 
 
-def hourly_partials(trades: DataFrame, exact: bool = True) -> DataFrame:
-    return candle_partials(trades, HOURLY_KEY, clock.hour_bucket(F.col("transact_time")), exact)
+def hourly_candles(partials: DataFrame) -> DataFrame:
+    return finished(roll_up(partials, HOURLY_KEY), HOURLY_KEY, sessions=False)
+
+
+def daily_candles(partials: DataFrame) -> DataFrame:
+    return finished(roll_up(partials, DAILY_KEY), DAILY_KEY, sessions=True)
 
 
 def ohlcv_hourly(trades: DataFrame, exact: bool = True) -> DataFrame:
-    return finished(hourly_partials(trades, exact), HOURLY_KEY, sessions=False)
+    return hourly_candles(candle_partials(trades, exact))
 
 
 def ohlcv_daily(trades: DataFrame, exact: bool = True) -> DataFrame:
-    return finished(candle_partials(trades, DAILY_KEY, exact=exact), DAILY_KEY, sessions=True)
+    return daily_candles(candle_partials(trades, exact))
 
 
-def daily_from_hourly(partials: DataFrame) -> DataFrame:
-    return finished(roll_up(partials, DAILY_KEY), DAILY_KEY, sessions=True)
+def daily_from_hourly(trades: DataFrame, exact: bool = True) -> DataFrame:
+    """Daily candles by way of merged hourly ones."""
+    hourly = roll_up(candle_partials(trades, exact), HOURLY_KEY)
+    return daily_candles(hourly)
 
 
 def symbol_summary(daily: DataFrame) -> DataFrame:
@@ -148,7 +159,7 @@ def rebuild(
     trades: DataFrame, hourly_target: str, daily_target: str, run_id: str, exact: bool = True
 ) -> None:
     """Write both candle tables anew from all trades, with one pass over them."""
-    partials = hourly_partials(trades, exact).persist()
+    partials = candle_partials(trades, exact).persist()
     try:
         tables.rebuild(_hourly_rows(partials, run_id), hourly_target, DAILY_KEY)
         tables.rebuild(_daily_rows(partials, run_id), daily_target, ["symbol"])
@@ -170,7 +181,7 @@ def refresh(
     A touched day without a valid trade left loses its candles, as in a full rebuild.
     """
     trades = tables.in_partitions(silver.read(spark, silver_target), partitions, DAILY_KEY)
-    partials = hourly_partials(trades, exact).persist()
+    partials = candle_partials(trades, exact).persist()
     try:
         tables.replace_partitions(_hourly_rows(partials, run_id), hourly_target, DAILY_KEY)
         emptied = tables.without_keys(partitions, partials, DAILY_KEY)
@@ -197,12 +208,11 @@ def refresh(
 
 
 def _hourly_rows(partials: DataFrame, run_id: str) -> DataFrame:
-    candles = finished(partials, HOURLY_KEY, sessions=False)
-    return with_audit(candles, run_id).select(*GOLD_HOURLY.names)
+    return with_audit(hourly_candles(partials), run_id).select(*GOLD_HOURLY.names)
 
 
 def _daily_rows(partials: DataFrame, run_id: str) -> DataFrame:
-    return with_audit(daily_from_hourly(partials), run_id).select(*GOLD_DAILY.names)
+    return with_audit(daily_candles(partials), run_id).select(*GOLD_DAILY.names)
 
 
 def register_summary_view(

@@ -290,10 +290,7 @@ ORACLES: dict[str, str] = {
     "ohlcv_hourly": f"WITH {TRADES}, {HOURLY} {SELECT_HOURLY}",
     "ohlcv_daily": f"WITH {TRADES}, {DAILY} {SELECT_DAILY}",
     "ohlcv_daily_from_hourly": f"WITH {TRADES}, {DAILY} {SELECT_DAILY}",
-    "ohlcv_daily_rounded_products": (
-        f"WITH {TRADES}, {DAILY} "
-        + SELECT_DAILY.replace(_vwap("notional", "volume"), _vwap("notional", "volume", 6))
-    ),
+    "ohlcv_daily_rounded_products": f"WITH {TRADES}, {DAILY} {SELECT_DAILY}",
     "symbol_summary": SUMMARY,
     "symbol_overview": f"{SUMMARY} ORDER BY total_notional DESC",
     "daily_volume_trend": (

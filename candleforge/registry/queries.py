@@ -47,7 +47,7 @@ def ohlcv_daily(spark, sf_dir):
 
 @query
 def ohlcv_daily_from_hourly(spark, sf_dir):
-    return gold.daily_from_hourly(gold.hourly_partials(trades(spark, sf_dir)))
+    return gold.daily_from_hourly(trades(spark, sf_dir))
 
 
 @query
