@@ -23,12 +23,14 @@ def with_audit(parsed: DataFrame, run_id: str, ingested_at: dt.datetime | None =
     )
 
 
-def write(bronze: DataFrame, target: str) -> None:
+def write(bronze: DataFrame, target: str, from_files: bool = False) -> None:
     """Replace the (symbol, batch_date) partitions present in ``bronze``.
 
     Landing a day again therefore never doubles it. Partition values live in the path.
+    Rows parsed ``from_files`` already sit together, file by file, and are written by the
+    tasks that parsed them, without a shuffle.
     """
-    tables.replace_partitions(align(bronze, BRONZE), target, PARTITION)
+    tables.replace_partitions(align(bronze, BRONZE), target, PARTITION, rebalance=not from_files)
 
 
 def read(spark: SparkSession, target: str, batch_date=None) -> DataFrame:

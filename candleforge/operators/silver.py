@@ -12,20 +12,22 @@ from candleforge.sources import tables
 
 def typed(bronze: DataFrame, epoch_unit: str = "auto") -> DataFrame:
     """Text columns to their types; what does not parse is null."""
-    epoch = parsing.to_id(F.col("transact_time"))
     casts = {
         "agg_trade_id": parsing.to_id(F.col("agg_trade_id")),
         "price": parsing.to_amount(F.col("price")),
         "quantity": parsing.to_amount(F.col("quantity")),
         "first_trade_id": parsing.to_id(F.col("first_trade_id")),
         "last_trade_id": parsing.to_id(F.col("last_trade_id")),
-        "transact_time": parsing.epoch_to_timestamp(epoch, epoch_unit),
+        "transact_time": parsing.to_id(F.col("transact_time")),
         "is_buyer_maker": parsing.to_flag(F.col("is_buyer_maker")),
         "is_best_match": parsing.to_flag(F.col("is_best_match")),
     }
     if "_ingested_at" in bronze.columns:
         casts["_ingested_at"] = parsing.to_instant(F.col("_ingested_at"))
-    return bronze.withColumns(casts)
+    # The epoch is parsed in a step of its own, as its number is used several times.
+    return bronze.withColumns(casts).withColumn(
+        "transact_time", parsing.epoch_to_timestamp(F.col("transact_time"), epoch_unit)
+    )
 
 
 def validity() -> Column:
@@ -63,14 +65,28 @@ def with_audit(trades: DataFrame, run_id: str) -> DataFrame:
     )
 
 
-def from_bronze(bronze: DataFrame, run_id: str, epoch_unit: str = "auto") -> DataFrame:
-    """Bronze rows to silver rows.
+def from_bronze(
+    bronze: DataFrame, run_id: str, epoch_unit: str = "auto", repeats: Column | None = None
+) -> DataFrame:
+    """Bronze rows to silver rows, one per trade key.
 
-    Flags and audit values follow from the row, so they are added after the shuffle.
+    ``repeats`` may give the partitions known to hold a key twice (``repeated_in``); the
+    others then pass without a shuffle. Flags and audit values follow from the row, so
+    they are added last.
     """
-    latest = dedup_latest(
-        typed(bronze, epoch_unit), TRADE_KEY, ["_ingested_at", "_pipeline_run_id"]
-    )
+    rows = typed(bronze, epoch_unit)
+    # The id leads the sort: it decides nearly every comparison.
+    keys = sorted(TRADE_KEY, key=lambda name: name != "agg_trade_id")
+    newest_first = ["_ingested_at", "_pipeline_run_id"]
+    if repeats is None:
+        latest = dedup_latest(rows, keys, newest_first)
+    elif repeats is tables.NO_PARTITION:
+        latest = rows
+    else:
+        has_repeats = F.coalesce(repeats, F.lit(False))
+        latest = rows.filter(~has_repeats).unionByName(
+            dedup_latest(rows.filter(has_repeats), keys, newest_first)
+        )
     return with_audit(with_validity(latest), run_id).select(*SILVER.names)
 
 
@@ -81,6 +97,16 @@ def keys_of(bronze: DataFrame) -> DataFrame:
     )
 
 
+def repeated_in(bronze: DataFrame) -> Column | object | None:
+    """Filter for the partitions where some trade key occurs twice; None if too many.
+
+    Files normally hold no repeats. Finding that out takes one narrow count by key, with
+    map-side partials, and saves the wide sort and shuffle of every row.
+    """
+    counts = keys_of(bronze).groupBy(*TRADE_KEY).count()
+    return tables.partition_filter(counts.filter(F.col("count") > 1), PARTITION)
+
+
 def upsert(
     spark: SparkSession,
     target: str,
@@ -93,17 +119,19 @@ def upsert(
     """Type, check and deduplicate ``bronze`` and upsert it by trade key.
 
     Repeating the call leaves the same trades. ``partitions`` lists the touched
-    (symbol, batch_date), by default the ones in ``bronze``.
+    (symbol, batch_date), by default the ones in ``bronze``. A new day without repeats is
+    one map-only pass from bronze files to silver files.
     """
     tables.upsert(
         spark,
         target,
-        from_bronze(bronze, run_id, epoch_unit),
+        from_bronze(bronze, run_id, epoch_unit, repeated_in(bronze)),
         TRADE_KEY,
         PARTITION,
         partitions=bronze.select(*PARTITION) if partitions is None else partitions,
         source_keys=keys_of(bronze),
         check_keys=False,
+        grouped=True,
         observe=observe,
     )
 

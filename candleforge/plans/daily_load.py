@@ -13,7 +13,6 @@ from candleforge.operators import bronze, gold, quality, runlog, silver
 from candleforge.schema import PARTITION
 from candleforge.sources import landing, manifest, tables
 
-# Outcomes as text.
 CHANGE_TO_LOAD = [manifest.NEW, manifest.CHANGED]
 
 
@@ -158,7 +157,7 @@ def _load_bronze(files: DataFrame, lake: Lake, run_id: str, started: dt.datetime
         rows_in=F.count("*"), bad_files=F.count_if(F.col(landing.PARSE_ERROR).isNotNull())
     )
     rows = landing.readable(metrics.attach(parsed))
-    bronze.write(bronze.with_audit(rows, run_id, started), lake.bronze)
+    bronze.write(bronze.with_audit(rows, run_id, started), lake.bronze, from_files=True)
     counted = metrics.values()
     if counted["bad_files"]:
         quality.write_quarantine(landing.unreadable(parsed), lake.bad_files, run_id)

@@ -21,6 +21,10 @@ from candleforge.session import session_conf
 MAX_LISTED_PARTITIONS = 4096
 
 
+# The filter of an empty list of partitions.
+NO_PARTITION = object()
+
+
 class DuplicateKeys(ValueError):
     """An upsert source holds two rows for one key."""
 
@@ -85,16 +89,14 @@ def replace_partitions(
     spark = df.sparkSession
     if rebalance:
         df = laid_out(df, partition_by)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if is_path(target):
-        writer.partitionBy(*partition_by).parquet(target)
-    elif spark.catalog.tableExists(target):
-        columns = spark.table(target).columns
-        with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
-            df.select(*columns).write.insertInto(target, overwrite=True)
-        spark.catalog.refreshTable(target)
-    else:
-        df.write.format("parquet").partitionBy(*partition_by).saveAsTable(target)
+    with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
+        if is_path(target):
+            df.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+        elif spark.catalog.tableExists(target):
+            df.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+            spark.catalog.refreshTable(target)
+        else:
+            df.write.format("parquet").partitionBy(*partition_by).saveAsTable(target)
 
 
 def rebuild(df: DataFrame, target: str, partition_by: list[str]) -> None:
@@ -130,16 +132,17 @@ def drop_partitions(spark: SparkSession, target: str, listed: list[dict]) -> Non
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def partition_filter(partitions: DataFrame, columns: list[str]) -> Column | None:
+def partition_filter(partitions: DataFrame, columns: list[str]) -> Column | object | None:
     """A literal filter for the listed partitions, or None when there are too many.
 
+    For an empty list it is ``NO_PARTITION``, which callers may test for by identity.
     At most ``MAX_LISTED_PARTITIONS + 1`` rows reach the driver.
     """
     listed = partitions.select(*columns).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
     if len(listed) > MAX_LISTED_PARTITIONS:
         return None
     if not listed:
-        return F.lit(False)
+        return NO_PARTITION
     types = {f.name: f.dataType for f in partitions.schema}
     filled = [row for row in listed if None not in row]
     tests = []
@@ -163,6 +166,8 @@ def in_partitions(df: DataFrame, partitions: DataFrame, columns: list[str]) -> D
     limit a semi join does the same work without a driver-side list.
     """
     chosen = partition_filter(partitions, columns)
+    if chosen is NO_PARTITION:
+        return df.limit(0)
     if chosen is not None:
         return df.filter(chosen)
     listed = partitions.select(*[F.col(c).alias(f"_p_{c}") for c in columns]).distinct()
@@ -202,24 +207,43 @@ def upsert(
     partitions: DataFrame | None = None,
     source_keys: DataFrame | None = None,
     check_keys: bool = True,
+    grouped: bool = False,
     observe=None,
 ) -> None:
     """Upsert ``source`` into ``target`` by ``keys``, creating the table if absent.
 
-    Only partitions the source touches are read and rewritten. ``partitions`` may name
-    them from a cheaper plan. Pass ``check_keys=False`` for a source that is unique by
-    construction. ``observe`` maps the final rows to the rows to write, in the writing
-    stage.
+    Only partitions the source touches are read and rewritten, and only those the target
+    already holds are matched. ``partitions`` may name the touched ones from a cheaper
+    plan. Pass ``check_keys=False`` for a source that is unique by construction, and
+    ``grouped=True`` for one whose input files hold few partitions each: partitions new
+    to the target are then written without a shuffle. ``observe`` maps the final rows to
+    the rows to write, in the writing stage.
     """
     if check_keys:
         reject_duplicate_keys(source, keys)
-    result = source
+    fresh, matched = source, None
     if exists(spark, target):
         touched = partitions if partitions is not None else source
         stored = read_evolved(spark, target, source.schema)
         current = in_partitions(stored, touched, partition_by)
-        result = merged(current, source, keys, source_keys)
-    result = laid_out(result, partition_by)
+        held = partition_filter(current, partition_by)
+        incoming = source_keys if source_keys is not None else source.select(*keys)
+        if held is None:  # too many to list: match everything
+            fresh, matched = None, merged(current, source, keys, incoming)
+        elif held is not NO_PARTITION:
+            is_held = F.coalesce(held, F.lit(False))
+            fresh = source.filter(~is_held)
+            matched = merged(current, source.filter(is_held), keys, incoming.filter(is_held))
+    parts = []
+    if fresh is not None:
+        parts.append(fresh if grouped else laid_out(fresh, partition_by))
+    if matched is not None:
+        parts.append(laid_out(matched, partition_by))
+    result = union_all(parts)
     if observe is not None:
         result = observe(result)
     replace_partitions(result, target, partition_by, rebalance=False)
+
+
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
