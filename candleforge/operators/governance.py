@@ -29,8 +29,11 @@ def get_properties(spark: SparkSession, table: str) -> dict[str, str]:
 
 
 def set_comments(spark: SparkSession, table: str, schema: T.StructType) -> None:
-    """Copy the column comments of ``schema`` onto the catalog table."""
-    present = set(spark.table(table).columns)
+    """Copy the column comments of ``schema`` onto the catalog table.
+
+    Spark fixes partition columns when the table is created, so those are left out.
+    """
+    present = {c.name for c in spark.catalog.listColumns(table) if not c.isPartition}
     for field in schema:
         if field.name in present and "comment" in field.metadata:
             comment = _quoted(field.metadata["comment"])

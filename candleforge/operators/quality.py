@@ -8,7 +8,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from candleforge.functions import measures, parsing
 from candleforge.schema import PARTITION, SILVER, schema_differences
@@ -20,8 +19,8 @@ ROW_FLOOR_PCT = 80.0
 EARLIEST_DAY = dt.date(2017, 8, 17)
 
 # Patterns of the row contracts.
-SYMBOL_PATTERN = r"^[A-Z0-9]+$"
-DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
+SYMBOL_PATTERN = r"^[A-Z0-9]+\z"
+DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}\z"
 SHA256_LENGTH = 64
 
 
@@ -52,7 +51,8 @@ def unique(df: DataFrame, column: str) -> DataFrame:
 
 def unique_combination(df: DataFrame, columns: list[str]) -> DataFrame:
     """Key combinations occurring more than once, with their count ``n``."""
-    return df.groupBy(*columns).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    counts = df.groupBy(*columns).agg(F.count("*").alias("_repeats"))
+    return counts.filter(F.col("_repeats") > 1).withColumnRenamed("_repeats", "n")
 
 
 # Suites.
