@@ -143,10 +143,25 @@ def run_suite(frames: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
 # Row contracts.
 
 
-def _violations(rules: dict[str, Column]) -> Column:
-    """Names of the broken rules; a rule that is null counts as broken."""
-    broken = [F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()]
-    return F.array_compact(F.array(*broken))
+def _broken(rules: dict[str, Column]) -> dict[str, Column]:
+    """Per rule, whether a row breaks it; a rule that is null counts as broken."""
+    return {name: ~F.coalesce(ok, F.lit(False)) for name, ok in rules.items()}
+
+
+def _any(conditions: dict[str, Column]) -> Column:
+    return reduce(Column.__or__, conditions.values())
+
+
+def _names(conditions: dict[str, Column]) -> Column:
+    """Names of the conditions that hold, in declared order."""
+    listed = [F.when(holds, F.lit(name)) for name, holds in conditions.items()]
+    return F.array_compact(F.array(*listed))
+
+
+def violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """Rows breaking a rule, with ``violations``; names are listed for those rows only."""
+    broken = _broken(rules)
+    return df.filter(_any(broken)).withColumn("violations", _names(broken))
 
 
 def bronze_rules() -> dict[str, Column]:
@@ -163,8 +178,7 @@ def bronze_rules() -> dict[str, Column]:
 
 def bronze_violations(bronze: DataFrame) -> DataFrame:
     """Rows breaking the bronze contract, with ``violations`` (rule names, fixed order)."""
-    flagged = bronze.withColumn("violations", _violations(bronze_rules()))
-    return flagged.filter(F.size("violations") > 0)
+    return violations(bronze, bronze_rules())
 
 
 def silver_rules() -> dict[str, Column]:
@@ -175,8 +189,7 @@ def silver_rules() -> dict[str, Column]:
 
 def silver_violations(silver: DataFrame) -> DataFrame:
     """Rows breaking the silver contract; the types are a matter of the schema."""
-    flagged = silver.withColumn("violations", _violations(silver_rules()))
-    return flagged.filter(F.size("violations") > 0)
+    return violations(silver, silver_rules())
 
 
 def silver_type_violations(silver: DataFrame) -> list[str]:
@@ -234,8 +247,8 @@ def temporal_violations(silver: DataFrame, earliest: dt.date = EARLIEST_DAY) ->
 # Quarantine.
 
 
-def malformed_cells(bronze: DataFrame) -> DataFrame:
-    """Add ``malformed``: names of text cells that are present but do not parse."""
+def malformed_cells() -> dict[str, Column]:
+    """Per text column, whether the cell is present but does not parse."""
     parsers = {
         "agg_trade_id": parsing.to_id,
         "price": parsing.to_amount,
@@ -244,11 +257,10 @@ def malformed_cells(bronze: DataFrame) -> DataFrame:
         "last_trade_id": parsing.to_id,
         "transact_time": parsing.to_id,
     }
-    unparsed = [
-        F.when(F.col(name).isNotNull() & parse(F.col(name)).isNull(), F.lit(name))
+    return {
+        name: F.col(name).isNotNull() & parse(F.col(name)).isNull()
         for name, parse in parsers.items()
-    ]
-    return bronze.withColumn("malformed", F.array_compact(F.array(*unparsed)))
+    }
 
 
 def quarantine(bronze: DataFrame) -> DataFrame:
@@ -256,8 +268,9 @@ def quarantine(bronze: DataFrame) -> DataFrame:
 
     The rows themselves stay in bronze and reach silver as invalid.
     """
-    checked = malformed_cells(bronze.withColumn("violations", _violations(bronze_rules())))
-    return checked.filter((F.size("violations") > 0) | (F.size("malformed") > 0))
+    broken, malformed = _broken(bronze_rules()), malformed_cells()
+    bad = bronze.filter(_any(broken) | _any(malformed))
+    return bad.withColumns({"violations": _names(broken), "malformed": _names(malformed)})
 
 
 def write_quarantine(bad: DataFrame, target: str, run_id: str) -> None:

@@ -83,9 +83,8 @@ def from_bronze(
     elif repeats is tables.NO_PARTITION:
         latest = rows
     else:
-        has_repeats = F.coalesce(repeats, F.lit(False))
-        latest = rows.filter(~has_repeats).unionByName(
-            dedup_latest(rows.filter(has_repeats), keys, newest_first)
+        latest = rows.filter(~repeats).unionByName(
+            dedup_latest(rows.filter(repeats), keys, newest_first)
         )
     return with_audit(with_validity(latest), run_id).select(*SILVER.names)
 

@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,17 +27,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k")
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` with ``k`` read from props, once per row.
+
+    As a generated column it is not copied into every filter and projection that uses it.
+    """
+    k = F.get_json_object("props", "$.k").cast("int")
+    return table(spark, sf_dir, "events").withColumn("k", F.explode(F.array(k)))
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as typed trades: symbol = type, price = value, quantity = k in props."""
-    events = table(spark, sf_dir, "events")
-    typed = events.select(
+    typed = _events(spark, sf_dir).select(
         F.col("event_id").alias("agg_trade_id"),
         F.col("value").cast("decimal(38,8)").alias("price"),
-        _k().cast("decimal(38,8)").alias("quantity"),
+        F.col("k").cast("decimal(38,8)").alias("quantity"),
         F.col("event_id").alias("first_trade_id"),
         F.col("event_id").alias("last_trade_id"),
         F.col("ts").cast("timestamp").alias("transact_time"),
@@ -56,7 +60,7 @@ def trades_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     Times are milliseconds for two symbols and microseconds for the others. The value k
     decides the fault of a row: an unreadable number, an empty or a missing cell.
     """
-    events = table(spark, sf_dir, "events").withColumn("k", _k().cast("int"))
+    events = _events(spark, sf_dir)
     symbol = F.upper("event_type")
     time = F.col("ts").cast("timestamp")
     name = F.concat(symbol, F.lit("-aggTrades-"), F.to_date("ts").cast("string"), F.lit(".zip"))

@@ -21,9 +21,9 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from candleforge.schema import PARTITION, TRADE_FILE_COLUMNS
+from candleforge.sources import storage
 from candleforge.sources.tables import in_partitions
 
 # Send the decoder itself to the tasks: executors need not have this package installed.
@@ -89,11 +89,9 @@ def _open(spark: SparkSession, root: str, batch_dates: list[dt.date] | None) ->
     )
     if batch_dates:
         days = ",".join(str(day) for day in batch_dates)
-        try:
-            return reader.load(f"{root.rstrip('/')}/symbol=*/batch_date={{{days}}}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        of_these_days = f"{root.rstrip('/')}/symbol=*/batch_date={{{days}}}"
+        if storage.matches(spark, of_these_days):
+            return reader.load(of_these_days)
     return reader.load(root)
 
 

@@ -13,9 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from candleforge.session import session_conf
+from candleforge.sources import storage
 
 # Above this many partitions a filter by literals gives way to a join.
 MAX_LISTED_PARTITIONS = 4096
@@ -36,13 +36,7 @@ def is_path(target: str) -> bool:
 def exists(spark: SparkSession, target: str) -> bool:
     if not is_path(target):
         return spark.catalog.tableExists(target)
-    try:
-        spark.read.format("parquet").load(target).schema
-        return True
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
+    return storage.has_data(spark, target)
 
 
 def read(
@@ -126,37 +120,31 @@ def drop_partitions(spark: SparkSession, target: str, listed: list[dict]) -> Non
             spec = ", ".join(f"`{c}` = '{value}'" for c, value in values.items())
             spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({spec})")
             continue
-        jvm = spark.sparkContext._jvm
         folder = "/".join(f"{c}={value}" for c, value in values.items())
-        path = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/{folder}")
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        storage.delete(spark, f"{target.rstrip('/')}/{folder}")
 
 
 def partition_filter(partitions: DataFrame, columns: list[str]) -> Column | object | None:
     """A literal filter for the listed partitions, or None when there are too many.
 
-    For an empty list it is ``NO_PARTITION``, which callers may test for by identity.
-    At most ``MAX_LISTED_PARTITIONS + 1`` rows reach the driver.
+    For an empty list it is ``NO_PARTITION``, which callers may test for by identity. At
+    most ``MAX_LISTED_PARTITIONS + 1`` values reach the driver. Values are compared as
+    text, nulls included, so the filter is never null.
     """
-    listed = partitions.select(*columns).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
+    types = {f.name: f.dataType.simpleString() for f in partitions.schema}
+    # char(0) stands for null and char(1) separates: neither occurs in a folder name.
+    texts = [f"coalesce(cast(cast(`{c}` as {types[c]}) as string), char(0))" for c in columns]
+    value = f"concat_ws(char(1), {', '.join(texts)})"
+    listed = partitions.select(F.expr(value)).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
     if len(listed) > MAX_LISTED_PARTITIONS:
         return None
     if not listed:
         return NO_PARTITION
-    types = {f.name: f.dataType for f in partitions.schema}
-    filled = [row for row in listed if None not in row]
-    tests = []
-    if filled:
-        literals = [
-            F.struct(*[F.lit(value).cast(types[c]) for c, value in zip(columns, row)])
-            for row in filled
-        ]
-        tests.append(F.struct(*columns).isin(literals))
-    for row in listed:
-        if None in row:
-            same = [F.col(c).eqNullSafe(F.lit(v).cast(types[c])) for c, v in zip(columns, row)]
-            tests.append(reduce(Column.__and__, same))
-    return reduce(Column.__or__, tests)
+    return F.expr(f"{value} IN ({', '.join(_literal(row[0]) for row in listed)})")
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def in_partitions(df: DataFrame, partitions: DataFrame, columns: list[str]) -> DataFrame:
@@ -231,9 +219,8 @@ def upsert(
         if held is None:  # too many to list: match everything
             fresh, matched = None, merged(current, source, keys, incoming)
         elif held is not NO_PARTITION:
-            is_held = F.coalesce(held, F.lit(False))
-            fresh = source.filter(~is_held)
-            matched = merged(current, source.filter(is_held), keys, incoming.filter(is_held))
+            fresh = source.filter(~held)
+            matched = merged(current, source.filter(held), keys, incoming.filter(held))
     parts = []
     if fresh is not None:
         parts.append(fresh if grouped else laid_out(fresh, partition_by))
