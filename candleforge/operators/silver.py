@@ -96,6 +96,16 @@ def keys_of(bronze: DataFrame) -> DataFrame:
     )
 
 
+def distinct_keys_of(bronze: DataFrame, repeats: Column | object | None) -> DataFrame:
+    """Each trade key once; only partitions with repeats are reduced, before their shuffle."""
+    keys = keys_of(bronze)
+    if repeats is None:
+        return keys.distinct()
+    if repeats is tables.NO_PARTITION:
+        return keys
+    return keys.filter(~repeats).unionByName(keys.filter(repeats).distinct())
+
+
 def repeated_in(bronze: DataFrame) -> Column | object | None:
     """Filter for the partitions where some trade key occurs twice; None if too many.
 
@@ -121,14 +131,15 @@ def upsert(
     (symbol, batch_date), by default the ones in ``bronze``. A new day without repeats is
     one map-only pass from bronze files to silver files.
     """
+    repeats = repeated_in(bronze)
     tables.upsert(
         spark,
         target,
-        from_bronze(bronze, run_id, epoch_unit, repeated_in(bronze)),
+        from_bronze(bronze, run_id, epoch_unit, repeats),
         TRADE_KEY,
         PARTITION,
         partitions=bronze.select(*PARTITION) if partitions is None else partitions,
-        source_keys=keys_of(bronze),
+        source_keys=distinct_keys_of(bronze, repeats),
         check_keys=False,
         grouped=True,
         observe=observe,

@@ -172,8 +172,8 @@ def merged(current: DataFrame, source: DataFrame, keys: list[str], source_keys=N
     """``current`` with ``source`` upserted: matched rows replaced, the others inserted.
 
     Columns that only one side has are null on the other. ``source_keys`` may give the
-    source's keys from a cheaper plan (duplicates allowed); only those columns are
-    shuffled for the match, the source rows themselves are not.
+    source's keys from a cheaper plan; only those columns are shuffled for the match, the
+    source rows themselves are not.
     """
     kept = without_keys(current, source if source_keys is None else source_keys, keys)
     return kept.unionByName(source, allowMissingColumns=True)

@@ -138,6 +138,15 @@ def test_upsert_dedups_only_where_keys_repeat(spark, folder):
     assert silver.repeated_in(bronze(spark, [{}])) is tables.NO_PARTITION
 
 
+def test_many_copies_of_one_key(spark, folder):
+    copies = [{"price": str(1 + i % 7)} for i in range(3000)]
+    for run, rows in enumerate(([{"price": "0.5"}], copies, copies)):
+        silver.upsert(spark, f"{folder}/s", bronze(spark, rows), f"run{run}")
+    assert [float(r.price) for r in silver.read(spark, f"{folder}/s").collect()] == [7.0]
+    repeats = silver.repeated_in(bronze(spark, copies))
+    assert silver.distinct_keys_of(bronze(spark, copies), repeats).count() == 1
+
+
 def test_untouched_partition_keeps_its_files(spark, folder):
     target = f"{folder}/silver"
     other = {"batch_date": dt.date(2024, 3, 2)}
