@@ -260,7 +260,8 @@ known AS (SELECT doc_id, sha256(CASE WHEN lang = 'fr' THEN upper(text) ELSE text
 
 _ORDERS_MERGED = """
 WITH batch AS (
-  SELECT * REPLACE (o_totalprice * 2 AS o_totalprice), CAST(year(o_orderdate) AS INTEGER) AS order_year
+  SELECT * REPLACE (o_totalprice * 2 AS o_totalprice),
+         CAST(year(o_orderdate) AS INTEGER) AS order_year
   FROM orders WHERE o_orderpriority = '1-URGENT' OR o_orderstatus = 'P'
 ),
 stored AS (

@@ -144,7 +144,7 @@ def parse_zipped_csv(files: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 keep = [batch.column(name).slice(i, 1) for name in carried_names]
                 for cells in _file_batches(content[i].as_buffer()):
-                    # Dictionary-free repetition of the one-row columns.
+                    # Repeat the file's own columns on each of its rows.
                     index = pa.repeat(pa.scalar(0, pa.int64()), cells.num_rows)
                     yield pa.RecordBatch.from_arrays(
                         [*cells.columns, *(column.take(index) for column in keep)],
@@ -170,7 +170,8 @@ def _file_batches(content: pa.Buffer) -> Iterator[pa.RecordBatch]:
                 decoded = _csv_batches(archive, member)
             yield from decoded
     except Exception as error:  # any unreadable file becomes a quarantine row
-        yield _cells_batch([[None] * len(TRADE_FILE_COLUMNS)], False, f"{type(error).__name__}: {error}")
+        no_cells = [None] * len(TRADE_FILE_COLUMNS)
+        yield _cells_batch([no_cells], False, f"{type(error).__name__}: {error}")
 
 
 def _csv_batches(archive: zipfile.ZipFile, member: zipfile.ZipInfo) -> Iterator[pa.RecordBatch]:

@@ -63,7 +63,9 @@ def detect_changes(
     )
 
 
-def skip_unchanged(scanned: DataFrame, manifest: DataFrame, keys: list[str] = FILE_KEY) -> DataFrame:
+def skip_unchanged(
+    scanned: DataFrame, manifest: DataFrame, keys: list[str] = FILE_KEY
+) -> DataFrame:
     """Only the files whose content is not in the manifest under their key."""
     return scanned.join(manifest.select(*keys, "sha256"), [*keys, "sha256"], "left_anti")
 
