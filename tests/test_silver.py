@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from candleforge import schema
 from candleforge.functions import parsing
+from candleforge.operators import bronze as operators_bronze
 from candleforge.operators import silver
 from candleforge.sources import tables
 
@@ -101,6 +102,25 @@ def test_dedup_reduces_before_the_shuffle(spark):
     assert text.index("Final") < text.index("Exchange hashpartitioning") < text.index("Partial")
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_without_repeats_are_not_shuffled(spark, folder):
+    """The path of a new day; with repeats, only their partitions reach the window."""
+    other = {"symbol": "ETHX"}
+    operators_bronze.write(bronze(spark, [{}, {"agg_trade_id": "2"}, other]), f"{folder}/b")
+    rows = operators_bronze.read(spark, f"{folder}/b")
+    assert silver.repeated_in(rows) is tables.NO_PARTITION
+    clean = plan_of(silver.from_bronze(rows, "run", "auto", tables.NO_PARTITION))
+    assert "Exchange" not in clean and "Window" not in clean and "Sort" not in clean
+    repeats = tables.partition_filter(rows.filter("symbol = 'ETHX'"), schema.PARTITION)
+    mixed = plan_of(silver.from_bronze(rows, "run", "auto", repeats))
+    assert mixed.count("Exchange hashpartitioning") == 1
+    scans = [line for line in mixed.splitlines() if "PartitionFilters" in line]
+    assert len(scans) == 2 and all("PartitionFilters: []" not in line for line in scans)
+
+
 def stored(spark, target):
     rows = silver.read(spark, target).select(
         "symbol", "batch_date", "agg_trade_id", "price", "_silver_run_id"
