@@ -14,10 +14,13 @@ def con():
 
 
 def test_each_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    # Queries that SQL cannot express have tests of their own.
+    assert set(entry_module.queries()) - set(entry_module.TEXT_QUERIES) == set(
+        entry_module.oracle_sql()
+    )
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
 def test_query_matches_sql(spark, con, name):
     frame = entry_module.queries()[name](spark, SF_DIR)
     assert oracle_check.difference(frame, entry_module.oracle_sql()[name], con) is None
