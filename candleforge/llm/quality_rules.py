@@ -5,7 +5,8 @@ The forest is grown on the shares derived from them: every tree splits a small r
 labelled good documents at random values of random statistics, so a document that is alone in
 some statistic ends on a short path. The mean path length over all trees gives a score between 0
 and 1, and the threshold above which a document is rejected is calibrated on all labelled rows:
-it separates the labels best among those that reject at most ``LOSS`` of the good documents.
+it has the best balance of bad documents caught and good ones lost, a lost share counting
+``LOSS_WEIGHT`` times.
 
 The forest is fitted on at most ``FITTED`` good documents; statistics, scores and calibration cover all
 rows. Null texts count as empty and fail the limits. Rows with one doc_id are judged one by one;
@@ -30,8 +31,8 @@ LEAST_WORDS, MOST_REPEATED = 50, 50
 #: Good documents the forest is fitted on, at most.
 FITTED = 20_000
 TREES, SUBSET = 128, 256
-#: Largest share of labelled good documents the threshold may reject.
-LOSS = 0.01
+#: What losing a share of the good documents costs, when catching that share of the bad is 1.
+LOSS_WEIGHT = 4.0
 _BINS = 2000
 _SEED = 17
 
@@ -208,7 +209,7 @@ def fit(stats: DataFrame, labels: DataFrame) -> tuple[Forest | None, float]:
         return forest, 1.0
     lost = good_at[::-1].cumsum()[::-1] / good_at.sum()  # share of good rows at or above a bin
     caught = bad_at[::-1].cumsum()[::-1] / bad_at.sum()
-    worth = np.where(lost <= LOSS, caught - lost, -1.0)
+    worth = caught - LOSS_WEIGHT * lost
     return forest, int(np.flatnonzero(worth == worth.max())[-1]) / _BINS
 
 

@@ -173,10 +173,15 @@ def fit(rows: DataFrame, prior: float) -> Lexicon:
         sizes = {0: 0, 1: 0} | {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
         if not sizes[0] or not sizes[1]:
             return Lexicon()
-        least = F.col("toxic") >= 3
-        counts = _counted(rows, lambda words: {t for w in set(words) for t in _terms(w)}).filter(least)
-        # As many rows as the bounded sample has words that three toxic documents share.
-        rated = ((r["term"], _ratio(r["toxic"], r["clean"], sizes)) for r in counts.toLocalIterator())
+
+        def terms(words: list[str]) -> set[str]:
+            return {t for w in set(words) for t in _terms(w)}
+
+        # As many as the bounded sample has terms that three toxic documents share.
+        shared = _counted(rows.filter("toxic = 1"), terms).filter("toxic >= 3").select("term")
+        asked = frozenset(r["term"] for r in shared.collect())
+        counts = _counted(rows, lambda words: terms(words) & asked).collect()
+        rated = ((r["term"], _ratio(r["toxic"], r["clean"], sizes)) for r in counts)
         weights = {t: w for t, (g, w) in rated if g >= LEAST_RATIO and w >= LEAST_WEIGHT}
         lexicon = Lexicon(weights)
 
