@@ -8,7 +8,9 @@ and 1, and the threshold above which a document is rejected is calibrated on all
 it has the best balance of bad documents caught and good ones lost, a lost share counting
 ``LOSS_WEIGHT`` times.
 
-The forest is fitted on at most ``FITTED`` good documents; statistics, scores and calibration cover all
+Statistics in which labelled bad documents lie no further from the usual than good ones are left
+out of the forest: rare values there are no fault. The forest is fitted on at most ``FITTED``
+documents of either label; statistics, scores and calibration cover all
 rows. Null texts count as empty and fail the limits. Rows with one doc_id are judged one by one;
 contradicting labels of a document count as bad. Without labelled rows of both kinds only the
 limits decide. Extra columns do not matter; an empty table gives an empty result.
@@ -28,8 +30,10 @@ from pyspark.sql import functions as F
 from candleforge.llm.common import bounded_sample, slices, stored
 
 LEAST_WORDS, MOST_REPEATED = 50, 50
-#: Good documents the forest is fitted on, at most.
+#: Documents of each label the forest is fitted on, at most.
 FITTED = 20_000
+#: How often a bad document must lie further out than a good one for a statistic to be used.
+LEAST_AUC = 0.6
 TREES, SUBSET = 128, 256
 #: What losing a share of the good documents costs, when catching that share of the bad is 1.
 LOSS_WEIGHT = 4.0
@@ -115,10 +119,29 @@ def _mean_path(count: np.ndarray | float):
     return np.where(count > 2, 2 * harmonic - 2 * (count - 1) / np.maximum(count, 1), count == 2)
 
 
+def telling(good: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    """The statistics in which bad rows lie further from the good rows' median, by rank."""
+    if not len(bad):
+        return np.arange(good.shape[1])
+    middle = np.median(good, axis=0)
+    used = []
+    for n in range(good.shape[1]):
+        far = np.sort(np.abs(good[:, n] - middle[n]))
+        own = np.abs(bad[:, n] - middle[n])
+        below, upto = np.searchsorted(far, own), np.searchsorted(far, own, "right")
+        if (below + upto).mean() / (2 * len(far)) >= LEAST_AUC:
+            used.append(n)
+    return np.array(used, np.int64) if used else np.arange(good.shape[1])
+
+
 class Forest:
     """Random trees as arrays: split statistic (-1: leaf), split value, children, path length."""
 
-    def __init__(self, points: np.ndarray, trees: int = TREES, subset: int = SUBSET):
+    def __init__(
+        self, points: np.ndarray, used: np.ndarray, trees: int = TREES, subset: int = SUBSET
+    ):
+        self.used = used
+        points = points[:, used]
         rng = np.random.default_rng(_SEED)
         self.subset = min(subset, len(points))
         depth = math.ceil(math.log2(max(self.subset, 2)))
@@ -151,6 +174,7 @@ class Forest:
 
     def scores(self, points: np.ndarray) -> np.ndarray:
         """Higher means alone: 2 ** -(mean path / expected path)."""
+        points = points[:, self.used]
         paths = np.zeros(len(points))
         rows = np.arange(len(points))
         for nodes in self.trees:
@@ -186,15 +210,16 @@ def fit(stats: DataFrame, labels: DataFrame) -> tuple[Forest | None, float]:
     """The forest and the threshold, from labels (doc_id, quality 0 or 1) of documents."""
     marked = labels.filter("quality in (0, 1) and doc_id is not null")
     marked = marked.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    good = bounded_sample(marked.filter("quality = 1"), "quality", FITTED)
+    sample = bounded_sample(marked, "quality", FITTED)
     usable = stats.filter(~failed_base())
-    rows = usable.join(F.broadcast(good.select("doc_id")), "doc_id", "left_semi")  # FITTED ids
-    table = rows.select(*COUNTS).toArrow()
-    if table.num_rows < 2:
-        return None, 1.0
-    # In a fixed order, so that the same rows always give the same forest.
+    table = usable.join(F.broadcast(sample), "doc_id").select("quality", *COUNTS).toArrow()
     points = shares({c: table.column(c).to_numpy() for c in COUNTS})
-    forest = Forest(points[np.lexsort(points.T)])
+    # In a fixed order, so that the same rows always give the same forest.
+    order = np.lexsort(points.T)
+    points, good = points[order], table.column("quality").to_numpy()[order] == 1
+    if good.sum() < 2:
+        return None, 1.0
+    forest = Forest(points[good], telling(points[good], points[~good]))
     bins = (
         scored(usable, forest)
         .join(marked, "doc_id")
