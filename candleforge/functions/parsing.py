@@ -12,6 +12,9 @@ MAX_MICROS = 253_402_300_799_999_999
 # From this size on an epoch cannot be milliseconds of a plausible year (5138).
 MICROS_FROM = 100_000_000_000_000
 
+# Fixed value: a date, a time to the second at least, and perhaps a zone.
+ISO_INSTANT = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:?\d{2})?$"
+
 EPOCH_UNITS = ("auto", "ms", "us")
 
 
@@ -28,11 +31,12 @@ def to_flag(text: Column) -> Column:
     return F.lower(text) == F.lit("true")
 
 
-def epoch_to_timestamp(epoch: Column, unit: str = "auto") -> Column:
+def epoch_to_timestamp(epoch: Column, unit: str = "auto", near: Column | None = None) -> Column:
     """Epoch number to a timestamp with its sub-second part.
 
-    ``auto`` tells milliseconds from microseconds by size. A time outside the years
-    0001 to 9999 is null, so the row becomes invalid.
+    ``auto`` takes milliseconds or microseconds, whichever lies closer to the date ``near``;
+    without a date it goes by size. A time outside the years 0001 to 9999 is null, so the
+    row becomes invalid.
     """
     if unit not in EPOCH_UNITS:
         raise ValueError(f"unknown epoch unit {unit!r}, expected one of {EPOCH_UNITS}")
@@ -43,13 +47,18 @@ def epoch_to_timestamp(epoch: Column, unit: str = "auto") -> Column:
         micros = from_millis
     else:
         is_millis = epoch.between(-MICROS_FROM + 1, MICROS_FROM - 1)
+        if near is not None:
+            day = F.unix_micros(near.cast("timestamp"))
+            # As doubles, which cannot overflow.
+            away = [F.abs(x.cast("double") - day) for x in (from_millis, epoch)]
+            is_millis = F.coalesce(away[0] < away[1], is_millis)
         micros = F.when(is_millis, from_millis).otherwise(epoch)
     return F.timestamp_micros(F.when(micros.between(MIN_MICROS, MAX_MICROS), micros))
 
 
 def to_instant(iso_text: Column) -> Column:
-    """ISO date-time text to a timestamp, null when it does not parse."""
-    return F.try_to_timestamp(iso_text)
+    """Full ISO date-time text to a timestamp, null for any other text."""
+    return F.try_to_timestamp(F.when(iso_text.rlike(ISO_INSTANT), iso_text))
 
 
 def date_prefix(text: Column) -> Column:

@@ -8,7 +8,7 @@ hour and task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candleforge.functions import clock, measures
@@ -30,11 +30,23 @@ def candle_partials(trades: DataFrame, exact: bool = True) -> DataFrame:
     words; ids are sequential, so blocks hardly add rows. ``roll_up`` merges the blocks by
     the full order.
 
-    In exact mode price and quantity are narrowed to 18 digits first: they then fit a
-    machine word, and products keep all decimals. A larger value fails the job;
-    ``exact=False`` takes any value and rounds each product to six decimals.
+    In exact mode prices and quantities that fit a machine word are aggregated as such, the
+    others, if any, in a pass of their own, whose filter reaches the file statistics;
+    ``roll_up`` merges both. Products keep all decimals. ``exact=False`` rounds each product
+    to six decimals.
     """
-    operand = "decimal(18,8)" if exact else AMOUNT.simpleString()
+    if not exact:
+        product = measures.notional(F.col("_price"), F.col("_quantity"), exact=False)
+        return _partials(trades, AMOUNT.simpleString(), product)
+    narrow = measures.is_narrow(F.col("price"), F.col("quantity"))
+    product = measures.notional(F.col("_price"), F.col("_quantity"))
+    wide_product = measures.wide_notional(F.col("_price"), F.col("_quantity"))
+    common = _partials(trades.filter(narrow), "decimal(18,8)", product)
+    wide = _partials(trades.filter(~narrow), AMOUNT.simpleString(), wide_product)
+    return common.unionByName(wide)
+
+
+def _partials(trades: DataFrame, operand: str, product: Column) -> DataFrame:
     hour = clock.hour_bucket(F.col("transact_time"))
     rows = trades.filter("is_valid").select(
         *DAILY_KEY,
@@ -51,8 +63,8 @@ def candle_partials(trades: DataFrame, exact: bool = True) -> DataFrame:
         F.max("_price").alias("high_price"),
         F.min("_price").alias("low_price"),
         F.max_by("_price", "_position").alias("close_price"),
-        F.sum("_quantity").alias("volume"),
-        F.sum(measures.notional(F.col("_price"), F.col("_quantity"), exact)).alias("notional"),
+        measures.whole_sum("_quantity").alias("volume"),
+        measures.whole_sum(product).alias("notional"),
         F.count("*").alias("trade_count"),
     )
     opened, closed = (
@@ -68,8 +80,8 @@ def candle_partials(trades: DataFrame, exact: bool = True) -> DataFrame:
         closed[0].alias("session_close_at"),
         measures.trade_order(*opened).alias("open_order"),
         measures.trade_order(*closed).alias("close_order"),
-        *[F.col(name).cast(AMOUNT).alias(name) for name in [*PRICES, "volume"]],
-        F.col("notional").cast(NOTIONAL).alias("notional"),
+        *[F.col(name).try_cast(AMOUNT).alias(name) for name in [*PRICES, "volume"]],
+        F.col("notional").try_cast(NOTIONAL).alias("notional"),
         "trade_count",
     )
 
@@ -85,12 +97,15 @@ def roll_up(partials: DataFrame, keys: list[str]) -> DataFrame:
         F.max("high_price").alias("high_price"),
         F.min("low_price").alias("low_price"),
         F.max_by("close_price", "close_order").alias("close_price"),
-        F.sum("volume").alias("volume"),
-        F.sum("notional").alias("notional"),
+        measures.whole_sum("volume").alias("volume"),
+        measures.whole_sum("notional").alias("notional"),
         F.sum("trade_count").alias("trade_count"),
     )
     return merged.withColumns(
-        {"volume": F.col("volume").cast(AMOUNT), "notional": F.col("notional").cast(NOTIONAL)}
+        {
+            "volume": F.col("volume").try_cast(AMOUNT),
+            "notional": F.col("notional").try_cast(NOTIONAL),
+        }
     )
 
 
@@ -218,7 +233,26 @@ def _daily_rows(partials: DataFrame, run_id: str) -> DataFrame:
 def register_summary_view(
     spark: SparkSession, daily_target: str, name: str = "gold_symbol_summary"
 ) -> DataFrame:
-    """The summary as a view: computed from the daily table on every read."""
-    view = symbol_summary(tables.read(spark, daily_target, GOLD_DAILY))
-    view.createOrReplaceTempView(name)
+    """The summary as a view: computed from the daily table on every read.
+
+    The view is kept as text, so each read lists the table's files anew.
+    """
+    source = f"parquet.`{daily_target}`" if tables.is_path(daily_target) else daily_target
+    spark.sql(
+        f"""
+        CREATE OR REPLACE TEMPORARY VIEW {name} AS
+        SELECT symbol, days_observed, total_volume, total_notional,
+               CASE WHEN total_volume > 0 THEN total_notional / total_volume END AS overall_vwap,
+               avg_daily_vwap, first_trade_at, last_trade_at
+        FROM (
+          SELECT CAST(symbol AS STRING) AS symbol,
+                 count(DISTINCT batch_date) AS days_observed,
+                 sum(volume) AS total_volume,
+                 sum(notional) AS total_notional,
+                 avg(CASE WHEN volume > 0 THEN notional / volume END) AS avg_daily_vwap,
+                 min(session_open_at) AS first_trade_at,
+                 max(session_close_at) AS last_trade_at
+          FROM {source} GROUP BY symbol)
+        """
+    )
     return spark.table(name)

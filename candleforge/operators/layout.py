@@ -62,7 +62,9 @@ def cluster_by(
 def _chosen(
     spark: SparkSession, target: str, partition_by: list[str], partitions: DataFrame | None
 ) -> DataFrame:
-    table = tables.read(spark, target)
+    # Partition values keep their text, so that 007 stays 007.
+    with session_conf(spark, spark__sql__sources__partitionColumnTypeInference__enabled="false"):
+        table = tables.read(spark, target)
     if partitions is not None:
         table = tables.in_partitions(table, partitions, partition_by)
     return table

@@ -10,6 +10,13 @@ from candleforge.schema import PARTITION, SILVER, TRADE_KEY
 from candleforge.sources import tables
 
 
+#: What makes two rows without an id the same row.
+PAYLOAD = [
+    "price", "quantity", "first_trade_id", "last_trade_id", "transact_time",
+    "is_buyer_maker", "is_best_match",
+]
+
+
 def typed(bronze: DataFrame, epoch_unit: str = "auto") -> DataFrame:
     """Text columns to their types; what does not parse is null."""
     casts = {
@@ -26,7 +33,8 @@ def typed(bronze: DataFrame, epoch_unit: str = "auto") -> DataFrame:
         casts["_ingested_at"] = parsing.to_instant(F.col("_ingested_at"))
     # The epoch is parsed in a step of its own, as its number is used several times.
     return bronze.withColumns(casts).withColumn(
-        "transact_time", parsing.epoch_to_timestamp(F.col("transact_time"), epoch_unit)
+        "transact_time",
+        parsing.epoch_to_timestamp(F.col("transact_time"), epoch_unit, near=F.col("batch_date")),
     )
 
 
@@ -46,14 +54,17 @@ def with_validity(trades: DataFrame) -> DataFrame:
     return trades.withColumn("is_valid", validity())
 
 
-def dedup_latest(df: DataFrame, keys: list[str], newest_first: list[str]) -> DataFrame:
+def dedup_latest(
+    df: DataFrame, keys: list[str | Column], newest_first: list[str]
+) -> DataFrame:
     """One row per key: the highest by ``newest_first``, remaining columns break ties.
 
     Every column takes part in the order, so the survivor does not depend on how the data
     is split. Null keys count as equal. Spark keeps one row per key in each input task
     before the shuffle, so many copies of one key do not meet in one task.
     """
-    rest = [c for c in df.columns if c not in keys and c not in newest_first]
+    named = [c for c in keys if isinstance(c, str)]
+    rest = [c for c in df.columns if c not in named and c not in newest_first]
     order = [F.col(c).desc_nulls_last() for c in [*newest_first, *rest]]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
@@ -68,7 +79,7 @@ def with_audit(trades: DataFrame, run_id: str) -> DataFrame:
 def from_bronze(
     bronze: DataFrame, run_id: str, epoch_unit: str = "auto", repeats: Column | None = None
 ) -> DataFrame:
-    """Bronze rows to silver rows, one per trade key.
+    """Bronze rows to silver rows, one per trade key; those without an id one per content.
 
     ``repeats`` may give the partitions known to hold a key twice (``repeated_in``); the
     others then pass without a shuffle. Flags and audit values follow from the row, so
@@ -76,7 +87,9 @@ def from_bronze(
     """
     rows = typed(bronze, epoch_unit)
     # The id leads the sort: it decides nearly every comparison.
-    keys = sorted(TRADE_KEY, key=lambda name: name != "agg_trade_id")
+    # Rows without an id are told apart by all that was traded.
+    unnamed = F.when(F.col("agg_trade_id").isNull(), F.struct(*PAYLOAD))
+    keys = [*sorted(TRADE_KEY, key=lambda name: name != "agg_trade_id"), unnamed]
     newest_first = ["_ingested_at", "_pipeline_run_id"]
     if repeats is None:
         latest = dedup_latest(rows, keys, newest_first)
@@ -106,8 +119,8 @@ def distinct_keys_of(bronze: DataFrame, repeats: Column | object | None) -> Data
     return keys.filter(~repeats).unionByName(keys.filter(repeats).distinct())
 
 
-def repeated_in(bronze: DataFrame) -> Column | object | None:
-    """Filter for the partitions where some trade key occurs twice; None if too many.
+def repeated_in(bronze: DataFrame) -> Column | object:
+    """Filter for the partitions where some trade key occurs twice.
 
     Files normally hold no repeats. Finding that out takes one narrow count by key, with
     map-side partials, and saves the wide sort and shuffle of every row.
@@ -143,6 +156,7 @@ def upsert(
         check_keys=False,
         grouped=True,
         observe=observe,
+        unnamed=("agg_trade_id", [*PARTITION, *PAYLOAD]),
     )
 
 

@@ -115,25 +115,31 @@ def load(
     scans = _record_scan(spark, files, lake, run_id, expected)
     to_load = scans.filter(F.col("change").isin(CHANGE_TO_LOAD)).select(*PARTITION).distinct()
     entries = []
-    if not to_load.isEmpty():
-        entries.append(_load_bronze(files(to_load), lake, run_id, started))
-        if tables.exists(spark, lake.bronze):
-            entries += refresh_from_bronze(spark, lake, to_load, run_id, epoch_unit, exact)
-        _record_files(spark, scans, lake, run_id)
+    try:
+        if not to_load.isEmpty():
+            entries.append(_load_bronze(files(to_load), lake, run_id, started))
+            if tables.exists(spark, lake.bronze):
+                entries += refresh_from_bronze(spark, lake, to_load, run_id, epoch_unit, exact)
+            _record_files(spark, scans, lake, run_id)
+    except Exception:
+        # The run log tells of a failed run; its files count as not loaded.
+        entries.append(_entry("run", "FAILED", started, run_id))
+        runlog.append(spark, lake.run_log, entries)
+        raise
     status = _record_outcomes(spark, scans, expected, lake, run_id)
-    entries.append(
-        {
-            "stage": "run",
-            "status": status["status"],
-            "started_at": started,
-            "ended_at": dt.datetime.now(dt.timezone.utc),
-            "run_id": run_id,
-        }
-    )
+    entries.append(_entry("run", status["status"], started, run_id))
     runlog.append(spark, lake.run_log, entries)
     return status
 
 
+def _entry(stage: str, status: str, started: dt.datetime, run_id: str) -> dict:
+    ended = dt.datetime.now(dt.timezone.utc)
+    return {
+        "stage": stage, "status": status, "started_at": started, "ended_at": ended,
+        "run_id": run_id,
+    }
+
+
 def _record_scan(spark, files, lake: Lake, run_id: str, expected: DataFrame) -> DataFrame:
     """Fingerprint the files and store how each compares with the manifest.
 

@@ -68,7 +68,15 @@ typed AS (
 latest AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (
-             PARTITION BY symbol, batch_date, agg_trade_id
+             PARTITION BY symbol, batch_date, agg_trade_id,
+                          CASE WHEN agg_trade_id IS NULL THEN
+                            concat_ws('|', coalesce(CAST(price AS VARCHAR), '-'),
+                              coalesce(CAST(quantity AS VARCHAR), '-'),
+                              coalesce(CAST(first_trade_id AS VARCHAR), '-'),
+                              coalesce(CAST(last_trade_id AS VARCHAR), '-'),
+                              coalesce(CAST(transact_time AS VARCHAR), '-'),
+                              coalesce(CAST(is_buyer_maker AS VARCHAR), '-'),
+                              coalesce(CAST(is_best_match AS VARCHAR), '-')) END
              ORDER BY _ingested_at DESC NULLS LAST, price DESC NULLS LAST,
                       quantity DESC NULLS LAST, first_trade_id DESC) AS rn
     FROM typed)
@@ -319,6 +327,19 @@ SELECT symbol, count(*) AS rows, min(transact_time) AS first_trade,
             AS DOUBLE) / 10000000000 AS avg_price,
        CAST(sum(quantity) AS DOUBLE) AS day_volume
 FROM trades GROUP BY symbol ORDER BY symbol""",
+    "ohlcv_wide_amounts": f"""
+WITH {TRADES}, units AS (
+  SELECT symbol, batch_date,
+         ({_units("price")} + 10000000000000000000 + CAST(agg_trade_id AS HUGEINT))
+         * ({_units("quantity")} + CAST(agg_trade_id AS HUGEINT)) AS product
+  FROM trades WHERE is_valid),
+sums AS (
+  SELECT symbol, batch_date, CAST(sum(product) AS HUGEINT) AS total, count(*) AS trade_count
+  FROM units GROUP BY symbol, batch_date)
+SELECT symbol, CAST(batch_date AS VARCHAR) AS batch_date,
+       CAST(total // 10000000000000000 AS VARCHAR) || '.'
+       || lpad(CAST(total % 10000000000000000 AS VARCHAR), 16, '0') AS notional, trade_count
+FROM sums""",
     "silver_typed": f"WITH {TEXT} SELECT {SILVER_SHOWN} FROM typed",
     "silver_from_bronze": f"WITH {TEXT} SELECT {SILVER_SHOWN} FROM latest",
     "stream_upsert": f"WITH {TEXT} SELECT {SILVER_SHOWN} FROM latest",

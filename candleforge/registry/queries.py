@@ -55,6 +55,21 @@ def ohlcv_daily_rounded_products(spark, sf_dir):
     return gold.ohlcv_daily(trades(spark, sf_dir), exact=False)
 
 
+@query
+def ohlcv_wide_amounts(spark, sf_dir):
+    """Prices above 10^11 with eight decimals; notional to its last digit, as text."""
+    fraction = F.col("agg_trade_id").cast("decimal(12,0)") * F.expr("0.00000001BD")
+    rows = trades(spark, sf_dir).withColumns(
+        {
+            name: (F.col(name).cast("decimal(20,8)") + more + fraction).cast("decimal(38,8)")
+            for name, more in (("price", F.lit(100_000_000_000)), ("quantity", F.lit(0)))
+        }
+    )
+    return gold.ohlcv_daily(rows).select(
+        "symbol", "batch_date", F.col("notional").cast("string").alias("notional"), "trade_count"
+    )
+
+
 @query
 def symbol_summary(spark, sf_dir):
     return gold.symbol_summary(gold.ohlcv_daily(trades(spark, sf_dir)))
@@ -274,8 +289,8 @@ def missing_sources(spark, sf_dir):
     present = trades(spark, sf_dir).select(
         "symbol", F.date_trunc("HOUR", "transact_time").alias("slot")
     )
-    first = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp")
-    last = F.lit(dt.datetime(2024, 1, 30, 23)).cast("timestamp")
+    ends = present.agg(F.min("slot"), F.max("slot")).first()
+    first, last = (F.lit(end).cast("timestamp") for end in ends)
     expected = manifest.expected_slots(present, first, last, "1 hour", "slot")
     return manifest.missing_sources(expected, present, ["symbol", "slot"])
 
@@ -427,7 +442,7 @@ def daily_load_to_gold(spark, sf_dir):
 @query
 def backfill_hourly(spark, sf_dir):
     lake = _loaded_lake(spark, sf_dir, "backfill")
-    days = [dt.date(2024, 1, day) for day in range(1, 31)]
+    days = [row[0] for row in trades(spark, sf_dir).select("batch_date").distinct().collect()]
     daily_load.backfill(spark, lake, "20240202_000000_again", days)
     return tables.read(spark, lake.hourly, schema.GOLD_HOURLY).drop("_gold_at", "_gold_run_id")
 

@@ -17,10 +17,6 @@ from pyspark.sql import types as T
 from candleforge.session import session_conf
 from candleforge.sources import storage
 
-# Above this many partitions a filter by literals gives way to a join.
-MAX_LISTED_PARTITIONS = 4096
-
-
 # The filter of an empty list of partitions.
 NO_PARTITION = object()
 
@@ -83,14 +79,16 @@ def replace_partitions(
     spark = df.sparkSession
     if rebalance:
         df = laid_out(df, partition_by)
-    with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
-        if is_path(target):
-            df.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
-        elif spark.catalog.tableExists(target):
+    # The mode is set on the writer: other writes of the session do not share it.
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if is_path(target):
+        writer.partitionBy(*partition_by).parquet(target)
+    elif spark.catalog.tableExists(target):
+        with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
             df.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
-            spark.catalog.refreshTable(target)
-        else:
-            df.write.format("parquet").partitionBy(*partition_by).saveAsTable(target)
+        spark.catalog.refreshTable(target)
+    else:
+        df.write.format("parquet").partitionBy(*partition_by).saveAsTable(target)
 
 
 def rebuild(df: DataFrame, target: str, partition_by: list[str]) -> None:
@@ -124,23 +122,21 @@ def drop_partitions(spark: SparkSession, target: str, listed: list[dict]) -> Non
         storage.delete(spark, f"{target.rstrip('/')}/{folder}")
 
 
-def partition_filter(partitions: DataFrame, columns: list[str]) -> Column | object | None:
-    """A literal filter for the listed partitions, or None when there are too many.
+def partition_filter(partitions: DataFrame, columns: list[str]) -> Column | object:
+    """A literal filter for the listed partitions, which prunes folders before the scan.
 
-    For an empty list it is ``NO_PARTITION``, which callers may test for by identity. At
-    most ``MAX_LISTED_PARTITIONS + 1`` values reach the driver. Values are compared as
-    text, nulls included, so the filter is never null.
+    For an empty list it is ``NO_PARTITION``, which callers may test for by identity. The
+    list on the driver is as long as the one that Spark's own file listing keeps of the
+    table. Values are compared as text, nulls included, so the filter is never null.
     """
     types = {f.name: f.dataType.simpleString() for f in partitions.schema}
     # char(0) stands for null and char(1) separates: neither occurs in a folder name.
     texts = [f"coalesce(cast(cast(`{c}` as {types[c]}) as string), char(0))" for c in columns]
     value = f"concat_ws(char(1), {', '.join(texts)})"
-    listed = partitions.select(F.expr(value)).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(listed) > MAX_LISTED_PARTITIONS:
-        return None
+    listed = [row[0] for row in partitions.select(F.expr(value)).distinct().collect()]
     if not listed:
         return NO_PARTITION
-    return F.expr(f"{value} IN ({', '.join(_literal(row[0]) for row in listed)})")
+    return F.expr(f"{value} IN ({', '.join(map(_literal, listed))})")
 
 
 def _literal(text: str) -> str:
@@ -148,18 +144,9 @@ def _literal(text: str) -> str:
 
 
 def in_partitions(df: DataFrame, partitions: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows of ``df`` in the listed partitions.
-
-    Few partitions become literals, which prune folders before the scan. Beyond the
-    limit a semi join does the same work without a driver-side list.
-    """
+    """Rows of ``df`` in the listed partitions, by a filter on literals."""
     chosen = partition_filter(partitions, columns)
-    if chosen is NO_PARTITION:
-        return df.limit(0)
-    if chosen is not None:
-        return df.filter(chosen)
-    listed = partitions.select(*[F.col(c).alias(f"_p_{c}") for c in columns]).distinct()
-    return df.join(listed, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in columns], "left_semi")
+    return df.limit(0) if chosen is NO_PARTITION else df.filter(chosen)
 
 
 def without_keys(df: DataFrame, replaced: DataFrame, keys: list[str]) -> DataFrame:
@@ -168,14 +155,28 @@ def without_keys(df: DataFrame, replaced: DataFrame, keys: list[str]) -> DataFra
     return df.join(gone, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "left_anti")
 
 
-def merged(current: DataFrame, source: DataFrame, keys: list[str], source_keys=None) -> DataFrame:
+def merged(
+    current: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    source_keys=None,
+    unnamed: tuple[str, list[str]] | None = None,
+) -> DataFrame:
     """``current`` with ``source`` upserted: matched rows replaced, the others inserted.
 
     Columns that only one side has are null on the other. ``source_keys`` may give the
     source's keys from a cheaper plan; only those columns are shuffled for the match, the
-    source rows themselves are not.
+    source rows themselves are not. ``unnamed`` names the id column and the columns that
+    tell rows without an id apart: such a row is only replaced by one with the same content.
     """
-    kept = without_keys(current, source if source_keys is None else source_keys, keys)
+    incoming = source if source_keys is None else source_keys
+    if unnamed is None:
+        kept = without_keys(current, incoming, keys)
+    else:
+        no_id, content = F.col(unnamed[0]).isNull(), unnamed[1]
+        kept = without_keys(current.filter(~no_id), incoming.filter(~no_id), keys).unionByName(
+            without_keys(current.filter(no_id), source.filter(no_id), content)
+        )
     return kept.unionByName(source, allowMissingColumns=True)
 
 
@@ -197,6 +198,7 @@ def upsert(
     check_keys: bool = True,
     grouped: bool = False,
     observe=None,
+    unnamed: tuple[str, list[str]] | None = None,
 ) -> None:
     """Upsert ``source`` into ``target`` by ``keys``, creating the table if absent.
 
@@ -216,14 +218,12 @@ def upsert(
         current = in_partitions(stored, touched, partition_by)
         held = partition_filter(current, partition_by)
         incoming = source_keys if source_keys is not None else source.select(*keys)
-        if held is None:  # too many to list: match everything
-            fresh, matched = None, merged(current, source, keys, incoming)
-        elif held is not NO_PARTITION:
+        if held is not NO_PARTITION:
             fresh = source.filter(~held)
-            matched = merged(current, source.filter(held), keys, incoming.filter(held))
-    parts = []
-    if fresh is not None:
-        parts.append(fresh if grouped else laid_out(fresh, partition_by))
+            matched = merged(
+                current, source.filter(held), keys, incoming.filter(held), unnamed
+            )
+    parts = [fresh if grouped else laid_out(fresh, partition_by)]
     if matched is not None:
         parts.append(laid_out(matched, partition_by))
     result = union_all(parts)

@@ -3,7 +3,6 @@ import random
 from decimal import Decimal
 
 import pytest
-from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from candleforge import schema
@@ -96,8 +95,7 @@ def test_invalid_rows_are_left_out_and_empty_volume_has_no_vwap(spark):
 
 def test_large_values(spark):
     rows = trades(spark, [(1, "12345678901.5", "2", at(1))])
-    with pytest.raises(ArithmeticException):
-        gold.ohlcv_daily(rows).collect()
+    assert gold.ohlcv_daily(rows).first().notional == Decimal("24691357803")
     assert gold.ohlcv_daily(rows, exact=False).first().notional == Decimal("24691357803")
 
 
@@ -186,6 +184,28 @@ def test_summary_view_is_fresh(spark, folder):
     stored_silver(spark, trades(spark, [(1, "10", "1", at(1))]), f"{folder}/s")
     gold.rebuild(silver.read(spark, f"{folder}/s"), f"{folder}/h", f"{folder}/d", "run")
     assert gold.register_summary_view(spark, f"{folder}/d", "fresh_view").first().days_observed == 1
+    second = trades(spark, [(2, "20", "1", at(1, day=2))])
+    stored_silver(spark, second, f"{folder}/s")
+    touched = second.select(*schema.PARTITION).distinct()
+    gold.refresh(spark, f"{folder}/s", touched, f"{folder}/h", f"{folder}/d", "run2")
+    assert spark.table("fresh_view").first().days_observed == 2
+
+
+def test_wide_amounts_are_exact_and_stop_nobody(spark):
+    huge, tiny = "123456789012.12345678", "98765432.87654321"
+    rows = trades(
+        spark,
+        [
+            (1, huge, tiny, at(1)), (2, "2", "3", at(2)),
+            (3, "1" + "0" * 20, "1" + "0" * 20, at(1), "OVER"), (4, "5", "6", at(1), "ETHX"),
+        ],
+    )
+    found = {c.symbol: c for c in gold.ohlcv_daily(rows).collect()}
+    exact = int(huge.replace(".", "")) * int(tiny.replace(".", "")) + 6 * 10**16
+    assert int(f"{found['BTCX'].notional:f}".replace(".", "")) == exact
+    assert found["ETHX"].notional == 30
+    # What 38 digits cannot hold is unknown, not wrong.
+    assert found["OVER"].notional is None and found["OVER"].trade_count == 1
 
 
 def test_reports_are_ordered(spark):

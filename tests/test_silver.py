@@ -91,9 +91,27 @@ def test_latest_copy_survives(spark):
     assert [float(r.price) for r in kept] == [2.0]
 
 
-def test_null_ids_of_a_day_collapse(spark):
-    rows = [{"agg_trade_id": None, "price": str(p)} for p in (1, 2, 3)] + [{}]
-    assert silver.from_bronze(bronze(spark, rows), "run").count() == 2
+def test_rows_without_an_id_stay_unless_equal(spark):
+    rows = [{"agg_trade_id": None, "price": str(p)} for p in (1, 2, 3, 3)] + [{}]
+    assert silver.from_bronze(bronze(spark, rows), "run").count() == 4
+
+
+def test_repeated_upserts_keep_rows_without_an_id(spark, folder):
+    first = bronze(spark, [{"agg_trade_id": None, "price": str(p)} for p in (1, 2)] + [{}])
+    second = bronze(spark, [{"agg_trade_id": "x", "price": str(p)} for p in (2, 3)])
+    for rows in (first, second, second):
+        silver.upsert(spark, f"{folder}/s", rows, "run")
+    prices = [float(r.price) for r in silver.read(spark, f"{folder}/s").collect() if not r.is_valid]
+    assert sorted(prices) == [1.0, 2.0, 3.0]
+
+
+@pytest.mark.parametrize("text", ["12:30", "2024", "2024-01", "2024-01-01"])
+def test_only_full_instants_parse(spark, text):
+    assert one(spark, _ingested_at=text)._ingested_at is None
+
+
+def test_the_unit_follows_the_day(spark):
+    assert one(spark, transact_time="94000000000000").transact_time.year == 1972
 
 
 def test_dedup_reduces_before_the_shuffle(spark):
@@ -140,7 +158,8 @@ def test_upsert_inserts_updates_and_repeats(spark, folder):
     second.append({"agg_trade_id": "1", "price": "7", "symbol": "ETHX"})
     want = sorted(
         [
-            ("BTCX", 1, 0, 5.0, "run2"), ("BTCX", 1, 1, 1.0, "run1"), ("BTCX", 1, 2, 5.0, "run2"),
+            # Rows without an id are different trades unless all is equal.
+            ("BTCX", 1, 0, 1.0, "run1"), ("BTCX", 1, 0, 5.0, "run2"), ("BTCX", 1, 1, 1.0, "run1"), ("BTCX", 1, 2, 5.0, "run2"),
             ("BTCX", 1, 3, 5.0, "run2"), ("BTCX", 2, 1, 1.0, "run1"), ("ETHX", 1, 1, 7.0, "run2"),
         ]
     )
@@ -181,8 +200,16 @@ def test_untouched_partition_keeps_its_files(spark, folder):
     assert files() == before
 
 
-def test_upsert_beyond_the_partition_list(spark, folder, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_LISTED_PARTITIONS", 1)
+def test_long_partition_lists_still_prune(spark, folder):
+    silver.upsert(spark, f"{folder}/silver", bronze(spark, [{}]), "run1")
+    day = F.date_add(F.lit(dt.date(2000, 1, 1)), F.col("id").cast("int"))
+    many = spark.range(10_000).select(F.lit("BTCX").alias("symbol"), day.alias("batch_date"))
+    chosen = tables.in_partitions(silver.read(spark, f"{folder}/silver"), many, schema.PARTITION)
+    scan = next(line for line in plan_of(chosen).splitlines() if "PartitionFilters" in line)
+    assert "PartitionFilters: []" not in scan and chosen.count() == 1
+
+
+def test_upsert_of_several_days(spark, folder):
     target = f"{folder}/silver"
     days = [{"batch_date": dt.date(2024, 3, d), "price": "1"} for d in (1, 2, 3)]
     silver.upsert(spark, target, bronze(spark, days + days), "run1")

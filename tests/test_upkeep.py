@@ -91,6 +91,18 @@ def test_compact(spark, folder):
     assert sorted(spark.read.parquet(target).collect()) == before
 
 
+@pytest.mark.parametrize("work", ["compact", "cluster"])
+def test_rewriting_keeps_partition_values(spark, folder, work):
+    rows = spark.createDataFrame([("007", 1), ("07", 2), ("1", 3)], "p string, v int")
+    rows.write.partitionBy("p").parquet(f"{folder}/t")
+    if work == "compact":
+        layout.compact(spark, f"{folder}/t", ["p"])
+    else:
+        layout.cluster_by(spark, f"{folder}/t", ["p"], ["v"])
+    read = spark.read.schema("v int, p string").parquet(f"{folder}/t")
+    assert sorted((r.p, r.v) for r in read.collect()) == [("007", 1), ("07", 2), ("1", 3)]
+
+
 def test_compact_splits_a_large_partition(spark, folder):
     target = f"{folder}/t"
     rows = spark.range(400_000).select(F.sha2(F.col("id").cast("string"), 256).alias("v"), F.lit(1).alias("p"))
