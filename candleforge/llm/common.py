@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from candleforge import session
 
 # Texts a task holds at a time, in bytes; one longer text is held alone.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

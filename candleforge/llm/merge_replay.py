@@ -16,6 +16,7 @@ import base64
 import functools
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -131,9 +132,10 @@ class Codec:
         self.replay = Replay(read_ranks(path))
         self.pattern = regex.compile(pattern)
         self.pieces = Pieces(self._encode_pieces)
+        self.decimal = {rank: str(rank) for rank in self.replay.token}
 
-    def _encode_pieces(self, pieces: list[str]) -> list[tuple[bytes, str]]:
-        """For each piece its ids, as 32-bit integers and as decimal text."""
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """For each piece its ids as 32-bit integers."""
         ranks = self.replay.ranks
         words = [[w.encode() for w in self.pattern.findall(piece)] for piece in pieces]
         rest = list({w for many in words for w in many if w not in ranks})
@@ -146,19 +148,19 @@ class Codec:
                     found.append(ranks[word])
                 else:
                     found.extend(ids[word])
-            out.append((np.array(found, "<u4").tobytes(), " ".join(map(str, found))))
+            out.append(array("I", found).tobytes())
         return out
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, str]]:
-        """For each text its ids, and the same as decimal numbers with single spaces."""
-        out = []
-        for pieces in self.pieces.of(texts):
-            ids = np.frombuffer(b"".join([p[0] for p in pieces]), "<u4")
-            out.append((ids, " ".join([p[1] for p in pieces if p[1]])))
-        return out
+    def encode(self, texts: list[str]) -> list[array]:
+        """For each text its ids."""
+        return [array("I", b"".join(pieces)) for pieces in self.pieces.of(texts)]
+
+    def decode(self, ids: array) -> bytes:
+        return b"".join(map(self.replay.token.__getitem__, ids))
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.replay.token.__getitem__, ids.tolist()))
+    def digest(self, ids: array) -> str:
+        """SHA-256 of the ids as decimal numbers with single spaces."""
+        return hashlib.sha256(" ".join(map(self.decimal.__getitem__, ids)).encode()).hexdigest()
 
 
 @functools.lru_cache(maxsize=2)
@@ -190,15 +192,15 @@ def _encoded(docs: DataFrame, path: str, pattern: str, give: str) -> DataFrame:
             columns = [batch.column(f.name) for f in kept]
             texts = [t or "" for t in batch.column("text").to_pylist()]
             rows = own.encode(texts)
-            counts = pa.array([len(ids) for ids, _ in rows], pa.int64())
+            counts = pa.array([len(ids) for ids in rows], pa.int64())
             if give == "ids":
-                offsets = np.cumsum([0, *map(len, (ids for ids, _ in rows))]).astype(np.int32)
-                flat = np.concatenate([ids for ids, _ in rows] or [np.empty(0, "<u4")])
-                lists = pa.ListArray.from_arrays(offsets, flat.astype(np.int32))
+                offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+                flat = np.frombuffer(b"".join(ids.tobytes() for ids in rows), np.int32)
+                lists = pa.ListArray.from_arrays(offsets, flat)
                 yield pa.record_batch([*columns, counts, lists], names=[f.name for f in kept] + names)
                 continue
-            digests = [hashlib.sha256(text.encode()).hexdigest() for _, text in rows]
-            back = [hashlib.sha256(own.decode(ids)).hexdigest() for ids, _ in rows]
+            digests = [own.digest(ids) for ids in rows]
+            back = [hashlib.sha256(own.decode(ids)).hexdigest() for ids in rows]
             new = [counts, pa.array(digests, pa.string()), pa.array(back, pa.string())]
             yield pa.record_batch([*columns, *new], names=[f.name for f in kept] + names)
 

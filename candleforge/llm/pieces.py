@@ -21,7 +21,7 @@ _PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
 #: Pieces a worker remembers at least and, twice this, at most. It bounds memory only: what was
 #: not met since the last turn-over is forgotten and encoded again when it comes up.
-REMEMBERED = 600_000
+REMEMBERED = 150_000
 
 
 class Pieces:

@@ -52,7 +52,7 @@ _HERE, _BEFORE = 1, 2  # emissions: a match begins at this character, at the one
 
 _CHUNK = 512
 #: States of the counter a worker keeps; beyond, it compiles afresh. It bounds memory only.
-_KEPT_STATES = 1 << 17
+_KEPT_STATES = 3 << 14
 
 
 def _transition(state: int, kind: int) -> tuple[int, int]:
@@ -180,8 +180,8 @@ class Counter:
         start = (b"", ((0, None, 0),))
         self.states = [start]
         self.number = {start: 0}
-        self.next = np.full((1024, 256), -1, np.int32)
-        self.emit = np.zeros((1024, 256), np.int8)
+        self.next = np.full((1 << 13, 256), -1, np.int32)
+        self.emit = np.zeros((1 << 13, 256), np.int8)
 
     def _merged(self, text: bytes) -> list[int]:
         """The encoding of a short string, by its definition."""
@@ -227,8 +227,9 @@ class Counter:
             target = self.number[key] = len(self.states)
             self.states.append(key)
             if target == len(self.next):
-                self.next = np.concatenate([self.next, np.full_like(self.next, -1)])
-                self.emit = np.concatenate([self.emit, np.zeros_like(self.emit)])
+                more = np.full((1 << 13, 256), -1, np.int32)
+                self.next = np.concatenate([self.next, more])
+                self.emit = np.concatenate([self.emit, np.zeros(more.shape, np.int8)])
         self.next[state, byte] = target
         self.emit[state, byte] = count
 
