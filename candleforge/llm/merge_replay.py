@@ -28,6 +28,8 @@ from candleforge.llm.common import slices
 from candleforge.llm.pieces import Pieces
 
 _NONE = -1
+_BITS = 32
+_FEW = 100  # fewer items are handled one by one, as arrays would cost more
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -42,10 +44,10 @@ class Replay:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
-        self.single = [ranks[bytes([b])] for b in range(256)]
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.joined: dict[tuple[int, int], int] = {}
 
-    def rank_of(self, left: int, right: int) -> int:
+    def _rank(self, left: int, right: int) -> int:
         """The rank of two symbols' bytes together, or -1."""
         rank = self.joined.get((left, right))
         if rank is None:
@@ -53,76 +55,96 @@ class Replay:
             self.joined[left, right] = rank
         return rank
 
-    def encode(self, words: list[bytes]) -> list[list[int]]:
-        single, joined, rank_of = self.single, self.joined, self.rank_of
-        symbols: list[int] = []  # of all words; a merged-away place is -1
-        ends: list[int] = []
-        for word in words:
-            symbols.extend([single[b] for b in word])
-            ends.append(len(symbols))
-        after = list(range(1, len(symbols) + 1))
-        before = list(range(-1, len(symbols) - 1))
-        for end in ends:
-            if end:
-                after[end - 1] = _NONE
-            if end < len(symbols):
-                before[end] = _NONE
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The ranks of pairs, -1 where a side is missing; each distinct pair is looked up once."""
+        if len(left) < _FEW:
+            sides = zip(left.tolist(), right.tolist())
+            ranks = [self._rank(a, b) if a >= 0 and b >= 0 else _NONE for a, b in sides]
+            return np.array(ranks, np.int64)
+        out = np.full(len(left), _NONE, np.int64)
+        real = np.flatnonzero((left >= 0) & (right >= 0))
+        pairs, where = np.unique(left[real] << _BITS | right[real], return_inverse=True)
+        low = (1 << _BITS) - 1
+        found = [self._rank(p >> _BITS, p & low) for p in pairs.tolist()]
+        out[real] = np.array(found, np.int64)[where]
+        return out
+
+    def encode(self, words: list[bytes]) -> list[np.ndarray]:
+        sizes = np.array([len(w) for w in words], np.int64)
+        count = int(sizes.sum())
+        if not count:
+            return [np.empty(0, np.int64) for _ in words]
+        ends = np.cumsum(sizes)
+        # A merged-away place has symbol -1. One place more, so that -1 may be an index.
+        symbols = np.full(count + 1, _NONE, np.int64)
+        symbols[:count] = self.single[np.frombuffer(b"".join(words), np.uint8)]
+        after, before = np.arange(1, count + 2), np.arange(-1, count)
+        after[ends[sizes > 0] - 1] = _NONE
+        before[(ends - sizes)[sizes > 0]] = _NONE
+        # The rank of the pair that begins at each place, -1 for none.
+        pair = np.full(count + 1, _NONE, np.int64)
+        places = np.flatnonzero(after[:count] != _NONE)
+        pair[places] = self._ranks(symbols[places], symbols[places + 1])
 
         index: dict[int, list[int]] = {}
-        for place, (left, right) in enumerate(zip(symbols, symbols[1:])):
-            if after[place] != _NONE:
-                rank = joined.get((left, right))
-                if rank is None:
-                    rank = rank_of(left, right)
+        waiting: list[int] = []
+
+        def enter(places: np.ndarray, ranks: np.ndarray) -> None:
+            if len(places) < _FEW:
+                groups = zip(ranks.tolist(), ([p] for p in places.tolist()))
+            else:
+                order = np.argsort(ranks, kind="stable")
+                ranks, places = ranks[order], places[order].tolist()
+                firsts = np.flatnonzero(np.diff(ranks, prepend=_NONE - 1)).tolist()
+                cuts = zip(firsts, [*firsts[1:], len(ranks)])
+                groups = ((int(ranks[a]), places[a:b]) for a, b in cuts)
+            for rank, own in groups:
                 if rank != _NONE:
-                    index.setdefault(rank, []).append(place)
-        waiting = list(index)
-        heapq.heapify(waiting)
-
-        while waiting:
-            rank = heapq.heappop(waiting)
-            places = index.pop(rank, None)
-            if places is None:
-                continue
-            places.sort()
-            for done, place in enumerate(places):
-                left, other = symbols[place], after[place]
-                if left == _NONE or other == _NONE or joined[left, symbols[other]] != rank:
-                    continue  # an earlier merge changed this place
-                symbols[place], symbols[other] = rank, _NONE
-                after[place] = following = after[other]
-                least = rank
-                if following != _NONE:
-                    before[following] = place
-                    new = rank_of(rank, symbols[following])
-                    if new != _NONE:
-                        if new not in index:
-                            index[new] = []
-                            heapq.heappush(waiting, new)
-                        index[new].append(place)
-                        least = min(least, new)
-                leading = before[place]
-                if leading != _NONE:
-                    new = rank_of(symbols[leading], rank)
-                    if new != _NONE:
-                        if new not in index:
-                            index[new] = []
-                            heapq.heappush(waiting, new)
-                        index[new].append(leading)
-                        least = min(least, new)
-                if least < rank and done + 1 < len(places):
-                    # A lower rank has come up: it goes first, the rest waits.
                     if rank not in index:
                         index[rank] = []
                         heapq.heappush(waiting, rank)
-                    index[rank].extend(places[done + 1 :])
-                    break
+                    index[rank].extend(own)
 
-        found, first = [], 0
-        for end in ends:
-            found.append([s for s in symbols[first:end] if s != _NONE])
-            first = end
-        return found
+        enter(places, pair[places])
+        while waiting:
+            rank = heapq.heappop(waiting)
+            places = np.array(sorted(index.pop(rank)), np.int64)
+            while True:
+                # Earlier merges may have changed a place. Of overlapping pairs the leftmost
+                # goes first: one whose left neighbour is not a pair of this rank.
+                places = places[pair[places] == rank]
+                if not len(places):
+                    break
+                left = before[places]
+                heads = places[(left == _NONE) | (pair[left] != rank)]
+                new = np.full(len(heads), rank)
+                ahead = self._ranks(new, symbols[after[after[heads]]])
+                behind = self._ranks(symbols[before[heads]], new)
+                lower = ((ahead != _NONE) & (ahead < rank)) | ((behind != _NONE) & (behind < rank))
+                if one_each := bool(lower.any()):
+                    # A lower rank comes up: each word takes one step, the rest waits for it.
+                    _, chosen = np.unique(np.searchsorted(ends, heads, "right"), return_index=True)
+                    heads = heads[chosen]
+                other = after[heads]
+                following = after[other]
+                symbols[heads], symbols[other], pair[other] = rank, _NONE, _NONE
+                after[heads] = following
+                inner = following != _NONE
+                before[following[inner]] = heads[inner]
+                # Only the pairs on either side change.
+                left = before[heads]
+                left = left[left != _NONE]
+                touched = np.unique(np.concatenate([heads, left]))
+                pair[touched] = self._ranks(symbols[touched], symbols[after[touched]])
+                enter(touched, pair[touched])
+                if one_each:
+                    rest = places[pair[places] == rank]
+                    enter(rest, pair[rest])
+                    break
+        whole = symbols[:count]
+        kept = np.flatnonzero(whole != _NONE)
+        cuts = np.searchsorted(kept, ends)
+        return np.split(whole[kept], cuts[:-1])
 
 
 class Codec:
@@ -137,23 +159,17 @@ class Codec:
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
         """For each piece its ids as 32-bit integers."""
         ranks = self.replay.ranks
-        words = [[w.encode() for w in self.pattern.findall(piece)] for piece in pieces]
+        find = self.pattern.findall
+        words = [[w.encode() for w in find(piece)] for piece in pieces]
         rest = list({w for many in words for w in many if w not in ranks})
-        ids = dict(zip(rest, self.replay.encode(rest)))
-        out = []
-        for many in words:
-            found = []
-            for word in many:
-                if word in ranks:
-                    found.append(ranks[word])
-                else:
-                    found.extend(ids[word])
-            out.append(array("I", found).tobytes())
-        return out
+        encoded = self.replay.encode(rest)
+        ids = {w: found.astype("<u4").tobytes() for w, found in zip(rest, encoded)}
+        ids.update((w, array("I", [ranks[w]]).tobytes()) for many in words for w in many if w in ranks)
+        return [b"".join([ids[w] for w in many]) for many in words]
 
     def encode(self, texts: list[str]) -> list[array]:
         """For each text its ids."""
-        return [array("I", b"".join(pieces)) for pieces in self.pieces.of(texts)]
+        return [array("I", packed) for packed in self.pieces.of(texts)]
 
     def decode(self, ids: array) -> bytes:
         return b"".join(map(self.replay.token.__getitem__, ids))

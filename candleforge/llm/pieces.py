@@ -19,30 +19,42 @@ IS_WHITE = re.compile(f"[{WHITE}]")
 
 _PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
+# A full stop or comma after a letter begins a match of its own.
+_STOPPED = re.compile(r"\s?[A-Za-z]+[.,]")
+
 #: Pieces a worker remembers at least and, twice this, at most. It bounds memory only: what was
 #: not met since the last turn-over is forgotten and encoded again when it comes up.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
 
 
 class Pieces:
-    """Looks up what ``encode_all`` gives for each piece of a text.
+    """Looks up the ids, as packed integers, of each piece of a text.
 
-    ``encode_all`` takes a list of distinct pieces and returns a value for each.
+    ``encode_all`` gives them for a list of distinct pieces.
     """
 
-    def __init__(self, encode_all: Callable[[list[str]], list]):
+    def __init__(self, encode_all: Callable[[list[str]], list[bytes]]):
         self.encode_all = encode_all
-        self.known: dict[str, object] = {}
-        self.older: dict[str, object] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Make all pieces known. One that ends in a sign is put together from its stem."""
+        known, older = self.known, self.older
+        known.update((piece, older[piece]) for piece in pieces & older.keys())
+        pieces = pieces - known.keys()
+        stopped = {p for p in pieces if _STOPPED.fullmatch(p)}
+        asked = {*(p[:-1] for p in stopped), *".,", *(pieces - stopped)} - known.keys()
+        fresh = list(asked - older.keys())
+        known.update((piece, older[piece]) for piece in asked & older.keys())
+        known.update(zip(fresh, self.encode_all(fresh)))
+        known.update((p, known[p[:-1]] + known[p[-1]]) for p in stopped)
 
-    def of(self, texts: list[str]) -> list[list]:
-        """For each text, the values of its pieces in order."""
+    def of(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
         cut = [_PIECE.findall(text) for text in texts]
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        missing = set().union(*cut) - known.keys()
-        known.update((piece, older[piece]) for piece in missing & older.keys())
-        fresh = list(missing - known.keys())
-        known.update(zip(fresh, self.encode_all(fresh)))
-        return [[known[piece] for piece in pieces] for pieces in cut]
+        self._learn(set().union(*cut) - self.known.keys())
+        value = self.known.__getitem__
+        return [b"".join(map(value, pieces)) for pieces in cut]

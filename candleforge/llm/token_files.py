@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import functools
 import os
-import re
 import uuid
 import zlib
 from array import array
@@ -42,8 +41,6 @@ BATCH = 64
 
 END_ID = 0
 
-_STOPPED = re.compile(r"\s?[A-Za-z]+[.,]")
-
 
 class _Library:
     """The tokenizers library, asked once for every distinct piece."""
@@ -59,22 +56,12 @@ class _Library:
         self.pieces = Pieces(self._encode_pieces)
 
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """The ids of each piece as packed integers.
-
-        A full stop or comma after a letter begins a match of its own, so such a piece has the
-        ids of what stands before it and those of the sign.
-        """
-        stems = {p: p[:-1] for p in pieces if _STOPPED.fullmatch(p)}
-        known, older = self.pieces.known, self.pieces.older
-        asked = {*pieces, *stems.values(), *".,"} - stems.keys()
-        packed = {p: known.get(p) or older.get(p) for p in asked}
-        fresh = [p for p, ids in packed.items() if ids is None]
-        encoded = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        packed.update((p, array(self.kind.char, e.ids).tobytes()) for p, e in zip(fresh, encoded))
-        return [packed[stems[p]] + packed[p[-1]] if p in stems else packed[p] for p in pieces]
+        encoded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        return [array(self.kind.char, e.ids).tobytes() for e in encoded]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return [b"".join(pieces) for pieces in self.pieces.of(texts)]
+        """The ids of each text as packed integers."""
+        return self.pieces.of(texts)
 
 
 @functools.lru_cache(maxsize=2)

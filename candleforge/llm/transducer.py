@@ -52,7 +52,7 @@ _HERE, _BEFORE = 1, 2  # emissions: a match begins at this character, at the one
 
 _CHUNK = 512
 #: States of the counter a worker keeps; beyond, it compiles afresh. It bounds memory only.
-_KEPT_STATES = 3 << 14
+_KEPT_STATES = 1 << 17
 
 
 def _transition(state: int, kind: int) -> tuple[int, int]:
@@ -180,8 +180,23 @@ class Counter:
         start = (b"", ((0, None, 0),))
         self.states = [start]
         self.number = {start: 0}
-        self.next = np.full((1 << 13, 256), -1, np.int32)
-        self.emit = np.zeros((1 << 13, 256), np.int8)
+        # Only bytes that occur have a column.
+        self.column = np.full(256, -1, np.int64)
+        self.bytes: list[int] = []
+        self.next = np.full((1 << 13, 32), -1, np.int32)
+        self.emit = np.zeros((1 << 13, 32), np.int8)
+
+    def _columns(self, octets: np.ndarray) -> np.ndarray:
+        """The table columns of all bytes, new ones added."""
+        met = np.flatnonzero(np.bincount(octets, minlength=256))
+        for byte in met[self.column[met] < 0].tolist():
+            self.column[byte] = len(self.bytes)
+            self.bytes.append(byte)
+        while len(self.bytes) > self.next.shape[1]:
+            more = (len(self.next), 32)
+            self.next = np.concatenate([self.next, np.full(more, -1, np.int32)], axis=1)
+            self.emit = np.concatenate([self.emit, np.zeros(more, np.int8)], axis=1)
+        return self.column[octets]
 
     def _merged(self, text: bytes) -> list[int]:
         """The encoding of a short string, by its definition."""
@@ -203,9 +218,9 @@ class Counter:
             ids = out
         return ids
 
-    def _compile(self, state: int, byte: int) -> None:
+    def _compile(self, state: int, column: int) -> None:
         tail, places = self.states[state]
-        grown = tail + bytes([byte])
+        grown = tail + bytes([self.bytes[column]])
         last, count = None, 0
         for length, before, so_far in places:
             token = self.id_of.get(grown[len(grown) - 1 - length :])
@@ -227,30 +242,31 @@ class Counter:
             target = self.number[key] = len(self.states)
             self.states.append(key)
             if target == len(self.next):
-                more = np.full((1 << 13, 256), -1, np.int32)
+                more = np.full((1 << 13, self.next.shape[1]), -1, np.int32)
                 self.next = np.concatenate([self.next, more])
                 self.emit = np.concatenate([self.emit, np.zeros(more.shape, np.int8)])
-        self.next[state, byte] = target
-        self.emit[state, byte] = count
+        self.next[state, column] = target
+        self.emit[state, column] = count
 
     def count(self, octets: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Tokens of each match, given by its first byte and number of bytes."""
         if len(self.states) > _KEPT_STATES:
             self._reset()
+        columns = self._columns(octets)
         order = np.argsort(-lengths, kind="stable")
         first, size = starts[order], lengths[order]
         state = np.zeros(len(order), np.int64)
         tokens = np.zeros(len(order), np.int64)
         active, step = len(order), 0
         while active := int(np.searchsorted(-size[:active], -step)):
-            byte = octets[first[:active] + step]
+            column = columns[first[:active] + step]
             now = state[:active]
-            after = self.next[now, byte]
+            after = self.next[now, column]
             if (missing := after < 0).any():
-                for pair in np.unique(now[missing] * 256 + byte[missing]).tolist():
+                for pair in np.unique(now[missing] * 256 + column[missing]).tolist():
                     self._compile(*divmod(pair, 256))
-                after = self.next[now, byte]
-            tokens[:active] += self.emit[now, byte]
+                after = self.next[now, column]
+            tokens[:active] += self.emit[now, column]
             state[:active] = after
             step += 1
         out = np.empty_like(tokens)
