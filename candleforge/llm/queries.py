@@ -99,7 +99,13 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], given.schema)
+    extra = spark.range(2).select(
+        F.lit(-7).alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    extra = extra.select(*[F.col(f.name).cast(f.dataType) for f in given.schema])
     parsed = chat.parse(chat.render(given.unionByName(extra)))
     turns = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     loss = F.array_join("loss_texts", "")
