@@ -128,12 +128,17 @@ def randomness(value: str) -> float | None:
 
 def candidates(text: str, taken: list[tuple[int, int, str]]) -> Iterator[tuple[int, int, int, int]]:
     """start, end, length class and step of the p-value of each run the patterns left."""
+    taken, met, reach = sorted(taken), 0, 0
     for m in _RUN.finditer(text):
         start, end = m.span()
+        # Runs come in order, so the furthest end of the spans begun so far tells of an overlap.
+        while met < len(taken) and taken[met][0] < end:
+            reach = max(reach, taken[met][1])
+            met += 1
         value = m.group()
         if value.isalpha() or not any(map(str.isalpha, value)) or not any(map(str.isdigit, value)):
             continue
-        if any(a < end and start < b for a, b, _ in taken):
+        if reach > start:
             continue
         p = randomness(value)
         if p is not None:
