@@ -38,8 +38,6 @@ MISSING_CELLS = [
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# A member above this size is decoded twice (check, then emit) instead of held whole.
-HOLD_BYTES = 1 << 30
 BLOCK_BYTES = 8 << 20
 
 INTEGER = re.compile(r"[+-]?\d+")
@@ -160,15 +158,11 @@ def _file_batches(content: pa.Buffer) -> Iterator[pa.RecordBatch]:
         with zipfile.ZipFile(pa.BufferReader(content)) as archive:
             member = next((m for m in archive.infolist() if m.filename.endswith(".csv")), None)
             if member is None:
-                raise ValueError("zip contains no .csv file")
-            decoded = _csv_batches(archive, member)
-            if member.file_size <= HOLD_BYTES:
-                decoded = list(decoded)
-            else:
-                for _ in decoded:
-                    pass
-                decoded = _csv_batches(archive, member)
-            yield from decoded
+                raise ValueError("no member of the archive ends in .csv")
+            # Checked to its end first and then decoded again, so that no member is held whole.
+            for _ in _csv_batches(archive, member):
+                pass
+            yield from _csv_batches(archive, member)
     except Exception as error:  # any unreadable file becomes a quarantine row
         no_cells = [None] * len(TRADE_FILE_COLUMNS)
         yield _cells_batch([no_cells], False, f"{type(error).__name__}: {error}")

@@ -100,7 +100,6 @@ def test_bad_bytes_late_in_a_file_leave_no_rows(spark):
 
 
 def test_large_member_is_checked_before_it_is_emitted(spark, monkeypatch):
-    monkeypatch.setattr(landing, "HOLD_BYTES", 0)
     monkeypatch.setattr(landing, "BLOCK_BYTES", 4096)
     good = "".join(f"{i},{ROW[2:]}\n" for i in range(1000))
     assert len(parse(spark, good)) == 1000
