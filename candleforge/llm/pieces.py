@@ -19,12 +19,27 @@ IS_WHITE = re.compile(f"[{WHITE}]")
 
 _PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
-# A full stop or comma after a letter begins a match of its own.
-_STOPPED = re.compile(r"\s?[A-Za-z]+[.,]")
+# Where none of these occurs, each space and each new line follows another character.
+_RUNS = [first + second for first in "\t\n\x0b\x0c\r " for second in " \n"]
+_WIDE_RUN = re.compile(f"[{WHITE[6:]}][ \n]")
+_CUT = "\0"
+
+_LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+
+# A new line, a word and marks behind it are matches of their own; an apostrophe might not be.
+_PARTED = re.compile(f"(\n?)( ?[{_LETTERS}]+)([!-&(-/:-@\\[-`{{-~]*)")
 
 #: Pieces a worker remembers at least and, twice this, at most. It bounds memory only: what was
 #: not met since the last turn-over is forgotten and encoded again when it comes up.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
+
+
+def cut(text: str) -> list[str]:
+    """The pieces of a text. Plain texts need no search: they are cut at each space and new line."""
+    wide = not text.isascii() and _WIDE_RUN.search(text)
+    if wide or _CUT in text or any(run in text for run in _RUNS):
+        return _PIECE.findall(text)
+    return text.replace(" ", f"{_CUT} ").replace("\n", f"{_CUT}\n").split(_CUT)
 
 
 class Pieces:
@@ -39,22 +54,22 @@ class Pieces:
         self.older: dict[str, bytes] = {}
 
     def _learn(self, pieces: set[str]) -> None:
-        """Make all pieces known. One that ends in a sign is put together from its stem."""
+        """Make all pieces known. A word with marks around it is put together from its parts."""
         known, older = self.known, self.older
         known.update((piece, older[piece]) for piece in pieces & older.keys())
-        pieces = pieces - known.keys()
-        stopped = {p for p in pieces if _STOPPED.fullmatch(p)}
-        asked = {*(p[:-1] for p in stopped), *".,", *(pieces - stopped)} - known.keys()
-        fresh = list(asked - older.keys())
+        found = ((p, _PARTED.fullmatch(p)) for p in pieces - known.keys())
+        parted = {p: match.groups() for p, match in found if match and match[2] != p}
+        asked = set().union(*parted.values()) | pieces - parted.keys()
         known.update((piece, older[piece]) for piece in asked & older.keys())
+        fresh = list(asked - known.keys())
         known.update(zip(fresh, self.encode_all(fresh)))
-        known.update((p, known[p[:-1]] + known[p[-1]]) for p in stopped)
+        known.update((p, known[a] + known[b] + known[c]) for p, (a, b, c) in parted.items())
 
     def of(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        cut = [_PIECE.findall(text) for text in texts]
+        pieces_of = [cut(text) for text in texts]
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
-        self._learn(set().union(*cut) - self.known.keys())
+        self._learn(set().union(*pieces_of) - self.known.keys())
         value = self.known.__getitem__
-        return [b"".join(map(value, pieces)) for pieces in cut]
+        return [b"".join(map(value, pieces)) for pieces in pieces_of]

@@ -2,10 +2,10 @@
 
 The ids of all documents, in ascending order of doc_id, form one stream. It is cut into shards by
 ranges of doc_id; each shard is one Arrow file whose record batches hold two fixed-size lists per
-row: ``ids`` (unsigned, the narrowest type that holds the vocabulary) and ``mask`` (one byte, 1
-for a real id, 0 for padding at the end of the shard). A list's place follows from its number, so
-a mapped file gives any sequence and its mask without copying. Each file's schema metadata holds
-the sequence length.
+row: ``ids`` (unsigned, the narrowest type that holds the vocabulary) and ``mask`` (booleans, true
+for a real id, false for padding at the end of the shard; Arrow packs eight to a byte). A list's
+place follows from its number, so a mapped file gives any sequence and its mask without copying.
+Each file's schema metadata holds the sequence length.
 
 Tasks write under names of their own and report what they wrote as rows; the report of the
 attempts that count becomes the manifest, so retried or lost tasks leave only unlisted files. The
@@ -78,7 +78,7 @@ class _ShardWriter:
         self.schema = pa.schema(
             {
                 "ids": pa.list_(pa.from_numpy_dtype(kind), length),
-                "mask": pa.list_(pa.uint8(), length),
+                "mask": pa.list_(pa.bool_(), length),
             },
             metadata={"length": str(length)},
         )
@@ -88,9 +88,9 @@ class _ShardWriter:
         self.file = pa.ipc.new_file(self.sink, self.schema)
 
     def _batch(self, ids: np.ndarray, real: int) -> None:
-        mask = (np.arange(len(ids)) < real).astype(np.uint8)
+        mask = pa.array(np.arange(len(ids)) < real)
         columns = [
-            pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)
+            pa.FixedSizeListArray.from_arrays(x, self.length) for x in (pa.array(ids), mask)
         ]
         self.file.write_batch(pa.record_batch(columns, schema=self.schema))
 
@@ -127,19 +127,19 @@ class Shard:
             self.source = store.open_input_file(path)
         self.file = pa.ipc.open_file(self.source)
         self.length = int(self.file.schema.metadata[b"length"])
-        self.batch: tuple[int, np.ndarray, np.ndarray] | None = None
+        self.batch: tuple[int, np.ndarray, pa.BooleanArray] | None = None
 
-    def _load(self, number: int) -> tuple[np.ndarray, np.ndarray]:
+    def _load(self, number: int) -> tuple[np.ndarray, pa.BooleanArray]:
         if self.batch is None or self.batch[0] != number:
             batch = self.file.get_batch(number)
-            ids, mask = (c.flatten().to_numpy(zero_copy_only=True) for c in batch.columns)
-            self.batch = number, ids, mask
+            ids, mask = (column.flatten() for column in batch.columns)
+            self.batch = number, ids.to_numpy(zero_copy_only=True), mask
         return self.batch[1], self.batch[2]
 
-    def sequence(self, number: int) -> tuple[np.ndarray, np.ndarray]:
+    def sequence(self, number: int) -> tuple[np.ndarray, pa.BooleanArray]:
         ids, mask = self._load(number // BATCH)
         at = number % BATCH * self.length
-        return ids[at : at + self.length], mask[at : at + self.length]
+        return ids[at : at + self.length], mask.slice(at, self.length)
 
     def ids(self, start: int, count: int) -> Iterator[np.ndarray]:
         """Real ids from a place in the shard on, batch by batch."""
@@ -147,7 +147,7 @@ class Shard:
         while count:
             ids, mask = self._load(start // full)
             part = ids[start % full : start % full + count]
-            if not mask[start % full : start % full + len(part)].all():
+            if mask.slice(start % full, len(part)).true_count < len(part):
                 raise ValueError("the index points at padding")
             yield part
             start, count = start + len(part), count - len(part)
