@@ -49,6 +49,10 @@ class Lake:
     def scans(self) -> str:
         return self._at("state/scans")
 
+    @property
+    def checks(self) -> str:
+        return self._at("state/checks")
+
     @property
     def outcomes(self) -> str:
         return self._at("state/outcomes")
@@ -109,7 +113,9 @@ def load(
     ``files(partitions)`` gives the landed files (path, file_name, symbol, batch_date,
     content), of all partitions for None. ``expected`` lists the (symbol, batch_date) the
     run is about. The unit of loading is the partition: if one of its files changed, all
-    its files are parsed, since bronze replaces whole partitions.
+    its files are parsed, since bronze replaces whole partitions. While one of them is
+    unreadable, a partition that bronze holds stays as it was; one whose files have no rows
+    any more is emptied, through gold.
     """
     started = dt.datetime.now(dt.timezone.utc)
     scans = _record_scan(spark, files, lake, run_id, expected)
@@ -117,9 +123,13 @@ def load(
     entries = []
     try:
         if not to_load.isEmpty():
-            entries.append(_load_bronze(files(to_load), lake, run_id, started))
+            checks = _check_files(files(to_load), lake, run_id)
+            entries.append(_load_bronze(files(to_load), checks, lake, run_id, started))
+            emptied = _clear_emptied(checks, lake)
             if tables.exists(spark, lake.bronze):
                 entries += refresh_from_bronze(spark, lake, to_load, run_id, epoch_unit, exact)
+            elif emptied and tables.exists(spark, lake.hourly):
+                gold.refresh(spark, lake.silver, to_load, lake.hourly, lake.daily, run_id, exact)
             _record_files(spark, scans, lake, run_id)
     except Exception:
         # The run log tells of a failed run; its files count as not loaded.
@@ -157,27 +167,62 @@ def _record_scan(spark, files, lake: Lake, run_id: str, expected: DataFrame) ->
     return scans.filter(F.col("run_id") == run_id)
 
 
-def _load_bronze(files: DataFrame, lake: Lake, run_id: str, started: dt.datetime) -> dict:
-    parsed = landing.parse_zipped_csv(landing.with_fingerprint(files))
-    metrics = runlog.WriteMetrics(
-        rows_in=F.count("*"), bad_files=F.count_if(F.col(landing.PARSE_ERROR).isNotNull())
-    )
-    rows = landing.readable(metrics.attach(parsed))
+def _check_files(files: DataFrame, lake: Lake, run_id: str) -> DataFrame:
+    """Decode the files once to tell bad, empty and overlong ones; one stored row per file."""
+    checks = landing.check_zipped_csv(landing.with_fingerprint(files))
+    checks = checks.withColumn("run_id", F.lit(run_id))
+    tables.replace_partitions(checks, lake.checks, ["run_id"])
+    stored = files.sparkSession.read.schema(checks.schema).parquet(lake.checks)
+    return stored.filter(F.col("run_id") == run_id)
+
+
+def _load_bronze(
+    files: DataFrame, checks: DataFrame, lake: Lake, run_id: str, started: dt.datetime
+) -> dict:
+    spark = files.sparkSession
+    bad = checks.filter(F.col(landing.PARSE_ERROR).isNotNull())
+    bad_files = bad.count()
+    if bad_files:
+        quality.write_quarantine(
+            bad.drop("run_id", landing.EXTRA_CELLS, landing.FILE_ROWS), lake.bad_files, run_id
+        )
+        with_bad = tables.partition_filter(bad, PARTITION)
+        good = files.filter(with_bad).join(bad.select("path"), "path", "left_anti")
+        if tables.exists(spark, lake.bronze):
+            held = bronze.read(spark, lake.bronze).filter(with_bad)
+            held = tables.partition_filter(held, PARTITION)
+            good = good if held is tables.NO_PARTITION else good.filter(~held)
+        files = files.filter(~with_bad).unionByName(good)
+    metrics = runlog.WriteMetrics(rows_in=F.count("*"))
+    rows = landing.parse_zipped_csv(landing.with_fingerprint(files), checked=True)
+    rows = metrics.attach(landing.readable(rows))
     bronze.write(bronze.with_audit(rows, run_id, started), lake.bronze, from_files=True)
-    counted = metrics.values()
-    if counted["bad_files"]:
-        quality.write_quarantine(landing.unreadable(parsed), lake.bad_files, run_id)
+    rows_in = metrics.values()["rows_in"]
     return {
         "stage": "bronze",
-        "status": "PARTIAL" if counted["bad_files"] else "SUCCESS",
-        "rows_in": counted["rows_in"],
-        "rows_out": counted["rows_in"] - counted["bad_files"],
+        "status": "PARTIAL" if bad_files else "SUCCESS",
+        "rows_in": rows_in + bad_files,
+        "rows_out": rows_in,
         "started_at": started,
         "ended_at": dt.datetime.now(dt.timezone.utc),
         "run_id": run_id,
     }
 
 
+def _clear_emptied(checks: DataFrame, lake: Lake) -> bool:
+    """Remove the stored rows of days whose files are all readable and have no row."""
+    emptied = (
+        checks.groupBy(*PARTITION)
+        .agg(F.sum(landing.FILE_ROWS).alias("rows"), F.count(landing.PARSE_ERROR).alias("bad"))
+        .filter("rows = 0 AND bad = 0")
+    )
+    # As many as there are partitions to load, which the load lists as literals anyway.
+    listed = tables.listed_partitions(emptied, PARTITION)
+    for target in (lake.bronze, lake.silver):
+        tables.drop_partitions(checks.sparkSession, target, listed)
+    return bool(listed)
+
+
 def refresh_from_bronze(
     spark: SparkSession,
     lake: Lake,

@@ -44,6 +44,7 @@ INTEGER = re.compile(r"[+-]?\d+")
 
 PARSE_ERROR = "_parse_error"
 EXTRA_CELLS = "_has_extra_cells"
+FILE_ROWS = "_file_rows"
 
 
 def file_name_of(path: str) -> Column:
@@ -117,13 +118,14 @@ def with_fingerprint(files: DataFrame, content: str = "content") -> DataFrame:
     return files.withColumn("sha256", fingerprint(F.col(content)))
 
 
-def parse_zipped_csv(files: DataFrame) -> DataFrame:
+def parse_zipped_csv(files: DataFrame, checked: bool = False) -> DataFrame:
     """Rows of the first ``.csv`` member of each zip, all text, in canonical column order.
 
     ``files`` has ``content``; its other columns are repeated on every row. A file that
     cannot be read gives exactly one row, with ``_parse_error`` set and no trade cells.
     Rows narrower than the canonical columns are padded with nulls, wider ones lose the
-    surplus cells and are marked in ``_has_extra_cells``.
+    surplus cells and are marked in ``_has_extra_cells``. Files known to be readable by
+    ``check_zipped_csv`` may be passed as ``checked``; they are decoded once.
     """
     carried = [f for f in files.schema if f.name != "content"]
     schema = T.StructType(
@@ -141,7 +143,7 @@ def parse_zipped_csv(files: DataFrame) -> DataFrame:
             content = batch.column("content")
             for i in range(batch.num_rows):
                 keep = [batch.column(name).slice(i, 1) for name in carried_names]
-                for cells in _file_batches(content[i].as_buffer()):
+                for cells in _file_batches(content[i].as_buffer(), checked):
                     # Repeat the file's own columns on each of its rows.
                     index = pa.repeat(pa.scalar(0, pa.int64()), cells.num_rows)
                     yield pa.RecordBatch.from_arrays(
@@ -152,20 +154,59 @@ def parse_zipped_csv(files: DataFrame) -> DataFrame:
     return files.select("content", *carried_names).mapInArrow(decode, schema)
 
 
-def _file_batches(content: pa.Buffer) -> Iterator[pa.RecordBatch]:
-    """Text batches of one zip, or a single error row: a file counts whole or not at all."""
+def check_zipped_csv(files: DataFrame) -> DataFrame:
+    """One row per file instead of its content: is it readable, how many rows, any surplus cells."""
+    carried = [f for f in files.schema if f.name != "content"]
+    found = [
+        T.StructField(FILE_ROWS, T.LongType()),
+        T.StructField(EXTRA_CELLS, T.BooleanType()),
+        T.StructField(PARSE_ERROR, T.StringType()),
+    ]
+    names = [f.name for f in carried]
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            results = [_check(content.as_buffer()) for content in batch.column("content")]
+            types = (pa.int64(), pa.bool_(), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(n) for n in names]
+                + [pa.array(column, kind) for column, kind in zip(zip(*results), types)],
+                names=[*names, FILE_ROWS, EXTRA_CELLS, PARSE_ERROR],
+            )
+
+    return files.select("content", *names).mapInArrow(check, T.StructType(carried + found))
+
+
+def _check(content: pa.Buffer) -> tuple[int, bool, str | None]:
+    rows, extra = 0, False
     try:
-        with zipfile.ZipFile(pa.BufferReader(content)) as archive:
-            member = next((m for m in archive.infolist() if m.filename.endswith(".csv")), None)
-            if member is None:
-                raise ValueError("no member of the archive ends in .csv")
-            # Checked to its end first and then decoded again, so that no member is held whole.
-            for _ in _csv_batches(archive, member):
-                pass
-            yield from _csv_batches(archive, member)
-    except Exception as error:  # any unreadable file becomes a quarantine row
-        no_cells = [None] * len(TRADE_FILE_COLUMNS)
-        yield _cells_batch([no_cells], False, f"{type(error).__name__}: {error}")
+        for cells in _member_batches(content):
+            rows += cells.num_rows
+            extra = extra or cells.column(EXTRA_CELLS).true_count > 0
+    except Exception as error:  # whatever is wrong with a file, it must not stop the others
+        return 0, False, f"{type(error).__name__}: {error}"
+    return rows, extra, None
+
+
+def _file_batches(content: pa.Buffer, checked: bool) -> Iterator[pa.RecordBatch]:
+    """Text batches of one zip, or a single error row: a file counts whole or not at all.
+
+    Without a check before, a member is decoded to its end first and then again, so that none
+    is held whole.
+    """
+    error = None if checked else _check(content)[2]
+    if error is None:
+        yield from _member_batches(content)
+    else:
+        yield _cells_batch([[None] * len(TRADE_FILE_COLUMNS)], False, error)
+
+
+def _member_batches(content: pa.Buffer) -> Iterator[pa.RecordBatch]:
+    with zipfile.ZipFile(pa.BufferReader(content)) as archive:
+        member = next((m for m in archive.infolist() if m.filename.endswith(".csv")), None)
+        if member is None:
+            raise ValueError("no member of the archive ends in .csv")
+        yield from _csv_batches(archive, member)
 
 
 def _csv_batches(archive: zipfile.ZipFile, member: zipfile.ZipInfo) -> Iterator[pa.RecordBatch]:

@@ -21,6 +21,12 @@ def has_data(spark: SparkSession, folder: str) -> bool:
     return matches(spark, f"{folder.rstrip('/')}/[!_.]*")
 
 
-def delete(spark: SparkSession, folder: str) -> None:
+def delete(spark: SparkSession, folder: str, parents: int = 0) -> None:
+    """Remove a folder, and as many of its parent folders as given while they are empty."""
     system, path = _resolve(spark, folder)
     system.delete(path, True)
+    for _ in range(parents):
+        path = path.getParent()
+        if not system.exists(path) or len(system.listStatus(path)):
+            return
+        system.delete(path, False)

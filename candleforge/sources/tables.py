@@ -111,6 +111,18 @@ def listed_partitions(partitions: DataFrame, partition_by: list[str]) -> list[di
     return [row.asDict() for row in partitions.select(*names).distinct().collect()]
 
 
+# How partition folders write a missing value, and the characters they escape.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+ESCAPED = "\"#%'*/:=?\\{[]^\x7f"
+
+
+def folder_text(value: str | None) -> str:
+    """A partition value as part of a folder name."""
+    if not value:
+        return NULL_FOLDER
+    return "".join(f"%{ord(c):02X}" if c in ESCAPED or c < " " else c for c in value)
+
+
 def drop_partitions(spark: SparkSession, target: str, listed: list[dict]) -> None:
     """Remove partitions; absent ones are ignored. List them before replacing files."""
     for values in listed:
@@ -118,8 +130,8 @@ def drop_partitions(spark: SparkSession, target: str, listed: list[dict]) -> Non
             spec = ", ".join(f"`{c}` = '{value}'" for c, value in values.items())
             spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({spec})")
             continue
-        folder = "/".join(f"{c}={value}" for c, value in values.items())
-        storage.delete(spark, f"{target.rstrip('/')}/{folder}")
+        folder = "/".join(f"{c}={folder_text(value)}" for c, value in values.items())
+        storage.delete(spark, f"{target.rstrip('/')}/{folder}", parents=len(values) - 1)
 
 
 def partition_filter(partitions: DataFrame, columns: list[str]) -> Column | object:

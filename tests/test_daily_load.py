@@ -73,6 +73,42 @@ def test_runs_follow_the_files(spark, folder):
     assert before == after and daily(spark, lake) == candles
 
 
+def test_emptied_and_half_bad_days(spark, folder):
+    landing, lake = f"{folder}/landing", daily_load.Lake(f"{folder}/lake")
+
+    def run(run_id):
+        return daily_load.run(spark, landing, lake, run_id, SYMBOLS[:2], [DAY])["status"]
+
+    def stored(path):
+        found = spark.read.parquet(path).groupBy("symbol").count().collect()
+        return {r.symbol: r["count"] for r in found}
+
+    second = f"{landing}/symbol=BBB/batch_date={DAY}/BBB-aggTrades-{DAY}-2.zip"
+    land(landing, "AAA", zipped(rows(1, 2)))
+    land(landing, "BBB", zipped(rows(5, 6)))
+    with open(second, "wb") as out:
+        out.write(zipped(rows(7, first_id=3).replace(",true\n", ",true,more\n")))
+    assert run("r1") == "SUCCESS"
+    assert stored(lake.bronze) == stored(lake.silver) == {"AAA": 2, "BBB": 3}
+    flagged = spark.read.parquet(lake.checks).filter("_has_extra_cells").collect()
+    assert [r.path.rsplit("/", 1)[1] for r in flagged] == [second.rsplit("/", 1)[1]]
+
+    # A file without rows empties its day; a bad part leaves the other day as it was.
+    land(landing, "AAA", zipped(f"{HEADER}\n"))
+    with open(second, "wb") as out:
+        out.write(b"no zip")
+    assert run("r2") == "PARTIAL"
+    assert stored(lake.bronze) == stored(lake.silver) == {"BBB": 3}
+    assert daily(spark, lake) == {"BBB": (5, 6, 3)}
+
+    # All days of the table are emptied.
+    land(landing, "BBB", zipped(f"{HEADER}\n"))
+    with open(second, "wb") as out:
+        out.write(zipped(f"{HEADER}\n"))
+    assert run("r3") == "SUCCESS"
+    assert daily(spark, lake) == {}
+
+
 def test_only_bad_and_only_missing_files(spark, folder):
     landing, lake = f"{folder}/landing", daily_load.Lake(f"{folder}/lake")
     land(landing, "AAA", zipped("x", "readme.txt"))

@@ -146,3 +146,12 @@ def test_dictionary(spark):
     assert rows.count() == sum(len(t) for t in schema.TABLES.values())
     by_class = {(r.column_name.startswith("_"), r.sensitivity) for r in rows.collect()}
     assert by_class == {(True, "INTERNAL"), (False, "PUBLIC")}
+
+
+def test_partitions_with_odd_values_are_dropped(spark, folder):
+    target = f"{folder}/odd"
+    values = [None, "a b", "x=1", "50%", "p/q", "c:d", "[e]", "stay"]
+    frame = spark.createDataFrame([(1, v) for v in values], "n int, k string")
+    tables.replace_partitions(frame, target, ["k"])
+    tables.drop_partitions(spark, target, [{"k": v} for v in values[:-1]])
+    assert [r.k for r in tables.read(spark, target, frame.schema).collect()] == ["stay"]
