@@ -1,10 +1,13 @@
 """Secret scans: fixed patterns, and a battery of randomness tests on other runs of characters.
 
-Patterns find assignments of keywords, access keys and long hexadecimal runs. Any other run of
-key-like characters with letters and digits, at least ``LEAST`` long, is tested as a string over
-its inferred encoding (digits and a-f, base32, letters and digits, base64): chi-squared uniformity
-of the alphabet, Wald-Wolfowitz runs about the middle of the alphabet, and serial correlation of
-neighbours. Fisher's method joins the three p-values of "this is random".
+Patterns find assignments of keywords, access keys and long hexadecimal runs. What they leave of a
+run of key-like characters is cut at ``=`` (padding stays), and each part with letters and digits,
+at least ``LEAST`` long, is tested as a string over its inferred encoding (digits and a-f, base32,
+digits and letters of one case, letters and digits, base64): chi-squared uniformity of the
+alphabet, Wald-Wolfowitz runs about the middle of the alphabet, and serial correlation of
+neighbours. Fisher's method joins the three p-values of "this is random". The pieces of a part
+between its marks (``+/``, ``-_`` or both) are tested too, as names and paths stand before keys;
+a piece of a secret is not shown again.
 
 Which strings are not random is decided with control of the false-discovery rate
 (Benjamini-Hochberg) within classes of similar length, over the whole corpus: longer strings give
@@ -47,12 +50,19 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 _LEAST_VALUE, _LEAST_ACCESS = 8, 16
 
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
+# "=" ends a part; it belongs to it as padding only where the run ends as well.
+_PART = re.compile(r"[A-Za-z0-9+/_-]+(?:=+(?![A-Za-z0-9+/_=-]))?")
+_PLAIN = re.compile(r"[A-Za-z0-9]+=*")
+_BETWEEN = [re.compile(r"[A-Za-z0-9_-]+=*"), re.compile(r"[A-Za-z0-9+/]+=*")]
 
 # Alphabets from the narrowest (fixed values).
 _ALPHABETS = [
     ("hex", "0123456789abcdef"),
     ("HEX", "0123456789ABCDEF"),
     ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
+    ("base32 lower", "abcdefghijklmnopqrstuvwxyz234567"),
+    ("base36", "0123456789abcdefghijklmnopqrstuvwxyz"),
+    ("BASE36", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
     ("base62", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
@@ -126,24 +136,47 @@ def randomness(value: str) -> float | None:
     return min(1.0, math.exp(-half) * (1 + half + half * half / 2))
 
 
+def _strings(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """The strings to test in a stretch of key-like characters, an outer one before its pieces."""
+    found = set()
+    for m in _PART.finditer(text, start, end):
+        if m.end() - m.start() < LEAST:
+            continue
+        value = m.group()
+        slashes, dashes = "+" in value or "/" in value, "-" in value or "_" in value
+        forms = [_PLAIN] if slashes or dashes else []
+        if slashes and dashes:
+            forms += _BETWEEN  # no encoding has both
+        else:
+            found.add(m.span())
+        for form in forms:
+            found.update(p.span() for p in form.finditer(text, *m.span()) if p.end() - p.start() >= LEAST)
+    return sorted(found, key=lambda s: (s[0], -s[1]))
+
+
 def candidates(text: str, taken: list[tuple[int, int, str]]) -> Iterator[tuple[int, int, int, int]]:
-    """start, end, length class and step of the p-value of each run the patterns left."""
+    """start, end, length class and step of the p-value of each string the patterns left."""
     taken, met, reach = sorted(taken), 0, 0
     for m in _RUN.finditer(text):
-        start, end = m.span()
-        # Runs come in order, so the furthest end of the spans begun so far tells of an overlap.
-        while met < len(taken) and taken[met][0] < end:
+        at, last = m.span()
+        # Runs come in order, so the furthest end of the spans begun so far tells what is taken.
+        stretches, at = [], max(at, reach)
+        while met < len(taken) and taken[met][0] < last:
+            if taken[met][0] > at:
+                stretches.append((at, taken[met][0]))
             reach = max(reach, taken[met][1])
-            met += 1
-        value = m.group()
-        if value.isalpha() or not any(map(str.isalpha, value)) or not any(map(str.isdigit, value)):
-            continue
-        if reach > start:
-            continue
-        p = randomness(value)
-        if p is not None:
-            step = min(_STEPS, int(-math.log10(max(p, 1e-300)) / STEP))
-            yield start, end, (end - start).bit_length(), step
+            at, met = max(at, reach), met + 1
+        if at < last:
+            stretches.append((at, last))
+        for stretch in stretches:
+            for start, end in _strings(text, *stretch):
+                value = text[start:end]
+                if not any(map(str.isalpha, value)) or not any(map(str.isdigit, value)):
+                    continue
+                p = randomness(value)
+                if p is not None:
+                    step = min(_STEPS, int(-math.log10(max(p, 1e-300)) / STEP))
+                    yield start, end, (end - start).bit_length(), step
 
 
 def cuts(docs: DataFrame, rate: float = RATE) -> dict[int, int]:
@@ -188,11 +221,14 @@ def spans(text: str | None, cut: dict[int, int]) -> list[tuple[int, int, str]]:
     """All spans of a text by start, then kind."""
     if not text:
         return []
-    found = base_spans(text)
+    found, reach = base_spans(text), 0
+    secret = []
     for start, end, size, step in candidates(text, found):
-        if step < cut.get(size, _STEPS + 1):
-            found = [*found, (start, end, "random")]
-    return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
+        # Strings come by start, outer ones first; one that ends no later is a piece of a secret.
+        if end > reach and step < cut.get(size, _STEPS + 1):
+            secret.append((start, end, "random"))
+            reach = end
+    return sorted(found + secret, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
 _SPAN = "array<struct<kind: string, start: long, end: long>>"
