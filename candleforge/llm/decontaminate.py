@@ -2,9 +2,12 @@
 
 Documents are read in shards of bounded size. A shard's words become one sequence of numbers with a
 separator after each document, and its suffix array orders all places by the words that follow, to
-the depth of the longest benchmark item. Every suffix of every benchmark item is then searched by
-bisection, word after word, which gives its longest verbatim match and all places of every match as
-long as a window. A document longer than a shard is read in parts that overlap by the depth.
+the depth of a window. Every distinct window of the benchmark is then searched by bisection, word
+after word, which gives all its places. The longest verbatim matches lie within the words so hit:
+these and the benchmark's own words in matched windows are ordered together, and the longest match
+of a place is that with the benchmark place next before or after it. What is held grows with the
+words of the shard and of the benchmark, not with their pairs. A document longer than a shard is
+read in parts that overlap by the longest benchmark item.
 
 A window is ``WINDOW`` consecutive words of an item; an item of fewer, but not none, is one window.
 A document is contaminated when at least one in ``SHARE`` of its words lies in a matched window.
@@ -84,10 +87,16 @@ def suffix_array(ids: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
+def _pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """A number for each pair of numbers from 0, in order of the pairs."""
+    return np.unique(first * (int(second.max(initial=0)) + 1) + second, return_inverse=True)[1]
+
+
 class Benchmark:
-    """A block of benchmark items, as words and as the list of all their suffixes."""
+    """A block of benchmark items, as words and as the list of its distinct windows."""
 
     def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW):
+        self.window = window
         self.names = [name for name, _ in items]
         texts = [words_of(text) for _, text in items]
         self.vocabulary: dict[bytes, int] = {}
@@ -96,57 +105,52 @@ class Benchmark:
         size = np.array([len(t) for t in texts], np.int64)
         self.item = np.repeat(np.arange(len(texts)), size)
         begin = np.cumsum(size) - size
-        self.first = np.arange(len(flat))
-        self.left = (begin + size)[self.item] - self.first  # words of each suffix
-        short = size[self.item] < window
-        whole = self.first == begin[self.item]
-        # How long a match must be to count; suffixes shorter than a window cannot.
-        self.need = np.where(short & whole, self.left, window)
         self.depth = int(max(size, default=0))
+        place = np.arange(len(flat))
+        left = (begin + size)[self.item] - place  # words of each suffix
+        whole = (size[self.item] < window) & (place == begin[self.item])
+        # Where windows begin, in order of their words; equal ones are searched once.
+        place = place[whole | (left >= window)]
+        words = np.minimum(left[place], window)
+        same = words
+        for depth in range(min(window, self.depth)):
+            inside = np.minimum(place + depth, len(flat) - 1)
+            same = _pairs(same, np.where(depth < words, self.flat[inside] + 1, 0))
+        order = np.argsort(same, kind="stable")
+        self.places, same = place[order], same[order]
+        self.bounds = np.append(np.flatnonzero(np.diff(same, prepend=-1)), len(same))
+        self.first = self.places[self.bounds[:-1]]
+        self.words = words[order][self.bounds[:-1]]
 
 
 class Matches:
-    """What one shard's search found: windows (place, words, item) and longest matches."""
+    """What one shard's search found: for each matched window its number and slots [low, high)."""
 
-    def __init__(self):
-        self.places: list[np.ndarray] = []
-        self.sizes: list[np.ndarray] = []
-        self.items: list[np.ndarray] = []
-        self.longest: list[tuple[np.ndarray, int, np.ndarray]] = []
+    def __init__(self, windows: np.ndarray, low: np.ndarray, high: np.ndarray):
+        order = np.argsort(windows)
+        self.windows, self.low, self.high = windows[order], low[order], high[order]
 
 
 def search(ids: np.ndarray, order: np.ndarray, number: dict[bytes, int], bench: Benchmark) -> Matches:
-    """Bisect every suffix of the benchmark into the suffix array, one more word at a time."""
-    found = Matches()
-    lookup = np.array([number.get(w, -2) for w in bench.vocabulary], np.int64)
-    if not len(lookup):
-        return found
-    wanted = lookup[bench.flat]
-    padded = np.append(ids, np.full(bench.depth + 1, -1, ids.dtype))
+    """Bisect every window of the benchmark into the suffix array, one more word at a time."""
     live = np.arange(len(bench.first))
     low = np.zeros(len(live), np.int64)
     high = np.full(len(live), len(ids), np.int64)
-    for depth in range(bench.depth):
-        go = bench.left[live] > depth
-        live, low, high = live[go], low[go], high[go]
-        word = wanted[bench.first[live] + depth]
+    done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    lookup = np.array([number.get(w, -2) for w in bench.vocabulary], np.int64)
+    most = int(bench.words.max(initial=0))
+    padded = np.append(ids, np.full(most + 1, -1, ids.dtype))
+    for depth in range(most):
+        word = lookup[bench.flat[bench.first[live] + depth]]
         low, high = _bound(padded, order, depth, word, low, high)
-        go = high > low
+        full = (high > low) & (bench.words[live] == depth + 1)
+        done.append((live[full], low[full], high[full]))
+        go = (high > low) & ~full
         live, low, high = live[go], low[go], high[go]
         if not len(live):
             break
-        size = depth + 1
-        done = bench.need[live] == size
-        if done.any():
-            places, owner = _expand(order, low[done], high[done])
-            found.places.append(places)
-            found.sizes.append(np.full(len(places), size, np.int64))
-            found.items.append(bench.item[live[done]][owner])
-        enough = bench.need[live] <= size
-        if enough.any():
-            places, owner = _expand(order, low[enough], high[enough])
-            found.longest.append((places, size, bench.item[live[enough]][owner]))
-    return found
+    none = np.empty(0, np.int64)
+    return Matches(*(np.concatenate([none, *(d[n] for d in done)]) for n in range(3)))
 
 
 def _bound(padded, order, depth, word, low, high) -> tuple[np.ndarray, np.ndarray]:
@@ -172,6 +176,66 @@ def _expand(order, low, high) -> tuple[np.ndarray, np.ndarray]:
     return order[slots], owner
 
 
+def _longest(
+    ids: np.ndarray, hit: np.ndarray, starts: np.ndarray, own: np.ndarray, bench: Benchmark,
+    wanted: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray]:
+    """For places ``starts`` of matched windows, the words of their longest match and its item.
+
+    ``own`` are the benchmark's words in matched windows, ascending; ``wanted`` is the benchmark in
+    the shard's numbers. Both sides become one sequence, each run with an end of its own, so that
+    no match goes beyond a run. Doubling numbers equal stretches of 1, 2, 4 and more words.
+    """
+    there = np.flatnonzero(hit)
+    cut_there = np.flatnonzero(np.diff(there) > 1) + 1
+    cut_own = np.flatnonzero((np.diff(own) > 1) | (np.diff(bench.item[own]) != 0)) + 1
+    runs = np.concatenate([cut_there, [len(there)], len(there) + cut_own, [len(there) + len(own)]])
+    words = np.concatenate([ids[there], wanted[own]])
+    ends = int(words.max()) + 1 + np.arange(len(runs))
+    # Where each word goes, with an end after each run.
+    slot = np.arange(len(words)) + np.searchsorted(runs, np.arange(len(words)), "right")
+    level = np.empty(len(words) + len(runs), np.int64)
+    level[slot] = words
+    level[runs + np.arange(len(runs))] = ends
+    longest = int(np.diff(runs, prepend=0).max())
+    count, step = len(level), 1
+    level = np.unique(level, return_inverse=True)[1]
+    levels = [level.astype(np.int32)]
+    while step <= longest and int(level.max()) + 1 < count:
+        after = np.zeros(count, np.int64)
+        after[:-step] = level[step:] + 1
+        level = _pairs(level, after)
+        levels.append(level.astype(np.int32))
+        step *= 2
+    order = np.argsort(level, kind="stable")
+    ours = np.zeros(count, bool)
+    ours[slot[len(there) :]] = True
+    sorted_ours = ours[order]
+    at = np.arange(count)
+    before = np.maximum.accumulate(np.where(sorted_ours, at, -1))
+    behind = np.minimum.accumulate(np.where(sorted_ours, at, count)[::-1])[::-1]
+    rank = np.empty(count, np.int64)
+    rank[order] = at
+    places = slot[np.searchsorted(there, starts)]
+    item = np.zeros(count, np.int64)
+    item[slot[len(there) :]] = bench.item[own]
+    best, whose = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
+    for near in (before, behind):
+        beside = near[rank[places]]
+        real = (beside >= 0) & (beside < count)
+        beside = order[np.where(real, beside, 0)]
+        size = np.zeros(len(places), np.int64)
+        for power in range(len(levels) - 1, -1, -1):
+            a, b = places + size, beside + size
+            inside = real & (a < count) & (b < count)
+            equal = inside.copy()
+            equal[inside] = levels[power][a[inside]] == levels[power][b[inside]]
+            size[equal] += 1 << power
+        more = size > best
+        best[more], whose[more] = size[more], item[beside[more]]
+    return best, whose
+
+
 class _Row:
     """What is known of a document: hit words, items, its longest match."""
 
@@ -210,10 +274,12 @@ def _scan(texts: list[list[bytes]], rows: list[_Row], bench: Benchmark) -> None:
         ids = np.full(sizes.sum(), _SEPARATOR, np.int64)
         for begin, (_, _, part) in zip(begins.tolist(), shard):
             ids[begin : begin + len(part)] = [number[w] for w in part]
-        found = search(ids, suffix_array(ids, bench.depth), number, bench)
-        if not found.places:
+        order = suffix_array(ids, int(bench.words.max(initial=0)))
+        found = search(ids, order, number, bench)
+        if not len(found.windows):
             continue
-        places, sizes_ = np.concatenate(found.places), np.concatenate(found.sizes)
+        places, which = _expand(order, found.low, found.high)
+        sizes_ = bench.words[found.windows][which]
         edge = np.zeros(len(ids) + 1, np.int64)
         np.add.at(edge, places, 1)
         np.add.at(edge, places + sizes_, -1)
@@ -223,17 +289,34 @@ def _scan(texts: list[list[bytes]], rows: list[_Row], bench: Benchmark) -> None:
             row, first, words = shard[part]
             begin = begins[part]
             rows[row].hit[first : first + len(words)] |= hit[begin : begin + len(words)]
-        pairs = np.unique(owner * len(bench.names) + np.concatenate(found.items))
-        for part, item in zip((pairs // len(bench.names)).tolist(), (pairs % len(bench.names)).tolist()):
-            rows[shard[part][0]].items.add(bench.names[item])
-        for places, size, items in found.longest:
-            owner = np.searchsorted(begins, places, "right") - 1
-            parts, at = np.unique(owner, return_index=True)
-            for part, place, item in zip(parts.tolist(), places[at].tolist(), items[at].tolist()):
-                row, first, _ = shard[part]
-                if size > rows[row].longest[0]:
-                    place = first + place - int(begins[part])
-                    rows[row].longest = (size, place, bench.names[item])
+        held, size = bench.bounds[found.windows], np.diff(bench.bounds)[found.windows]
+        # The items of a window once for each document that has it.
+        pairs = np.unique(which * len(shard) + owner)
+        shown = -1
+        for at, part in zip((pairs // len(shard)).tolist(), (pairs % len(shard)).tolist()):
+            if at != shown:
+                members = bench.item[bench.places[held[at] : held[at] + size[at]]]
+                names, shown = {bench.names[n] for n in np.unique(members).tolist()}, at
+            rows[shard[part][0]].items |= names
+        # Windows of short items are whole matches; places are by length, then by place.
+        length, item = sizes_.copy(), bench.item[bench.places[held]][which]
+        wide = sizes_ == bench.window
+        if wide.any():
+            covered = np.zeros(len(bench.flat) + 1, np.int64)
+            own = found.windows[bench.words[found.windows] == bench.window]
+            begun, _ = _expand(bench.places, bench.bounds[own], bench.bounds[own + 1])
+            np.add.at(covered, begun, 1)
+            np.add.at(covered, begun + bench.window, -1)
+            own = np.flatnonzero(np.cumsum(covered)[:-1] > 0)
+            wanted = np.array([number.get(w, -2) for w in bench.vocabulary], np.int64)[bench.flat]
+            length[wide], item[wide] = _longest(ids, hit, places[wide], own, bench, wanted)
+        by = np.lexsort((places, -length, owner))
+        parts, at = np.unique(owner[by], return_index=True)
+        for part, n in zip(parts.tolist(), by[at].tolist()):
+            row, first, _ = shard[part]
+            if length[n] > rows[row].longest[0]:
+                place = first + int(places[n] - begins[part])
+                rows[row].longest = (int(length[n]), place, bench.names[item[n]])
 
 
 _FIELDS = [
