@@ -95,7 +95,7 @@ def _pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 class Benchmark:
     """A block of benchmark items, as words and as the list of its distinct windows."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, str | None]], window: int = WINDOW):
         self.window = window
         self.names = [name for name, _ in items]
         texts = [words_of(text) for _, text in items]
@@ -296,7 +296,7 @@ def _scan(texts: list[list[bytes]], rows: list[_Row], bench: Benchmark) -> None:
         for at, part in zip((pairs // len(shard)).tolist(), (pairs % len(shard)).tolist()):
             if at != shown:
                 members = bench.item[bench.places[held[at] : held[at] + size[at]]]
-                names, shown = {bench.names[n] for n in np.unique(members).tolist()}, at
+                names, shown = {bench.names[n] for n in np.unique(members).tolist()} - {None}, at
             rows[shard[part][0]].items |= names
         # Windows of short items are whole matches; places are by length, then by place.
         length, item = sizes_.copy(), bench.item[bench.places[held]][which]
@@ -365,19 +365,19 @@ def _pass(docs: DataFrame, items: list, window: int, with_text: bool, carry: boo
     return docs.mapInArrow(run, ", ".join(described))
 
 
-def _named(benchmark: DataFrame) -> DataFrame:
+def _given(benchmark: DataFrame) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
-    return items.filter("item_id is not null and text is not null")
+    return items.filter("text is not null")
 
 
 def _count_blocks(benchmark: DataFrame) -> int:
-    total = _named(benchmark).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total = _given(benchmark).agg(F.sum(F.octet_length("text"))).first()[0] or 0
     return -(-total // BLOCK_BYTES) or 1
 
 
-def _block(benchmark: DataFrame, block: int, blocks: int) -> list[tuple[str, str]]:
+def _block(benchmark: DataFrame, block: int, blocks: int) -> list[tuple[str | None, str]]:
     """One of ``blocks`` parts of the benchmark, about ``BLOCK_BYTES`` of text at most."""
-    items = _named(benchmark)
+    items = _given(benchmark)
     if blocks > 1:
         items = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
     return [(row[0], row[1]) for row in items.toLocalIterator()]
@@ -390,7 +390,8 @@ def overlaps(
 
     n_words, n_hit (words inside matched windows), items (ids whose windows occur), longest_words,
     longest_at and longest_item (the longest verbatim match of at least a window, by its first
-    word), contaminated. Items without an id are left out.
+    word), contaminated. Items without an id count in all of these but the ids: they are not among
+    items, and longest_item is null where the longest match is theirs.
     """
     blocks = _count_blocks(benchmark)
     for block in range(blocks):
