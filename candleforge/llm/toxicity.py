@@ -1,7 +1,9 @@
 """Toxicity by a weighted lexicon, matched with Aho-Corasick on folded text.
 
-Folding maps look-alike letters, digits and signs inside words to plain letters, so disguised
-spellings meet the lexicon. The lexicon is learned from labelled texts: words, and beginnings of
+Folding maps look-alike letters to plain ones. A word with digits or signs and at least one letter is
+matched as it is and by its unmasked readings, in which digits and signs stand for letters (1, ! and |
+for i or for l, 6 for g or for b, the same throughout a word; signs at its ends also left out), so
+disguised spellings meet the lexicon; a reading counts only if it is in the lexicon. The lexicon is learned from labelled texts: words, and beginnings of
 words of ``STEM`` characters, whose share of toxic documents is higher than chance allows; their
 weight is the log odds. An exception phrase (a lexicon word with the word before or after it) that
 is at home in other documents cancels the weights of its words. A document's total weight and
@@ -15,11 +17,13 @@ one document the higher counts. Extra columns stay; an empty table gives an empt
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -43,28 +47,71 @@ _LIKE = str.maketrans(
     "абвгеёзіїјкмнорсѕтухѡԁԛԝһӏαβγεηικνορτυχω",
     "abbreesiijkmhopcstyxwdqwhlabyenikvoptuxw",
 )
-# Digits and signs that stand for letters (fixed values).
-_DIGITS = str.maketrans("0134578", "oieastb")
-_SIGNS = str.maketrans("@$!|", "asii")
+# Digits and signs that stand for letters, in two readings (fixed values).
+_SIGNS = "@$!|"
+_READINGS = [
+    str.maketrans("0123456789@$!|", "oizeasgtbgasii"),
+    str.maketrans("0123456789@$!|", "olzeasbtbgasll"),
+]
 
 _WORD = re.compile(r"[^\W_]+")
-_MIXED = re.compile(r"[^\W_]*[0134578][^\W_]*")
-_SIGNED = re.compile(r"(?<=[^\W\d_])[@$!|]+(?=[^\W\d_])")
+_TOKEN = re.compile(r"(?:[^\W_]|[@$!|])+")
 
 
-def fold(text: str | None) -> list[str]:
-    """The words of a text in plain lower-case letters."""
+@dataclass
+class Folded:
+    """The words of a text in plain lower-case letters, and unmasked readings.
+
+    A reading is (first word, word after it, text).
+    """
+
+    words: list[str] = field(default_factory=list)
+    readings: list[tuple[int, int, str]] = field(default_factory=list)
+
+    def forms(self) -> set[str]:
+        return {*self.words, *(text for _, _, text in self.readings)}
+
+    def phrases(self, matched: Iterable[tuple[int, int, str]]) -> Iterator[list[str]]:
+        """For each matched form, it with each form of the word before, and of the word after it."""
+        begins, ends = {}, {}
+        for first, after, text in self.readings:
+            begins.setdefault(first, []).append(text)
+            ends.setdefault(after, []).append(text)
+        for first, after, text in matched:
+            before = [*self.words[max(first - 1, 0) : first], *(ends.get(first, ()))]
+            behind = [*self.words[after : after + 1], *(begins.get(after, ()))]
+            yield [*(f"{w} {text}" for w in before), *(f"{text} {w}" for w in behind)]
+
+
+def fold(text: str | None) -> Folded:
     text = (text or "").lower()
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text).lower().translate(_LIKE)
-    text = _SIGNED.sub(lambda m: m.group().translate(_SIGNS), text)
-    return _WORD.findall(_MIXED.sub(_unmask, text))
-
-
-def _unmask(match: re.Match) -> str:
-    word = match.group()
-    letters = sum(map(str.isalpha, word))
-    return word.translate(_DIGITS) if letters and 2 * letters >= len(word) else word
+    found = Folded()
+    words = found.words
+    for token in _TOKEN.findall(text):
+        if token.isalpha():
+            words.append(token)
+            continue
+        first = len(words)
+        words.extend(_WORD.findall(token))
+        if any(map(str.isalpha, token)):
+            _unmask(token, first, found)
+    return found
+
+
+def _unmask(token: str, first: int, found: Folded) -> None:
+    """Add the readings of a token, and of each of its words, that are not the words themselves."""
+    left, right = token.lstrip(_SIGNS), token.rstrip(_SIGNS)
+    whole = {token, left, right, left.rstrip(_SIGNS)}
+    after = len(found.words)
+    parts = [(first, after, form) for form in whole]
+    if after > first + 1:
+        own = enumerate(found.words[first:], first)
+        parts += [(n, n + 1, w) for n, w in own if any(map(str.isalpha, w))]
+    known = {(n, n + 1, w) for n, w in enumerate(found.words[first:], first)}
+    made = {(a, b, form.translate(table)) for a, b, form in parts for table in _READINGS}
+    found.readings.extend(sorted(made - known))
 
 
 def _terms(word: str) -> Iterator[str]:
@@ -93,31 +140,49 @@ class Lexicon:
             self._machine = ahocorasick.Automaton()
             for term, weight in self.weights.items():
                 self._machine.add_word(term, (term, weight))
-            for phrase in self.exceptions:
-                self._machine.add_word(f" {phrase} ", (f" {phrase} ", None))
             if len(self._machine):
                 self._machine.make_automaton()
         return self._machine
 
-    def hits(self, words: list[str]) -> dict[int, float]:
-        """Weight by the place of each matched word in the joined text, exceptions left out."""
-        machine = self.machine()
+    def weight(self, word: str) -> float:
+        """The weight of a single word, 0 if no entry matches it."""
+        terms = [f" {word} ", *(f" {word[:size]}" for size in STEM if size <= len(word))]
+        return max(self.weights.get(term, 0.0) for term in terms)
+
+    def matches(self, folded: Folded) -> dict[tuple[int, int, str], float]:
+        """Weight by matched form (first word, word after it, text), exceptions left out."""
+        machine, words = self.machine(), folded.words
         if not words or not len(machine):
             return {}
-        found: dict[int, float] = {}
-        excused: set[int] = set()
+        plain: dict[int, float] = {}
         for end, (term, weight) in machine.iter(f" {' '.join(words)} "):
             place = end - len(term) + 1
-            if weight is None:
-                excused.update((place, place + term.index(" ", 1)))
-            elif weight > found.get(place, 0.0):
-                found[place] = weight
-        return {place: w for place, w in found.items() if place not in excused}
+            plain[place] = max(weight, plain.get(place, 0.0))
+        found = {}
+        if plain:
+            starts = list(itertools.accumulate((len(w) + 1 for w in words), initial=0))
+            for place, weight in plain.items():
+                n = bisect.bisect_left(starts, place)
+                found[n, n + 1, words[n]] = weight
+        for form in folded.readings:
+            if weight := self.weight(form[2]):
+                found[form] = weight
+        if found and self.exceptions:
+            near = zip(list(found), folded.phrases(list(found)))
+            return {form: found[form] for form, own in near if self.exceptions.isdisjoint(own)}
+        return found
+
+    def hits(self, folded: Folded) -> dict[int, float]:
+        """The greatest weight by number of each matched word, exceptions left out."""
+        best: dict[int, float] = {}
+        for (n, _, _), weight in self.matches(folded).items():
+            best[n] = max(weight, best.get(n, 0.0))
+        return best
 
     def features(self, text: str | None) -> tuple[float, float]:
-        words = fold(text)
-        total = sum(self.hits(words).values())
-        return math.log1p(total), math.log1p(100 * total / max(len(words), 1))
+        folded = fold(text)
+        total = sum(self.hits(folded).values())
+        return math.log1p(total), math.log1p(100 * total / max(len(folded.words), 1))
 
     def score(self, features: tuple[float, float]) -> float:
         if self.curve is None:
@@ -174,27 +239,19 @@ def fit(rows: DataFrame, prior: float) -> Lexicon:
         if not sizes[0] or not sizes[1]:
             return Lexicon()
 
-        def terms(words: list[str]) -> set[str]:
-            return {t for w in set(words) for t in _terms(w)}
+        def terms(folded: Folded) -> set[str]:
+            return {t for w in folded.forms() for t in _terms(w)}
 
         # As many as the bounded sample has terms that three toxic documents share.
         shared = _counted(rows.filter("toxic = 1"), terms).filter("toxic >= 3").select("term")
         asked = frozenset(r["term"] for r in shared.collect())
-        counts = _counted(rows, lambda words: terms(words) & asked).collect()
+        counts = _counted(rows, lambda folded: terms(folded) & asked).collect()
         rated = ((r["term"], _ratio(r["toxic"], r["clean"], sizes)) for r in counts)
         weights = {t: w for t, (g, w) in rated if g >= LEAST_RATIO and w >= LEAST_WEIGHT}
         lexicon = Lexicon(weights)
 
-        def phrases(words: list[str]) -> set[str]:
-            at, starts = 1, {}
-            for n, word in enumerate(words):
-                starts[at - 1] = n
-                at += len(word) + 1
-            near = set()
-            for place in lexicon.hits(words):
-                n = starts[place]
-                near |= {" ".join(words[m : m + 2]) for m in (n - 1, n) if 0 <= m < len(words) - 1}
-            return near
+        def phrases(folded: Folded) -> set[str]:
+            return {p for own in folded.phrases(list(lexicon.matches(folded))) for p in own}
 
         met = _counted(rows, phrases).filter("clean >= 3")
         excused = []
