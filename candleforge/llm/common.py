@@ -37,15 +37,17 @@ def fold(doc_id: str, folds: int) -> Column:
 def bounded_sample(labelled: DataFrame, label: str, per_class: int) -> DataFrame:
     """At most about ``per_class`` rows of each label (within 1 %), chosen by hash of doc_id.
 
-    For fitting classifiers only. The number of labels must be small.
+    For fitting classifiers only. Rows with a null label are left out.
     """
-    sizes = labelled.groupBy(label).count().limit(1000).collect()
-    share = F.lit(None).cast("double")
-    for row in sizes:
-        part = F.lit(min(1.0, 0.95 * per_class / max(row["count"], 1)))
-        share = F.when(F.col(label) == F.lit(row[label]), part).otherwise(share)
+    most = 0.95 * per_class
+    # Only labels with more rows than that have a share below 1, so the list has at most rows / most.
+    sizes = labelled.groupBy(F.col(label).alias("__label")).count().filter(F.col("count") > most)
+    shares = sizes.select("__label", (most / F.col("count")).alias("__share"))
+    shared = labelled.join(F.broadcast(shares), F.col(label) == F.col("__label"), "left")
+    share = F.coalesce(F.col("__share"), F.lit(1.0))
     unit = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1 << 20)) / float(1 << 20)
-    return labelled.filter(F.col("doc_id").isNotNull() & (unit < share))
+    known = F.col("doc_id").isNotNull() & F.col(label).isNotNull()
+    return shared.filter(known & (unit < share)).drop("__label", "__share")
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
