@@ -212,7 +212,10 @@ def fit(stats: DataFrame, labels: DataFrame) -> tuple[Forest | None, float]:
     marked = marked.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     sample = bounded_sample(marked, "quality", FITTED)
     usable = stats.filter(~failed_base())
-    table = usable.join(F.broadcast(sample), "doc_id").select("quality", *COUNTS).toArrow()
+    # A doc_id on many rows counts once, by one of its rows that does not depend on their order.
+    row = F.struct(F.xxhash64(*COUNTS).alias("mark"), *COUNTS)
+    found = usable.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "quality")
+    table = found.agg(F.min(row).alias("one")).select("quality", *(f"one.{c}" for c in COUNTS)).toArrow()
     points = shares({c: table.column(c).to_numpy() for c in COUNTS})
     # In a fixed order, so that the same rows always give the same forest.
     order = np.lexsort(points.T)

@@ -228,7 +228,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
     marked = marked.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = bounded_sample(marked, "toxic", per_class)
     # At most 2 * per_class rows of two numbers, so the texts need no shuffle.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # A doc_id on many rows counts once: of its texts that with the least hash.
+    mark = F.xxhash64("text")
+    least = found.groupBy("doc_id").agg(F.min(mark).alias("__mark"))
+    one = found.withColumn("__mark", mark).join(F.broadcast(least), ["doc_id", "__mark"], "left_semi")
+    return one.select("doc_id", "text", "toxic").distinct().select("text", "toxic")
 
 
 def fit(rows: DataFrame, prior: float) -> Lexicon:
