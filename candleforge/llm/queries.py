@@ -11,6 +11,9 @@ from candleforge import session
 from candleforge.llm import (
     chat,
     decontaminate,
+    divergence,
+    importance,
+    jaccard_join,
     language,
     merge_replay,
     quality_rules,
@@ -133,6 +136,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_tokens", over)
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.join(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = importance.resample(docs, target)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def _prepared(build):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return build(session.prepare(spark), sf_dir)
@@ -153,5 +171,8 @@ QUERIES = {
         op8_chat_format,
         op9_simhash,
         op10_token_counts,
+        op11_divergence,
+        op12_jaccard_join,
+        op13_importance,
     )
 } | {"pipeline": _prepared(corpus_pipeline.run)}
