@@ -6,7 +6,6 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from candleforge import session
 from candleforge.llm import (
     chat,
@@ -175,4 +174,4 @@ QUERIES = {
         op12_jaccard_join,
         op13_importance,
     )
-} | {"pipeline": _prepared(corpus_pipeline.run)}
+}
