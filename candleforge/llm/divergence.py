@@ -25,11 +25,12 @@ from __future__ import annotations
 
 import heapq
 import itertools
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,13 +42,15 @@ RANKS = 50
 ADDED = 5
 UNIT = 1_000_000_000
 
-BLOCK = 300_000  # postings of a block, in a task
-HELD = 600_000  # postings of runs a shard holds before it merges them
+BLOCK = 1_000_000  # postings a task collects before it spills them as a run
+HELD = 1_000_000  # postings of runs a shard holds before it merges them
 PAIRS = 1 << 20  # sums by pair of sources a task holds
 
-_POSTING = "lang string, term binary, source string, docs long, n long, run long"
+# ``key`` is the language, a zero and the term: terms have no zero, so keys sort and part well.
+_POSTING = "key binary, source string, docs long, n long, run long"
 _FREQUENCY = "lang string, term binary, source string, n long, term_n long, first int"
 _ROWS = 20_000
+_PART = b"\0"
 
 # Bytes of terms, with A-Z lower-cased; all other ASCII parts them (fixed values).
 _FOLD = bytes(
@@ -55,110 +58,174 @@ _FOLD = bytes(
 )
 
 
-def terms(text: str) -> list[bytes]:
-    return text.encode().translate(_FOLD).split()
-
-
-def _spilled(block: dict, run: int) -> Iterator[pa.RecordBatch]:
-    """A block as a run sorted by (language, term, source)."""
-    postings = sorted(
-        (lang, term, source, found[1][term], n)
-        for (lang, source), found in block.items()
-        for term, n in found[0].items()
-    )
-    for at in range(0, len(postings), _ROWS):
-        lang, term, source, docs, n = zip(*postings[at : at + _ROWS])
-        yield _postings(lang, term, source, docs, n, [run] * len(lang))
-
-
-def _postings(lang, term, source, docs, n, run) -> pa.RecordBatch:
-    return pa.record_batch(
+def postings(batch: pa.RecordBatch) -> pa.Table:
+    """key, source, docs and n of the texts of a batch."""
+    folded = [text.encode().translate(_FOLD) for text in batch.column("text").to_pylist()]
+    lists = pc.split_pattern(pa.array(folded, pa.binary()), b" ")
+    words, of_text = pc.list_flatten(lists), pc.list_parent_indices(lists)
+    real = pc.greater(pc.binary_length(words), 0)
+    coded = words.filter(real).dictionary_encode()
+    of_text = of_text.filter(real).to_numpy(zero_copy_only=False).astype(np.int64)
+    size = max(len(coded.dictionary), 1)
+    term = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    # Each term once a document, with its occurrences there.
+    pairs, n = np.unique(of_text * size + term, return_counts=True)
+    text, term = np.divmod(pairs, size)
+    langs, sources = (batch.column(c).dictionary_encode() for c in ("lang", "source"))
+    lang, source = (c.indices.to_numpy(zero_copy_only=False).astype(np.int64)[text] for c in (langs, sources))
+    place = (lang * max(len(sources.dictionary), 1) + source) * size + term
+    order = np.argsort(place, kind="stable")
+    firsts = np.flatnonzero(np.diff(place[order], prepend=-1))
+    ends = np.append(firsts[1:], len(order))
+    one = order[firsts]
+    names = pc.take(langs.dictionary, pa.array(lang[one])).cast(pa.binary())
+    key = pc.binary_join_element_wise(names, pc.take(coded.dictionary, pa.array(term[one])), _PART)
+    return pa.table(
         {
-            "lang": pa.array(lang, pa.string()),
-            "term": pa.array(term, pa.binary()),
-            "source": pa.array(source, pa.string()),
-            "docs": pa.array(docs, pa.int64()),
-            "n": pa.array(n, pa.int64()),
-            "run": pa.array(run, pa.int64()),
+            "key": key,
+            "source": pc.take(sources.dictionary, pa.array(source[one])),
+            "docs": pa.array(ends - firsts, pa.int64()),
+            "n": pa.array(np.add.reduceat(n[order], firsts) if len(firsts) else [], pa.int64()),
         }
     )
 
 
+def _one_run(parts: list[pa.Table]) -> pa.Table:
+    """Postings of several tables, each (key, source) once, sorted by them."""
+    summed = pa.concat_tables(parts).group_by(["key", "source"]).aggregate([("docs", "sum"), ("n", "sum")])
+    summed = summed.select(["key", "source", "docs_sum", "n_sum"]).rename_columns(["key", "source", "docs", "n"])
+    return summed.sort_by([("key", "ascending"), ("source", "ascending")]).combine_chunks()
+
+
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Block postings of a task's documents, spilled as sorted runs."""
     from pyspark import TaskContext
 
     runs = itertools.count(TaskContext.get().partitionId() << 32)
-    block: dict = defaultdict(lambda: (Counter(), Counter()))
+    block: list[pa.Table] = []
     held = 0
+
+    def spilled() -> Iterator[pa.RecordBatch]:
+        run = _one_run(block)
+        number = pa.repeat(pa.scalar(next(runs), pa.int64()), len(run))
+        yield from run.append_column("run", number).to_batches(max_chunksize=_ROWS)
+
     for batch in slices(batches):
-        columns = (batch.column(c).to_pylist() for c in ("lang", "source", "text"))
-        for lang, source, text in zip(*columns):
-            found = terms(text)
-            if not found:
-                continue
-            n, docs = block[lang, source]
-            before = len(n)
-            n.update(found)
-            docs.update(set(found))
-            held += len(n) - before
-            if held >= BLOCK:
-                yield from _spilled(block, next(runs))
-                block.clear()
-                held = 0
-    yield from _spilled(block, next(runs))
-
-
-def _merged(runs: list[list[tuple]]) -> Iterator[tuple]:
-    """One sorted run of postings (lang, term, source, docs, n) from several."""
-    for key, same in itertools.groupby(heapq.merge(*runs), key=lambda p: p[:3]):
-        docs = n = 0
-        for posting in same:
-            docs += posting[3]
-            n += posting[4]
-        yield (*key, docs, n)
+        block.append(postings(batch))
+        held += len(block[-1])
+        if held >= BLOCK:
+            # Postings that several slices share count once before the block is called full.
+            block = [_one_run(block)]
+            held = len(block[0])
+            if 2 * held >= BLOCK:
+                yield from spilled()
+                block, held = [], 0
+    if block:
+        yield from spilled()
+
+
+class _Run:
+    """A sorted run, taken from the front."""
+
+    def __init__(self, table: pa.Table):
+        self.table, self.keys, self.at = table, table.column("key").combine_chunks(), 0
+
+    def bound(self) -> bytes | None:
+        """The key that ends the next portion, None at the end."""
+        last = min(self.at + _ROWS, len(self.keys)) - 1
+        return self.keys[last].as_py() if self.at < len(self.keys) else None
+
+    def up_to(self, key: bytes) -> pa.Table:
+        """All that is left up to a key, that key included."""
+        low, high = self.at, len(self.keys)
+        while low < high:
+            middle = (low + high) // 2
+            if self.keys[middle].as_py() <= key:
+                low = middle + 1
+            else:
+                high = middle
+        part, self.at = self.table.slice(self.at, low - self.at), low
+        return part
+
+
+def merged(runs: list[_Run]) -> Iterator[pa.Table]:
+    """One sorted stream from sorted runs, in portions that never part the postings of a key.
+
+    A heap holds the end of each run's next portion. The least of them bounds what may be merged
+    now: no run has anything before it that is not at its front.
+    """
+    heap = [(bound, number) for number, run in enumerate(runs) if (bound := run.bound()) is not None]
+    heapq.heapify(heap)
+    while heap:
+        key = heap[0][0]
+        parts = [part for run in runs if len(part := run.up_to(key))]
+        yield _one_run(parts)
+        while heap and heap[0][0] <= key:
+            _, number = heapq.heappop(heap)
+            if (bound := runs[number].bound()) is not None:
+                heapq.heappush(heap, (bound, number))
 
 
 def _merge_shard(least: int):
     """Heap-merge the runs of a shard; terms in fewer than ``least`` documents of their language go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs: dict[int, list[tuple]] = defaultdict(list)
-        held, names = 0, ("lang", "term", "source", "docs", "n")
+        held: list[pa.RecordBatch] = []
+        size = limit = 0
+        whole: list[pa.Table] = []
         for batch in batches:
-            of_run = batch.column("run").to_pylist()
-            for number, posting in zip(of_run, zip(*(batch.column(c).to_pylist() for c in names))):
-                runs[number].append(posting)
-            held += batch.num_rows
-            if held >= HELD:
-                # Rows of a run may come in several portions, so each is sorted first.
-                whole = list(_merged([sorted(r) for r in runs.values()]))
-                runs = defaultdict(list, {-1: whole})
+            held.append(batch)
+            size += batch.num_rows
+            if size >= HELD + limit:
+                whole = [pa.concat_tables(list(merged(_runs(held, whole))))]
                 # What stays is distinct; only as much again makes another merge worth while.
-                held = min(len(whole), HELD // 2)
-        out: list[tuple] = []
-        stream = _merged([sorted(r) for r in runs.values()])
-        for (lang, term), same in itertools.groupby(stream, key=lambda p: p[:2]):
-            postings = list(same)
-            if sum(p[3] for p in postings) >= least:
-                total = sum(p[4] for p in postings)
-                out += [(lang, term, p[2], p[4], total, int(k == 0)) for k, p in enumerate(postings)]
-            if len(out) >= _ROWS:
-                yield _frequencies(out)
-                out = []
-        if out:
-            yield _frequencies(out)
+                held, size, limit = [], 0, len(whole[0]) // 2
+        for part in merged(_runs(held, whole)):
+            yield from _kept(part, least)
 
     return run
 
 
-def _frequencies(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = {
-        "lang": pa.string(), "term": pa.binary(), "source": pa.string(),
-        "n": pa.int64(), "term_n": pa.int64(), "first": pa.int32(),
-    }
-    return pa.record_batch(
-        {name: pa.array(values, kind) for (name, kind), values in zip(kinds.items(), zip(*rows))}
+def _runs(held: list[pa.RecordBatch], whole: list[pa.Table]) -> list[_Run]:
+    """The rows of a shard by run; they may come in any order and several portions."""
+    if not held:
+        return [_Run(table) for table in whole]
+    rows = pa.Table.from_batches(held)
+    rows = rows.sort_by([("run", "ascending"), ("key", "ascending"), ("source", "ascending")]).combine_chunks()
+    numbers = rows.column("run").to_numpy()
+    cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+    rows = rows.drop_columns(["run"])
+    return [_Run(table) for table in [*whole, *(rows.slice(a, b - a) for a, b in zip(cuts, cuts[1:]))]]
+
+
+def _kept(part: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
+    """The frequencies of the terms of a merged portion that enough documents hold."""
+    keys = part.column("key").combine_chunks().dictionary_encode()
+    term = keys.indices.to_numpy(zero_copy_only=False)
+    docs, n = (part.column(c).to_numpy() for c in ("docs", "n"))
+    size = len(keys.dictionary)
+    documents = np.zeros(size, np.int64)
+    totals = np.zeros(size, np.int64)
+    np.add.at(documents, term, docs)
+    np.add.at(totals, term, n)
+    rows = np.flatnonzero(documents[term] >= least)
+    if not len(rows):
+        return
+    term = term[rows]
+    parted = [key.rsplit(_PART, 1) for key in keys.dictionary.take(pa.array(np.unique(term))).to_pylist()]
+    at = np.searchsorted(np.unique(term), term)
+    langs = pa.array([lang.decode() for lang, _ in parted], pa.string())
+    terms = pa.array([name for _, name in parted], pa.binary())
+    yield pa.record_batch(
+        {
+            "lang": langs.take(pa.array(at)),
+            "term": terms.take(pa.array(at)),
+            "source": part.column("source").combine_chunks().take(pa.array(rows)),
+            "n": pa.array(n[rows]),
+            "term_n": pa.array(totals[term]),
+            # Rows come by key, so the first row of each term differs from the one before.
+            "first": pa.array((np.diff(term, prepend=-1) != 0).astype(np.int32)),
+        }
     )
 
 
@@ -168,7 +235,7 @@ def frequencies(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
     ``term_n`` is the term's count in its language, ``first`` is 1 in one row of each term.
     """
     runs = _given(docs, "lang", "source", "text").mapInArrow(_index, _POSTING)
-    return runs.repartition("lang", "term").mapInArrow(_merge_shard(least), _FREQUENCY)
+    return runs.repartition("key").mapInArrow(_merge_shard(least), _FREQUENCY)
 
 
 def _given(docs: DataFrame, *columns: str) -> DataFrame:
