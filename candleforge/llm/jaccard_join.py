@@ -17,7 +17,8 @@ First every set is held against the smallest and the largest member of each of i
 one comparison a set and tree however large a tree is, and links most of a group of near copies. Trees
 whose members are then all in one component are done. The others are searched in full: trees of up to
 ``BLOCK`` points in one task, larger ones as leaves dealt over tasks, whose pairs are joined by their
-boxes. Sets in one component are not compared again: a component is exact, while links
+boxes. A pair met in few trees beside the size of its sets cannot link either: the shingles that open
+no tree are at most as many as the larger rest. Sets in one component are not compared again: a component is exact, while links
 within it are found only as far as they connect it. Surviving pairs are verified on their whole texts.
 
 Shingles are 64-bit hashes within a pair (two sets of s shingles are misjudged with a chance of
@@ -44,7 +45,7 @@ from candleforge.llm.components import smallest_mates
 
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 80, 100
-GROUPS = 64
+GROUPS = 128
 LEAF = 64
 BLOCK = 2048
 #: Shingles of many documents that are put last, at most, and the least share of a slice's documents.
@@ -110,9 +111,14 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
     return np.array([s for _, s in rows], np.int64).view(np.uint64)
 
 
+def prefix_size(n):
+    """How many trees a set of n shingles enters: n - ceil(0.8 n) + 1."""
+    return n - (NUMERATOR * n + DENOMINATOR - 1) // DENOMINATOR + 1
+
+
 def _prefix(found: np.ndarray, common: np.ndarray, places: np.ndarray) -> np.ndarray:
     """The shingles by which a set enters trees. ``common`` is sorted, with the place of each."""
-    size = len(found) - -(-NUMERATOR * len(found) // DENOMINATOR) + 1
+    size = prefix_size(len(found))
     rank = np.zeros(len(found), np.int64)
     if len(common):
         at = np.minimum(np.searchsorted(common, found), len(common) - 1)
@@ -234,7 +240,7 @@ class _Tree:
         self.corners = np.maximum.reduceat(self.points, self.starts, axis=0)
 
     def pairs(self) -> Iterator[np.ndarray]:
-        """(u, v) of different components that the points leave room for."""
+        """Pairs of different components that the points leave room for."""
         for a in range(len(self.starts)):
             first = self.leaf(a)
             for b in range(a, len(self.starts)):
@@ -255,22 +261,25 @@ class _Tree:
 
 
 def _leaf_pairs(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...], same: bool) -> np.ndarray:
-    """(u, v) rows between the points of two leaves, or within one."""
+    """(u, v, size of u, size of v) rows between the points of two leaves, or within one."""
     shared = np.minimum(a[3][:, None, :], b[3][None, :, :]).sum(axis=2, dtype=np.int64)
     room = may_link(shared, a[2][:, None], b[2][None, :]) & (a[1][:, None] != b[1][None, :])
     if same:
         room = np.triu(room, 1)
     i, j = np.nonzero(room)
-    u, v = a[0][i], b[0][j]
-    return np.stack([np.minimum(u, v), np.maximum(u, v)], axis=1)
+    swap = a[0][i] > b[0][j]
+    u, v = (np.where(swap, y, x) for x, y in ((a[0][i], b[0][j]), (b[0][j], a[0][i])))
+    n_u, n_v = (np.where(swap, y, x) for x, y in ((a[2][i], b[2][j]), (b[2][j], a[2][i])))
+    return np.stack([u, v, n_u, n_v], axis=1)
 
 
 _FOUND = (
-    "u long, v long, key long, leaf long, corner array<int>, least long, most long, "
+    "u long, v long, n_u long, n_v long, met long, key long, leaf long, corner array<int>, least long, most long, "
     "one_comp long, sids binary, comps binary, sizes binary, points binary"
 )
 _FOUND_TYPES = {
-    "u": pa.int64(), "v": pa.int64(), "key": pa.int64(), "leaf": pa.int64(),
+    "u": pa.int64(), "v": pa.int64(), "n_u": pa.int64(), "n_v": pa.int64(), "met": pa.int64(),
+    "key": pa.int64(), "leaf": pa.int64(),
     "corner": pa.list_(pa.int32()), "least": pa.int64(), "most": pa.int64(), "one_comp": pa.int64(),
     "sids": pa.binary(), "comps": pa.binary(), "sizes": pa.binary(), "points": pa.binary(),
 }
@@ -314,10 +323,14 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pair_rows(met: list[np.ndarray]) -> pa.RecordBatch:
-    pairs = np.unique(np.concatenate(met), axis=0)
+    """Pairs, and in how many trees of the batch each was met."""
+    rows = np.concatenate(met)
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    firsts = np.flatnonzero((np.diff(rows[:, :2], axis=0, prepend=-1) != 0).any(axis=1))
+    columns = [*rows[firsts].T, np.diff(firsts, append=len(rows))]
     return pa.record_batch(
         {
-            name: pa.array(pairs[:, n]) if n < 2 else pa.nulls(len(pairs), kind)
+            name: pa.array(columns[n]) if n < len(columns) else pa.nulls(len(firsts), kind)
             for n, (name, kind) in enumerate(_FOUND_TYPES.items())
         }
     )
@@ -347,7 +360,7 @@ def _finished(key: tuple, parts: list, met: list[np.ndarray], number: int):
 
 
 def _across(leaves: DataFrame) -> DataFrame:
-    """(u, v) between the leaves of large trees, joined by their boxes."""
+    """Pairs (u, v, n_u, n_v, met) between the leaves of large trees, joined by their boxes."""
     boxes = ("leaf", "corner", "least", "most", "one_comp")
     a = leaves.select("key", *[F.col(c).alias(f"a_{c}") for c in boxes])
     b = leaves.select("key", *[F.col(c).alias(f"b_{c}") for c in boxes])
@@ -376,9 +389,13 @@ def _across(leaves: DataFrame) -> DataFrame:
         for batch in slices(batches, "a_points"):
             for row in batch.to_pylist():
                 found = _leaf_pairs(members(row, "a"), members(row, "b"), row["a_leaf"] == row["b_leaf"])
-                yield pa.record_batch({"u": pa.array(found[:, 0]), "v": pa.array(found[:, 1])})
+                columns = [*found.T, np.ones(len(found), np.int64)]
+                yield pa.record_batch([pa.array(c) for c in columns], names=_PAIR)
+
+    return near.mapInArrow(run, ", ".join(f"{c} long" for c in _PAIR))
 
-    return near.mapInArrow(run, "u long, v long")
+
+_PAIR = ["u", "v", "n_u", "n_v", "met"]
 
 
 def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
@@ -405,14 +422,22 @@ def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
     dealt = rows.withColumn("salt", salt).repartition("key", "salt").sortWithinPartitions("key", "salt")
     searched = dealt.select("key", "salt", "parts", "sid", "comp", "n", "point").mapInArrow(_search, _FOUND)
     searched = stored(searched, "searched")
-    pairs = searched.filter("u is not null").select("u", "v").unionByName(
+    pairs = searched.filter("u is not null").select(*_PAIR).unionByName(
         _across(searched.filter("leaf is not null"))
     )
-    new = pairs.distinct().join(tried, ["u", "v"], "left_anti")
+    pairs = pairs.groupBy("u", "v", "n_u", "n_v").agg(F.sum("met").alias("met"))
+    # Of two sets, all shared shingles up to the end of the shorter prefix were met in trees.
+    rest = F.greatest(*[F.col(n) - _prefix_size(F.col(n)) for n in ("n_u", "n_v")])
+    pairs = pairs.filter(may_link(F.col("met") + rest, F.col("n_u"), F.col("n_v"))).select("u", "v")
+    new = pairs.join(tried, ["u", "v"], "left_anti")
     second = stored(verified(stored(new, "pairs"), sets, docs), "second-links")
     return first.unionByName(second)
 
 
+def _prefix_size(n: Column) -> Column:
+    return n - F.call_function("div", NUMERATOR * n + (DENOMINATOR - 1), F.lit(DENOMINATOR)) + 1
+
+
 def _named(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and mark (null for the empty set) of each row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
