@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -153,8 +154,11 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         self.replay = Replay(read_ranks(path))
         self.pattern = regex.compile(pattern)
-        self.pieces = Pieces(self._encode_pieces)
-        self.decimal = {rank: str(rank) for rank in self.replay.token}
+        self.pieces = Pieces(self._encode_pieces, np.dtype("<u4"))
+        ranks = range(max(self.replay.token) + 1)
+        # By id: its decimal number, and the bytes it stands for.
+        self.decimal = pa.array(map(str, ranks), pa.binary())
+        self.token = pa.array(map(self.replay.token.get, ranks), pa.binary())
 
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
         """For each piece its ids as 32-bit integers."""
@@ -169,14 +173,25 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[array]:
         """For each text its ids."""
-        return [array("I", packed) for packed in self.pieces.of(texts)]
+        ids, counts = self.pieces.of(pa.array(texts, pa.string()))
+        return [array("I", part.tobytes()) for part in np.split(ids, np.cumsum(counts)[:-1])] if texts else []
 
-    def decode(self, ids: array) -> bytes:
-        return b"".join(map(self.replay.token.__getitem__, ids))
+    def _joined(self, words: pa.Array, ids: np.ndarray, counts: np.ndarray, between: bytes) -> pa.Array:
+        """For each text the words of its ids, joined."""
+        ends = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
+        return pc.binary_join(pa.ListArray.from_arrays(ends, words.take(pa.array(ids))), between)
 
-    def digest(self, ids: array) -> str:
-        """SHA-256 of the ids as decimal numbers with single spaces."""
-        return hashlib.sha256(" ".join(map(self.decimal.__getitem__, ids)).encode()).hexdigest()
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """The bytes of each text."""
+        return self._joined(self.token, ids, counts, b"")
+
+    def numbers(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """The ids of each text as decimal numbers with single spaces."""
+        return self._joined(self.decimal, ids, counts, b" ")
+
+
+def _digests(texts: pa.Array) -> pa.Array:
+    return pa.array([hashlib.sha256(t.as_buffer()).hexdigest() for t in texts], pa.string())
 
 
 @functools.lru_cache(maxsize=2)
@@ -206,18 +221,14 @@ def _encoded(docs: DataFrame, path: str, pattern: str, give: str) -> DataFrame:
         own = codec(path, pattern)
         for batch in slices(batches):
             columns = [batch.column(f.name) for f in kept]
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            rows = own.encode(texts)
-            counts = pa.array([len(ids) for ids in rows], pa.int64())
+            ids, counts = own.pieces.of(pc.fill_null(batch.column("text"), ""))
+            sizes = pa.array(counts, pa.int64())
             if give == "ids":
-                offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-                flat = np.frombuffer(b"".join(ids.tobytes() for ids in rows), np.int32)
-                lists = pa.ListArray.from_arrays(offsets, flat)
-                yield pa.record_batch([*columns, counts, lists], names=[f.name for f in kept] + names)
+                offsets = np.append(0, np.cumsum(counts)).astype(np.int32)
+                lists = pa.ListArray.from_arrays(offsets, ids.view(np.int32))
+                yield pa.record_batch([*columns, sizes, lists], names=[f.name for f in kept] + names)
                 continue
-            digests = [own.digest(ids) for ids in rows]
-            back = [hashlib.sha256(own.decode(ids)).hexdigest() for ids in rows]
-            new = [counts, pa.array(digests, pa.string()), pa.array(back, pa.string())]
+            new = [sizes, _digests(own.numbers(ids, counts)), _digests(own.decode(ids, counts))]
             yield pa.record_batch([*columns, *new], names=[f.name for f in kept] + names)
 
     return docs.mapInArrow(run, f"{head}, {fields}" if head else fields)

@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,7 +54,7 @@ class _Library:
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.pieces = Pieces(self._encode_pieces)
+        self.pieces = Pieces(self._encode_pieces, self.kind)
 
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
@@ -61,7 +62,18 @@ class _Library:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as packed integers."""
-        return self.pieces.of(texts)
+        ids, counts = self.pieces.of(pa.array(texts, pa.string()))
+        return [part.tobytes() for part in np.split(ids, np.cumsum(counts)[:-1])] if texts else []
+
+    def ended(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, each followed by the end id, and how many each has."""
+        ids, counts = self.pieces.of(texts)
+        counts = counts + 1
+        stream = np.full(int(counts.sum()), END_ID, self.kind)
+        real = np.ones(len(stream), bool)
+        real[np.cumsum(counts) - 1] = False
+        stream[real] = ids
+        return stream, counts
 
 
 @functools.lru_cache(maxsize=2)
@@ -175,22 +187,16 @@ def write(docs: DataFrame, path: str, folder: str, length: int = LENGTH) -> tupl
         from pyspark import TaskContext
 
         library = _library(path)
-        end = np.array([END_ID], library.kind)
         part = TaskContext.get().partitionId()
         location = f"{target}/part-{part:06d}-{uuid.uuid4().hex}.arrow"
         shard = None
         for batch in slices(batches):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            if shard is None and texts:
+            rows = batch.num_rows
+            if shard is None and rows:
                 shard = _ShardWriter(location, library.kind, length)
-            firsts, counts = [], []
-            for packed in library.encode(texts):
-                ids = np.frombuffer(packed, library.kind)
-                firsts.append(shard.total)
-                counts.append(len(ids) + 1)
-                shard.write(ids)
-                shard.write(end)
-            rows = len(texts)
+            ids, counts = library.ended(pc.fill_null(batch.column("text"), ""))
+            firsts = shard.total + np.cumsum(counts) - counts
+            shard.write(ids)
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id"),
