@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candleforge.llm.common import bounded_sample, slices
+from candleforge.llm.common import bounded_sample, slices, stored
 
 #: Labelled documents of each class that the lexicon and the curve are fitted on.
 PER_CLASS = 10_000
@@ -238,37 +238,35 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
 
 def fit(rows: DataFrame, prior: float) -> Lexicon:
     """Learn from rows (text, toxic); ``prior`` is the share of toxic rows to assume."""
-    rows = rows.persist()
-    try:
-        sizes = {0: 0, 1: 0} | {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
-        if not sizes[0] or not sizes[1]:
-            return Lexicon()
-
-        def terms(folded: Folded) -> set[str]:
-            return {t for w in folded.forms() for t in _terms(w)}
-
-        # As many as the bounded sample has terms that three toxic documents share.
-        shared = _counted(rows.filter("toxic = 1"), terms).filter("toxic >= 3").select("term")
-        asked = frozenset(r["term"] for r in shared.collect())
-        counts = _counted(rows, lambda folded: terms(folded) & asked).collect()
-        rated = ((r["term"], _ratio(r["toxic"], r["clean"], sizes)) for r in counts)
-        weights = {t: w for t, (g, w) in rated if g >= LEAST_RATIO and w >= LEAST_WEIGHT}
-        lexicon = Lexicon(weights)
-
-        def phrases(folded: Folded) -> set[str]:
-            return {p for own in folded.phrases(list(lexicon.matches(folded))) for p in own}
-
-        met = _counted(rows, phrases).filter("clean >= 3")
-        excused = []
-        for row in met.toLocalIterator():
-            ratio, odds = _ratio(row["toxic"], row["clean"], sizes)
-            if odds < 0 and ratio >= LEAST_RATIO / 2:
-                excused.append(row["term"])
-        lexicon.exceptions = frozenset(excused)
-        lexicon.curve = _curve(*_features(rows, lexicon), prior)
-        return lexicon
-    finally:
-        rows.unpersist()
+    # Stored, not cached: whole texts would fill the executors' memory.
+    rows = stored(rows, "toxicity-sample")
+    sizes = {0: 0, 1: 0} | {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    if not sizes[0] or not sizes[1]:
+        return Lexicon()
+
+    def terms(folded: Folded) -> set[str]:
+        return {t for w in folded.forms() for t in _terms(w)}
+
+    # As many as the bounded sample has terms that three toxic documents share.
+    shared = _counted(rows.filter("toxic = 1"), terms).filter("toxic >= 3").select("term")
+    asked = frozenset(r["term"] for r in shared.collect())
+    counts = _counted(rows, lambda folded: terms(folded) & asked).collect()
+    rated = ((r["term"], _ratio(r["toxic"], r["clean"], sizes)) for r in counts)
+    weights = {t: w for t, (g, w) in rated if g >= LEAST_RATIO and w >= LEAST_WEIGHT}
+    lexicon = Lexicon(weights)
+
+    def phrases(folded: Folded) -> set[str]:
+        return {p for own in folded.phrases(list(lexicon.matches(folded))) for p in own}
+
+    met = _counted(rows, phrases).filter("clean >= 3")
+    excused = []
+    for row in met.toLocalIterator():
+        ratio, odds = _ratio(row["toxic"], row["clean"], sizes)
+        if odds < 0 and ratio >= LEAST_RATIO / 2:
+            excused.append(row["term"])
+    lexicon.exceptions = frozenset(excused)
+    lexicon.curve = _curve(*_features(rows, lexicon), prior)
+    return lexicon
 
 
 def _features(rows: DataFrame, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray]:
