@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows go to Python in batches of bounded bytes, not only of 10,000 rows of any width.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
