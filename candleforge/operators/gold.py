@@ -8,9 +8,12 @@ hour and task.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candleforge import session
 from candleforge.functions import clock, measures
 from candleforge.operators import silver
 from candleforge.schema import AMOUNT, GOLD_DAILY, GOLD_HOURLY, NOTIONAL, VWAP
@@ -30,60 +33,107 @@ def candle_partials(trades: DataFrame, exact: bool = True) -> DataFrame:
     words; ids are sequential, so blocks hardly add rows. ``roll_up`` merges the blocks by
     the full order.
 
-    In exact mode prices and quantities that fit a machine word are aggregated as such, the
-    others, if any, in a pass of their own, whose filter reaches the file statistics;
-    ``roll_up`` merges both. Products keep all decimals. ``exact=False`` rounds each product
-    to six decimals.
+    In exact mode prices and quantities that fit a machine word are aggregated as such, and the
+    others, if any, beside them in the same pass; a group with both gives two rows, which
+    ``roll_up`` merges. Products keep all decimals. ``exact=False`` rounds each product to six
+    decimals.
     """
+    valid = trades.filter("is_valid")
     if not exact:
         product = measures.notional(F.col("_price"), F.col("_quantity"), exact=False)
-        return _partials(trades, AMOUNT.simpleString(), product)
+        return _partials(valid, [_Class("", F.lit(True), AMOUNT.simpleString(), product)])
     narrow = measures.is_narrow(F.col("price"), F.col("quantity"))
-    product = measures.notional(F.col("_price"), F.col("_quantity"))
-    wide_product = measures.wide_notional(F.col("_price"), F.col("_quantity"))
-    common = _partials(trades.filter(narrow), "decimal(18,8)", product)
-    wide = _partials(trades.filter(~narrow), AMOUNT.simpleString(), wide_product)
-    return common.unionByName(wide)
+    common = measures.notional(F.col("_price"), F.col("_quantity"))
+    wide = measures.wide_notional(F.col("_wide_price"), F.col("_wide_quantity"))
+    return _partials(
+        valid,
+        [
+            _Class("", narrow, "decimal(18,8)", common),
+            _Class("_wide", ~narrow, AMOUNT.simpleString(), wide),
+        ],
+    )
+
+
+@dataclass(frozen=True)
+class _Class:
+    """Rows whose operands share a type: what they are, the type, and their product.
+
+    Columns of a class are null in rows of the other, which no aggregate but a count sees.
+    """
 
+    prefix: str
+    holds: Column
+    operand: str
+    product: Column
+
+    def operands(self, position: Column) -> dict[str, Column]:
+        return {
+            f"{self.prefix}_is": self.holds,
+            f"{self.prefix}_position": F.when(self.holds, position),
+            f"{self.prefix}_price": F.when(self.holds, F.col("price")).cast(self.operand),
+            f"{self.prefix}_quantity": F.when(self.holds, F.col("quantity")).cast(self.operand),
+        }
+
+    def aggregates(self) -> dict[str, Column]:
+        place, price, amount = (f"{self.prefix}_{c}" for c in ("position", "price", "quantity"))
+        found = {
+            "first": F.min(place),
+            "last": F.max(place),
+            "open_price": F.min_by(price, place),
+            "high_price": F.max(price),
+            "low_price": F.min(price),
+            "close_price": F.max_by(price, place),
+            "summed": F.count(amount),
+            "volume": F.try_sum(amount),
+            "multiplied": F.count(self.product),
+            "notional": F.try_sum(self.product),
+            "trade_count": F.count_if(f"{self.prefix}_is"),
+        }
+        return {f"{self.prefix}_{name}": column for name, column in found.items()}
 
-def _partials(trades: DataFrame, operand: str, product: Column) -> DataFrame:
+    def partial(self) -> Column:
+        """The class's aggregates as a row of partials; sums are null unless they are whole."""
+
+        def own(name: str) -> Column:
+            return F.col(f"{self.prefix}_{name}")
+
+        opened, closed = (
+            (
+                measures.position_time(F.col("hour_bucket"), own(end)),
+                measures.position_id(F.col("_block"), own(end)),
+            )
+            for end in ("first", "last")
+        )
+        count = own("trade_count")
+        amounts = {name: own(name) for name in PRICES}
+        amounts["volume"] = F.when(own("summed") == count, own("volume"))
+        return F.struct(
+            opened[0].alias("session_open_at"),
+            closed[0].alias("session_close_at"),
+            measures.trade_order(*opened).alias("open_order"),
+            measures.trade_order(*closed).alias("close_order"),
+            *[column.try_cast(AMOUNT).alias(name) for name, column in amounts.items()],
+            F.when(own("multiplied") == count, own("notional")).try_cast(NOTIONAL).alias("notional"),
+            count.alias("trade_count"),
+        )
+
+
+def _partials(valid: DataFrame, classes: list[_Class]) -> DataFrame:
     hour = clock.hour_bucket(F.col("transact_time"))
-    rows = trades.filter("is_valid").select(
+    position = measures.position(F.col("transact_time"), hour, F.col("agg_trade_id"))
+    operands = {name: c for each in classes for name, c in each.operands(position).items()}
+    rows = valid.select(
         *DAILY_KEY,
         hour.alias("hour_bucket"),
         measures.id_block(F.col("agg_trade_id")).alias("_block"),
-        measures.position(F.col("transact_time"), hour, F.col("agg_trade_id")).alias("_position"),
-        F.col("price").cast(operand).alias("_price"),
-        F.col("quantity").cast(operand).alias("_quantity"),
-    )
-    grouped = rows.groupBy(*HOURLY_KEY, "_block").agg(
-        F.min("_position").alias("_first"),
-        F.max("_position").alias("_last"),
-        F.min_by("_price", "_position").alias("open_price"),
-        F.max("_price").alias("high_price"),
-        F.min("_price").alias("low_price"),
-        F.max_by("_price", "_position").alias("close_price"),
-        measures.whole_sum("_quantity").alias("volume"),
-        measures.whole_sum(product).alias("notional"),
-        F.count("*").alias("trade_count"),
-    )
-    opened, closed = (
-        (
-            measures.position_time(F.col("hour_bucket"), F.col(end)),
-            measures.position_id(F.col("_block"), F.col(end)),
-        )
-        for end in ("_first", "_last")
-    )
-    return grouped.select(
-        *HOURLY_KEY,
-        opened[0].alias("session_open_at"),
-        closed[0].alias("session_close_at"),
-        measures.trade_order(*opened).alias("open_order"),
-        measures.trade_order(*closed).alias("close_order"),
-        *[F.col(name).try_cast(AMOUNT).alias(name) for name in [*PRICES, "volume"]],
-        F.col("notional").try_cast(NOTIONAL).alias("notional"),
-        "trade_count",
+        *[column.alias(name) for name, column in operands.items()],
     )
+    sums = {name: c for each in classes for name, c in each.aggregates().items()}
+    grouped = rows.groupBy(*HOURLY_KEY, "_block").agg(*[c.alias(name) for name, c in sums.items()])
+    if len(classes) == 1:
+        return grouped.select(*HOURLY_KEY, classes[0].partial().alias("_row")).select(*HOURLY_KEY, "_row.*")
+    filled = F.array_compact(F.array(*[F.when(F.col(f"{c.prefix}_trade_count") > 0, c.partial()) for c in classes]))
+    return grouped.select(*HOURLY_KEY, F.inline(filled))
 
 
 def roll_up(partials: DataFrame, keys: list[str]) -> DataFrame:
@@ -166,6 +216,26 @@ def symbol_summary(daily: DataFrame) -> DataFrame:
     )
 
 
+def layers(trades: DataFrame, exact: bool = True) -> dict[str, DataFrame]:
+    """The trades as ``silver``, with the candles ``daily`` and ``hourly`` and the ``summary``.
+
+    Partial candles are stored in the work folder, so the trades are scanned once for all
+    three; they are few beside the trades.
+    """
+    spark = trades.sparkSession
+    path = session.work_dir(spark, "partials")
+    partials = candle_partials(trades, exact)
+    partials.write.parquet(path)
+    stored = spark.read.schema(partials.schema).parquet(path)
+    daily = daily_candles(stored)
+    return {
+        "silver": trades,
+        "daily": daily,
+        "hourly": hourly_candles(stored),
+        "summary": symbol_summary(daily),
+    }
+
+
 def with_audit(candles: DataFrame, run_id: str) -> DataFrame:
     return candles.withColumns({"_gold_at": F.current_timestamp(), "_gold_run_id": F.lit(run_id)})
 

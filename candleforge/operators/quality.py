@@ -117,29 +117,58 @@ def trade_suite(symbols: list[str]) -> list[Check]:
 def run_suite(frames: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     """One row per check: name, number of failing rows, passed.
 
-    All row-level checks of a table share one aggregation, hence one scan. Checks across
-    rows each need a grouping of their own.
+    All checks of a table share one aggregation, hence one scan: counts by each unique key and
+    the counts over all rows are grouping sets of it.
     """
     parts = []
     for table in dict.fromkeys(check.table for check in checks):
-        mine = [c for c in checks if c.table == table]
-        by_row = [(c, p) for c in mine if (p := c.row_predicate()) is not None]
-        if by_row:
-            counts = frames[table].agg(
-                *[F.count_if(p).alias(f"n{i}") for i, (_, p) in enumerate(by_row)]
-            )
-            results = [
-                F.struct(F.lit(c.name).alias("check"), F.col(f"n{i}").alias("failing_rows"))
-                for i, (c, _) in enumerate(by_row)
-            ]
-            parts.append(counts.select(F.inline(F.array(*results))))
-        for check in mine:
-            if check.row_predicate() is None:
-                failing = check.offending(frames[table]).agg(F.count("*").alias("failing_rows"))
-                parts.append(failing.select(F.lit(check.name).alias("check"), "failing_rows"))
+        parts.append(_checked(frames[table], [c for c in checks if c.table == table]))
     return reduce(DataFrame.unionAll, parts).withColumn("passed", F.col("failing_rows") == 0)
 
 
+def _checked(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """check and failing_rows of all checks of one table."""
+    by_row = {c: p for c in checks if (p := c.row_predicate()) is not None}
+    counts = {c: f"_rows{n}" for n, c in enumerate(by_row)}
+    per_row = [F.count_if(p).alias(counts[c]) for c, p in by_row.items()]
+    across = [c for c in checks if c not in by_row]
+    if not across:
+        counted = df.agg(*per_row)
+        failing = {c: F.col(counts[c]) for c in by_row}
+    else:
+        columns = list(dict.fromkeys(name for c in across for name in c.columns))
+        # Copies, so that a key column may also be counted in the set of all rows.
+        keys = {name: f"_key_{name}" for name in columns}
+        sets = [[keys[name] for name in c.columns] for c in across] + [[]]
+        grouped = df.withColumns({key: F.col(name) for name, key in keys.items()}).groupingSets(
+            sets, *keys.values()
+        )
+        found = grouped.agg(
+            F.count("*").alias("_n"), F.grouping_id().alias("_set"), *per_row
+        )
+        failing = {}
+        for check, kept in zip(across, sets):
+            repeated = (F.col("_set") == _set_number(kept, list(keys.values()))) & (F.col("_n") > 1)
+            if len(kept) == 1:
+                repeated &= F.col(kept[0]).isNotNull()
+            failing[check] = F.count_if(repeated)
+        whole = F.col("_set") == _set_number([], list(keys.values()))
+        for check, name in counts.items():
+            failing[check] = F.coalesce(F.sum(F.when(whole, F.col(name))), F.lit(0))
+        names = {check: f"_failing{n}" for n, check in enumerate(failing)}
+        counted = found.agg(*[column.alias(names[c]) for c, column in failing.items()])
+        failing = {c: F.col(names[c]) for c in failing}
+    results = [
+        F.struct(F.lit(c.name).alias("check"), failing[c].alias("failing_rows")) for c in checks
+    ]
+    return counted.select(F.inline(F.array(*results)))
+
+
+def _set_number(kept: list[str], columns: list[str]) -> int:
+    """What ``grouping_id`` gives for a grouping set: a bit for each column that it leaves out."""
+    return sum(1 << n for n, name in enumerate(reversed(columns)) if name not in kept)
+
+
 # Row contracts.
 
 
@@ -244,6 +273,39 @@ def temporal_violations(silver: DataFrame, earliest: dt.date = EARLIEST_DAY) ->
     return silver.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
+@dataclass(frozen=True)
+class Gates:
+    """What a (symbol, batch_date) must meet to be published."""
+
+    rejection_limit_pct: float = REJECTION_LIMIT_PCT
+    row_floor_pct: float = ROW_FLOOR_PCT
+    earliest_day: dt.date = EARLIEST_DAY
+
+
+def audit(bronze: DataFrame, silver: DataFrame, gates: Gates = Gates()) -> DataFrame:
+    """Per (symbol, batch_date) all gates at once: the counts, ``reasons`` and ``passed``.
+
+    One pass over three columns of silver, one over the row counts of bronze. The reasons are
+    the gates that stop it, in declared order; a day without any silver row passes none.
+    """
+    day = F.to_date("transact_time")
+    outside = (day < F.lit(gates.earliest_day)) | (day > F.col("batch_date"))
+    kept = silver.groupBy(*PARTITION).agg(
+        F.count("*").alias("silver_rows"),
+        F.count_if("is_valid").alias("valid_rows"),
+        F.count_if(outside).alias("untimely_rows"),
+    )
+    landed = bronze.groupBy(*PARTITION).agg(F.count("*").alias("bronze_rows"))
+    counts = landed.join(kept, PARTITION, "full").na.fill(0)
+    rejected = F.lit(100) * (F.col("silver_rows") - F.col("valid_rows"))
+    stops = {
+        "rejection": rejected > F.lit(gates.rejection_limit_pct) * F.col("silver_rows"),
+        "row_floor": F.lit(100) * F.col("silver_rows") < F.lit(gates.row_floor_pct) * F.col("bronze_rows"),
+        "temporal": F.col("untimely_rows") > 0,
+    }
+    return counts.withColumn("reasons", _names(stops)).withColumn("passed", F.size("reasons") == 0)
+
+
 # Quarantine.
 
 

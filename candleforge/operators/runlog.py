@@ -27,6 +27,7 @@ RUN_LOG = T.StructType(
         T.StructField("duplicates_dropped", T.LongType()),
         T.StructField("started_at", T.TimestampType()),
         T.StructField("ended_at", T.TimestampType()),
+        T.StructField("reason", T.StringType()),
         T.StructField("run_id", T.StringType()),
     ]
 )

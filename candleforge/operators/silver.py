@@ -137,11 +137,13 @@ def upsert(
     epoch_unit: str = "auto",
     partitions: DataFrame | None = None,
     observe=None,
+    into: str | None = None,
 ) -> None:
     """Type, check and deduplicate ``bronze`` and upsert it by trade key.
 
     Repeating the call leaves the same trades. ``partitions`` lists the touched
-    (symbol, batch_date), by default the ones in ``bronze``. A new day without repeats is
+    (symbol, batch_date), by default the ones in ``bronze``. With ``into`` their new state is
+    written there instead of into the table. A new day without repeats is
     one map-only pass from bronze files to silver files.
     """
     repeats = repeated_in(bronze)
@@ -157,6 +159,7 @@ def upsert(
         grouped=True,
         observe=observe,
         unnamed=("agg_trade_id", [*PARTITION, *PAYLOAD]),
+        into=into,
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from candleforge.functions import clock
 from candleforge.operators import bronze, gold, quality, runlog, silver
 from candleforge.schema import PARTITION
-from candleforge.sources import landing, manifest, tables
+from candleforge.sources import landing, manifest, storage, tables
 
 CHANGE_TO_LOAD = [manifest.NEW, manifest.CHANGED]
 
@@ -57,6 +57,17 @@ class Lake:
     def outcomes(self) -> str:
         return self._at("state/outcomes")
 
+    @property
+    def gates(self) -> str:
+        return self._at("state/gates")
+
+    @property
+    def backfills(self) -> str:
+        return self._at("state/backfills")
+
+    def staged_silver(self, run_id: str) -> str:
+        return self._at(f"staging/silver/{tables.folder_text(run_id)}")
+
     @property
     def run_log(self) -> str:
         return self._at("state/run_log")
@@ -80,11 +91,12 @@ def run(
     today: dt.date | None = None,
     epoch_unit: str = "auto",
     exact: bool = True,
+    gates: quality.Gates | None = None,
 ) -> dict:
     """Load the landed files of ``batch_dates`` (default: the day before ``today``).
 
-    Returns the status row of the run. An unreadable or missing file does not stop the
-    others.
+    Returns the status row of the run. An unreadable or missing file, or a day that a gate
+    stops, does not stop the others.
     """
     if batch_dates is None:
         batch_dates = [clock.previous_day(today or dt.datetime.now(dt.timezone.utc).date())]
@@ -96,7 +108,7 @@ def run(
     def files(partitions: DataFrame | None) -> DataFrame:
         return landing.landed_files(spark, landing_root, batch_dates, partitions)
 
-    return load(spark, files, lake, run_id, expected, epoch_unit, exact)
+    return load(spark, files, lake, run_id, expected, epoch_unit, exact, gates)
 
 
 def load(
@@ -107,6 +119,7 @@ def load(
     expected: DataFrame,
     epoch_unit: str = "auto",
     exact: bool = True,
+    gates: quality.Gates | None = None,
 ) -> dict:
     """Load what changed among ``files``.
 
@@ -116,6 +129,10 @@ def load(
     its files are parsed, since bronze replaces whole partitions. While one of them is
     unreadable, a partition that bronze holds stays as it was; one whose files have no rows
     any more is emptied, through gold.
+
+    Silver is written aside, audited by ``gates`` and then published, day by day: a
+    (symbol, batch_date) that a gate stops keeps the state it had in silver and gold, its
+    reasons are kept, and its outcome is an error. Without gates all is published.
     """
     started = dt.datetime.now(dt.timezone.utc)
     scans = _record_scan(spark, files, lake, run_id, expected)
@@ -127,7 +144,9 @@ def load(
             entries.append(_load_bronze(files(to_load), checks, lake, run_id, started))
             emptied = _clear_emptied(checks, lake)
             if tables.exists(spark, lake.bronze):
-                entries += refresh_from_bronze(spark, lake, to_load, run_id, epoch_unit, exact)
+                entries += refresh_from_bronze(
+                    spark, lake, to_load, run_id, epoch_unit, exact, gates
+                )
             elif emptied and tables.exists(spark, lake.hourly):
                 gold.refresh(spark, lake.silver, to_load, lake.hourly, lake.daily, run_id, exact)
             _record_files(spark, scans, lake, run_id)
@@ -230,20 +249,20 @@ def refresh_from_bronze(
     run_id: str,
     epoch_unit: str = "auto",
     exact: bool = True,
+    gates: quality.Gates | None = None,
 ) -> list[dict]:
-    """Upsert the listed partitions into silver and rebuild their candles."""
+    """Upsert the listed partitions into silver and rebuild the candles of those published."""
     started = dt.datetime.now(dt.timezone.utc)
     rows = tables.in_partitions(bronze.read(spark, lake.bronze), partitions, PARTITION)
     rows_in = rows.count()  # answered from parquet footers
+    staged = None if gates is None else lake.staged_silver(run_id)
     metrics = runlog.WriteMetrics(rows_out=F.count_if(F.col("_silver_run_id") == run_id))
     silver.upsert(
-        spark, lake.silver, rows, run_id, epoch_unit, partitions, observe=metrics.attach
+        spark, lake.silver, rows, run_id, epoch_unit, partitions, observe=metrics.attach, into=staged
     )
     rows_out = metrics.values()["rows_out"]
     typed_at = dt.datetime.now(dt.timezone.utc)
-    quality.write_quarantine(quality.quarantine(rows), lake.bad_rows, run_id)
-    gold.refresh(spark, lake.silver, partitions, lake.hourly, lake.daily, run_id, exact)
-    return [
+    entries = [
         {
             "stage": "silver",
             "status": "SUCCESS",
@@ -253,15 +272,61 @@ def refresh_from_bronze(
             "started_at": started,
             "ended_at": typed_at,
             "run_id": run_id,
-        },
+        }
+    ]
+    quality.write_quarantine(quality.quarantine(rows), lake.bad_rows, run_id)
+    if gates is not None:
+        verdicts = _audited(spark, rows, lake, run_id, gates)
+        entries.append(_publish(spark, verdicts, lake, run_id, typed_at))
+        partitions = verdicts.filter("passed").select(*PARTITION)
+    audited_at = dt.datetime.now(dt.timezone.utc)
+    if gates is None or not partitions.isEmpty():
+        gold.refresh(spark, lake.silver, partitions, lake.hourly, lake.daily, run_id, exact)
+    entries.append(
         {
             "stage": "gold",
             "status": "SUCCESS",
-            "started_at": typed_at,
+            "started_at": audited_at,
             "ended_at": dt.datetime.now(dt.timezone.utc),
             "run_id": run_id,
-        },
-    ]
+        }
+    )
+    return entries
+
+
+def _audited(
+    spark: SparkSession, landed: DataFrame, lake: Lake, run_id: str, gates: quality.Gates
+) -> DataFrame:
+    """The verdict of the gates on each staged partition, stored."""
+    staged = silver.read(spark, lake.staged_silver(run_id))
+    verdicts = quality.audit(landed, staged, gates).withColumn("run_id", F.lit(run_id))
+    tables.replace_partitions(verdicts, lake.gates, ["run_id"])
+    stored = spark.read.schema(verdicts.schema).parquet(lake.gates)
+    return stored.filter(F.col("run_id") == run_id)
+
+
+def _publish(
+    spark: SparkSession, verdicts: DataFrame, lake: Lake, run_id: str, started: dt.datetime
+) -> dict:
+    """Move the partitions that passed into silver; the others are dropped with their staging."""
+    staged = lake.staged_silver(run_id)
+    passed = tables.listed_partitions(verdicts.filter("passed"), PARTITION)
+    tables.promote(spark, staged, lake.silver, passed)
+    storage.delete(spark, staged)
+    stopped = verdicts.select(F.explode("reasons").alias("reason")).groupBy("reason").count()
+    reasons = [f"{r['reason']}: {r['count']}" for r in stopped.orderBy("reason").collect()]
+    return {
+        "stage": "audit",
+        "status": "PARTIAL" if reasons else "SUCCESS",
+        "started_at": started,
+        "ended_at": dt.datetime.now(dt.timezone.utc),
+        "reason": ", ".join(reasons) or None,
+        "run_id": run_id,
+    }
+
+
+# Partitions a backfill rewrites between two marks of its progress.
+BACKFILL_GROUP = 200
 
 
 def backfill(
@@ -271,12 +336,44 @@ def backfill(
     batch_dates: list[dt.date] | None = None,
     epoch_unit: str = "auto",
     exact: bool = True,
+    gates: quality.Gates | None = None,
+    group_size: int = BACKFILL_GROUP,
+    most_groups: int | None = None,
 ) -> list[dict]:
-    """Process bronze again, all batches or the given ones; repeating it changes nothing."""
+    """Process bronze again, all batches or the given ones, in groups of partitions.
+
+    A group is recorded when it is complete, the oldest days first. Calling it again with the same
+    ``run_id``, after a failure or after ``most_groups``, goes on with what is not recorded.
+    Repeating a group changes nothing. Returns the log entries of the groups of this call.
+    """
     partitions = bronze.read(spark, lake.bronze).select(*PARTITION).distinct()
     if batch_dates is not None:
         partitions = partitions.filter(F.col("batch_date").isin(list(batch_dates)))
-    return refresh_from_bronze(spark, lake, partitions, run_id, epoch_unit, exact)
+    done = backfilled(spark, lake, run_id)
+    # Partition values as text, as many as Spark's own listing of the table keeps.
+    open_ones = tables.listed_partitions(tables.without_keys(partitions, done, PARTITION), PARTITION)
+    open_ones.sort(key=lambda values: (values["batch_date"] or "", values["symbol"] or ""))
+    groups = [open_ones[at : at + group_size] for at in range(0, len(open_ones), group_size)]
+    first = (done.agg(F.max("group")).first()[0] or 0) + 1
+    entries = []
+    for number, listed in enumerate(groups[:most_groups], first):
+        group = spark.createDataFrame(
+            [(v["symbol"], v["batch_date"]) for v in listed], "symbol string, batch_date string"
+        ).select("symbol", F.col("batch_date").cast("date").alias("batch_date"))
+        entries += refresh_from_bronze(spark, lake, group, run_id, epoch_unit, exact, gates)
+        recorded = group.withColumns({"group": F.lit(number), "run_id": F.lit(run_id)})
+        tables.replace_partitions(recorded, lake.backfills, ["run_id", "group"])
+        # Each group is in the log as soon as it is done.
+        runlog.append(spark, lake.run_log, entries[-3 if gates else -2 :])
+    return entries
+
+
+def backfilled(spark: SparkSession, lake: Lake, run_id: str) -> DataFrame:
+    """symbol, batch_date and group of the partitions a backfill has completed."""
+    fields = "symbol string, batch_date date, run_id string, group int"
+    if not tables.exists(spark, lake.backfills):
+        return spark.createDataFrame([], fields)
+    return spark.read.schema(fields).parquet(lake.backfills).filter(F.col("run_id") == run_id)
 
 
 def _bad_files(spark: SparkSession, lake: Lake, run_id: str) -> DataFrame:
@@ -285,6 +382,15 @@ def _bad_files(spark: SparkSession, lake: Lake, run_id: str) -> DataFrame:
     return spark.read.parquet(lake.bad_files).filter(F.col("run_id") == run_id).select("path")
 
 
+def _stopped(spark: SparkSession, lake: Lake, run_id: str) -> DataFrame:
+    """The partitions that a gate kept from being published in this run."""
+    if not tables.exists(spark, lake.gates):
+        return spark.createDataFrame([], "symbol string, batch_date date")
+    fields = "symbol string, batch_date date, passed boolean, run_id string"
+    verdicts = spark.read.schema(fields).parquet(lake.gates)
+    return verdicts.filter((F.col("run_id") == run_id) & ~F.col("passed")).select(*PARTITION)
+
+
 def _record_files(spark: SparkSession, scans: DataFrame, lake: Lake, run_id: str) -> None:
     """Remember the loaded files; unreadable ones are tried again next time."""
     loaded = scans.filter(F.col("change").isin(CHANGE_TO_LOAD)).join(
@@ -300,6 +406,7 @@ def _record_outcomes(
 ) -> dict:
     """One outcome per expected (symbol, batch_date); returns the status row of the run."""
     bad = _bad_files(spark, lake, run_id).withColumn("is_bad", F.lit(True))
+    stopped = _stopped(spark, lake, run_id).withColumn("is_stopped", F.lit(True))
     by_partition = (
         scans.join(bad, "path", "left")
         .groupBy(*PARTITION)
@@ -310,7 +417,7 @@ def _record_outcomes(
     )
     outcome = (
         F.when(F.col("files_to_load").isNull(), runlog.MISSING_SOURCE)
-        .when(F.col("bad_files") > 0, runlog.ERROR)
+        .when((F.col("bad_files") > 0) | F.col("is_stopped"), runlog.ERROR)
         .when(F.col("files_to_load") > 0, runlog.PROCESSED)
         .otherwise(runlog.SKIPPED_UNCHANGED)
     )
@@ -318,6 +425,7 @@ def _record_outcomes(
         expected.select(*PARTITION)
         .distinct()
         .join(by_partition, PARTITION, "left")
+        .join(stopped, PARTITION, "left")
         .select(*PARTITION, outcome.alias("outcome"), F.lit(run_id).alias("run_id"))
     )
     tables.replace_partitions(outcomes, lake.outcomes, ["run_id"])

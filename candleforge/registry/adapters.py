@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 
 from candleforge.operators import silver
 from candleforge.schema import TRADE_FILE_COLUMNS
+from candleforge.sources import zip_source
 
 # Executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -137,6 +139,23 @@ def landed_zips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_folder(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """The zips of ``landed_zips`` as files below ``root``, in folders by symbol and day."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            store, base = zip_source.opened(root)
+            for row in batch.to_pylist():
+                folder = f"{base}/symbol={row['symbol']}/batch_date={row['batch_date']}"
+                store.create_dir(folder, recursive=True)
+                with store.open_output_stream(f"{folder}/{row['file_name']}") as out:
+                    out.write(row["content"])
+            yield pa.record_batch({"files": pa.array([batch.num_rows], pa.int64())})
+
+    landed_zips(spark, sf_dir).mapInArrow(write, "files long").agg(F.sum("files")).collect()
+    return root
+
+
 def _zipped(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for names, texts in batches:
         yield pd.Series([_zip_bytes(name, text) for name, text in zip(names, texts)])

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+# The 31 shares that cut a column into 32 ranges.
+_SHARES = ", ".join(str(k / 32) for k in range(1, 32))
+
 # ``events`` as typed trades.
 TRADES = """
 trades AS (
@@ -445,6 +448,7 @@ SELECT o_orderkey,
             THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS batch_date
 FROM orders""",
     "zip_scan": _ZIP_SCAN,
+    "zip_source_scan": _ZIP_SCAN,
     "bronze_round_trip": f"WITH {TEXT} SELECT {BRONZE_SHOWN} FROM bronze",
     "bronze_one_batch": f"""
 WITH {TEXT} SELECT symbol, CAST(batch_date AS VARCHAR) AS batch_date, first_trade_id, price
@@ -502,6 +506,98 @@ SELECT folder || CAST(o_orderkey AS VARCHAR) AS path, modified, age_days,
 FROM aged""",
     "compact": "SELECT * FROM lineitem",
     "cluster_by": "SELECT * FROM lineitem",
+    "compaction_choice": """
+WITH files AS (
+  SELECT o_orderpriority || '-' || CAST(year(o_orderdate) AS VARCHAR) AS "partition",
+         CAST(o_orderkey AS VARCHAR) AS file, CAST(round(o_totalprice) AS BIGINT) AS bytes
+  FROM orders
+), ahead AS (
+  SELECT *, coalesce(sum(bytes) OVER (
+      PARTITION BY "partition" ORDER BY bytes < 400000 DESC, bytes DESC, file
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM files
+), binned AS (
+  SELECT "partition", file, bytes,
+         CASE WHEN bytes < 400000 THEN CAST(start // 400000 AS BIGINT) END AS bin
+  FROM ahead
+), chosen AS (
+  SELECT "partition", count(*) AS files,
+         count(DISTINCT bin) + count(*) FILTER (bin IS NULL) AS bins
+  FROM binned GROUP BY 1
+)
+SELECT b."partition", b.file, b.bytes, b.bin, c.files, c.bins
+FROM binned b JOIN chosen c USING ("partition") WHERE c.files >= 2 * c.bins""",
+    "compact_twice": """
+SELECT count(DISTINCT year(o_orderdate)) - 1 AS "first", 0 AS "second",
+       count(DISTINCT year(o_orderdate)) AS files, count(*) AS n, sum(o_orderkey)::BIGINT AS keys
+FROM orders""",
+    "curve_key": f"""
+WITH bounds AS (
+  SELECT list(s ORDER BY k) AS dates, list(o ORDER BY k) AS orders FROM (
+    SELECT unnest(range(1, 32)) AS k, unnest(quantile_disc(l_shipdate, [{_SHARES}])) AS s,
+           unnest(quantile_disc(l_orderkey, [{_SHARES}])) AS o
+    FROM lineitem)
+), placed AS (
+  SELECT l_orderkey, l_linenumber,
+         len(list_filter(dates, lambda d: d < l_shipdate)) AS a,
+         len(list_filter(orders, lambda d: d < l_orderkey)) AS b
+  FROM lineitem, bounds
+)
+SELECT l_orderkey, l_linenumber,
+       CAST(list_sum(list_transform(range(0, 5), lambda j:
+         (((a >> j) & 1) << (2 * j + 1)) + (((b >> j) & 1) << (2 * j)))) AS BIGINT) AS place
+FROM placed""",
+    "cluster_by_curve": """
+SELECT unnest(['l_shipdate', 'l_orderkey']) AS "column", count(*) AS n, true AS narrow
+FROM lineitem""",
     "daily_load_to_gold": f"WITH {TRADES}, {DAILY} {SELECT_DAILY}",
     "backfill_hourly": f"WITH {TRADES}, {HOURLY} {SELECT_HOURLY}",
+    "run_log_of_load": f"""
+WITH {TRADES}, parts AS (
+  SELECT symbol || '-aggTrades-' || CAST(batch_date AS VARCHAR) || '-'
+           || CAST(agg_trade_id // 20000 AS VARCHAR) AS name, count(*) AS n
+  FROM trades GROUP BY 1
+), good AS (
+  SELECT CAST(sum(n) AS BIGINT) AS n FROM parts WHERE name || '.zip' <> (SELECT min(name || '.zip') FROM parts)
+), stages AS (
+  SELECT 'bronze' AS stage, 'PARTIAL' AS status, n + 1 AS rows_in, n AS rows_out, NULL AS dropped FROM good
+  UNION ALL SELECT 'silver', 'SUCCESS', n, n, 0 FROM good
+  UNION ALL SELECT unnest(['audit', 'gold']), 'SUCCESS', NULL, NULL, NULL
+  UNION ALL SELECT 'run', 'PARTIAL', NULL, NULL, NULL
+)
+SELECT '20240201_000000_first' AS run_id, stage, status, rows_in, rows_out,
+       dropped AS duplicates_dropped, true AS timed
+FROM stages""",
+    "audit_columns": f"""
+WITH {TRADES}
+SELECT symbol, CAST(batch_date AS VARCHAR) AS batch_date,
+       count(DISTINCT agg_trade_id // 20000) AS files,
+       '20240201_000000_first' AS bronze_run, '20240201_000000_first' AS silver_run,
+       CASE WHEN bool_or(is_valid) THEN '20240201_000000_first' END AS gold_run, 0 AS untimely,
+       true AS hashes_carried, CASE WHEN bool_or(is_valid) THEN true END AS gold_after_silver
+FROM trades GROUP BY symbol, trades.batch_date""",
+    "summary_view": SUMMARY,
+    "gated_load": f"""
+WITH {TRADES}, days AS (
+  SELECT symbol, batch_date, count(*) AS n, count(*) FILTER (is_valid) AS valid
+  FROM trades GROUP BY ALL
+), judged AS (SELECT *, 100 * (n - valid) > 1.0 * n AS stopped FROM days)
+SELECT symbol, CAST(batch_date AS VARCHAR) AS batch_date,
+       CASE WHEN stopped THEN 'error' ELSE 'processed' END AS outcome,
+       CASE WHEN stopped THEN 'rejection' ELSE '' END AS reasons,
+       CASE WHEN NOT stopped THEN n END AS silver_rows,
+       CASE WHEN NOT stopped AND valid > 0 THEN valid END AS trade_count
+FROM judged""",
+    "backfill_resumed": f"""
+WITH {TRADES}, {HOURLY}, days AS (
+  SELECT symbol, batch_date,
+         CAST(1 + (row_number() OVER (ORDER BY batch_date, symbol) - 1) // 60 AS INTEGER) AS "group"
+  FROM (SELECT DISTINCT symbol, batch_date FROM trades)
+), rebuilt AS (
+  SELECT symbol, batch_date, count(*) AS hours, CAST(sum(volume) AS DOUBLE) AS volume,
+         sum(trade_count)::BIGINT AS trades
+  FROM hourly GROUP BY ALL
+)
+SELECT symbol, CAST(batch_date AS VARCHAR) AS batch_date, "group", hours, volume, trades
+FROM days LEFT JOIN rebuilt USING (symbol, batch_date)""",
 }

@@ -15,7 +15,7 @@ from candleforge.operators import bronze, gold, layout, quality, runlog, silver
 from candleforge.plans import daily_load, reports
 from candleforge.registry import adapters
 from candleforge.registry.adapters import presented, table, trades, trades_as_text
-from candleforge.sources import landing, manifest, tables
+from candleforge.sources import landing, manifest, tables, zip_source
 from candleforge.streaming import silver_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,14 +200,7 @@ def dq_unique_combination(spark, sf_dir):
 @query
 def dq_suite(spark, sf_dir):
     rows = silver.with_validity(silver.typed(trades_as_text(spark, sf_dir)))
-    daily = gold.ohlcv_daily(rows)
-    frames = {
-        "silver": rows,
-        "daily": daily,
-        "hourly": gold.ohlcv_hourly(rows),
-        "summary": gold.symbol_summary(daily),
-    }
-    return quality.run_suite(frames, quality.trade_suite(SYMBOLS))
+    return quality.run_suite(gold.layers(rows), quality.trade_suite(SYMBOLS))
 
 
 @query
@@ -318,6 +311,14 @@ def zip_scan(spark, sf_dir):
     return landing.readable(parsed).drop("path")
 
 
+@query
+def zip_source_scan(spark, sf_dir):
+    """The zips as files on storage, read by the data source."""
+    root = adapters.landed_folder(spark, sf_dir, session.work_dir(spark, "landed-zips"))
+    rows = landing.readable(zip_source.read(spark, root, bin_bytes=1 << 20))
+    return rows.drop("path", "length", "sha256")
+
+
 @query
 def bronze_round_trip(spark, sf_dir):
     target = session.work_dir(spark, "bronze")
@@ -416,12 +417,71 @@ def cluster_by(spark, sf_dir):
     return tables.read(spark, target, stored)
 
 
+@query
+def compaction_choice(spark, sf_dir):
+    """Orders as files of a partition, their totals as sizes: which go together into one."""
+    files = table(spark, sf_dir, "orders").select(
+        F.concat_ws("-", "o_orderpriority", F.year("o_orderdate")).alias("partition"),
+        F.col("o_orderkey").cast("string").alias("file"),
+        F.round("o_totalprice").cast("long").alias("bytes"),
+    )
+    chosen = layout.crowded(files, COMPACTED_BYTES)
+    return layout.packed(files, COMPACTED_BYTES).join(chosen.drop("bytes"), "partition")
+
+
+COMPACTED_BYTES = 400_000
+
+
+@query
+def compact_twice(spark, sf_dir):
+    """Partitions rewritten by a first and by a second call, and the rows afterwards."""
+    target = session.work_dir(spark, "compact-twice")
+    orders = table(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate"))
+    # One year is well laid, the others come in several files.
+    spread = F.when(F.col("o_year") == 1995, 0).otherwise(F.col("o_orderkey") % 8)
+    parts = orders.repartitionById(8, spread.cast("int"))
+    parts.write.partitionBy("o_year").parquet(target)
+    calls = [layout.compact(spark, target, ["o_year"]) for _ in range(2)]
+    files = layout.file_sizes(spark, target, ["o_year"]).count()
+    return tables.read(spark, target).agg(
+        F.lit(calls[0]).alias("first"), F.lit(calls[1]).alias("second"),
+        F.lit(files).alias("files"), F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"),
+    )
+
+
+@query
+def curve_key(spark, sf_dir):
+    """Each line's place on the curve through ship date and order."""
+    rows = table(spark, sf_dir, "lineitem")
+    placed = layout.with_curve(rows, ["l_shipdate", "l_orderkey"], bits=5, name="place")
+    return placed.select("l_orderkey", "l_linenumber", "place")
+
+
+@query
+def cluster_by_curve(spark, sf_dir):
+    """Whether files of a table along the curve are narrow in both columns."""
+    target, partition_by, stored = _stored_lineitem(spark, sf_dir, "curve")
+    columns = ["l_shipdate", "l_orderkey"]
+    layout.cluster_by(spark, target, partition_by, columns, curve=True, ranges=256)
+    spread = layout.column_spread(tables.read(spark, target, stored), columns)
+    return spread.groupBy("column").agg(
+        F.sum("rows").alias("n"),
+        (F.sum(F.col("share") * F.col("rows")) < 0.5 * F.sum("rows")).alias("narrow"),
+    )
+
+
 # Whole loads.
 
 
-def _loaded_lake(spark, sf_dir, label):
+FIRST_RUN = "20240201_000000_first"
+
+
+def _loaded_lake(spark, sf_dir, label, gates=None, spoiled=None):
     lake = daily_load.Lake(session.work_dir(spark, label))
     zips = adapters.landed_zips(spark, sf_dir)
+    if spoiled is not None:
+        content = F.when(F.col("file_name") == spoiled, F.lit(b"no zip")).otherwise(F.col("content"))
+        zips = zips.withColumn("content", content)
     expected = trades(spark, sf_dir).select(*schema.PARTITION).distinct()
 
     def files(partitions):
@@ -429,7 +489,7 @@ def _loaded_lake(spark, sf_dir, label):
             return zips
         return tables.in_partitions(zips, partitions, schema.PARTITION)
 
-    daily_load.load(spark, files, lake, "20240201_000000_first", expected)
+    daily_load.load(spark, files, lake, FIRST_RUN, expected, gates=gates)
     return lake
 
 
@@ -443,10 +503,94 @@ def daily_load_to_gold(spark, sf_dir):
 def backfill_hourly(spark, sf_dir):
     lake = _loaded_lake(spark, sf_dir, "backfill")
     days = [row[0] for row in trades(spark, sf_dir).select("batch_date").distinct().collect()]
-    daily_load.backfill(spark, lake, "20240202_000000_again", days)
+    daily_load.backfill(spark, lake, "20240202_000000_again", days, gates=None)
     return tables.read(spark, lake.hourly, schema.GOLD_HOURLY).drop("_gold_at", "_gold_run_id")
 
 
+@query
+def run_log_of_load(spark, sf_dir):
+    """What a load with one unreadable file writes into the run log."""
+    first = adapters.landed_zips(spark, sf_dir).agg(F.min("file_name")).first()[0]
+    lake = _loaded_lake(spark, sf_dir, "logged", quality.Gates(rejection_limit_pct=100), first)
+    log = runlog.read(spark, lake.run_log)
+    timed = (F.col("started_at") <= F.col("ended_at")).alias("timed")
+    return log.select("run_id", "stage", "status", "rows_in", "rows_out", "duplicates_dropped", timed)
+
+
+@query
+def audit_columns(spark, sf_dir):
+    """Run ids, file hashes and times by day, followed from the landed files to the candles."""
+    lake = _loaded_lake(spark, sf_dir, "audited")
+    landed = landing.with_fingerprint(adapters.landed_zips(spark, sf_dir))
+    hashes = landed.groupBy(*schema.PARTITION).agg(F.array_sort(F.collect_set("sha256")).alias("landed"))
+    typed = silver.read(spark, lake.silver).groupBy(*schema.PARTITION).agg(
+        F.array_sort(F.collect_set("_source_file_sha256")).alias("carried"),
+        F.count_distinct("_source_file_name").alias("files"),
+        F.min("_pipeline_run_id").alias("bronze_run"),
+        F.max("_silver_run_id").alias("silver_run"),
+        F.count_if(F.col("_ingested_at") > F.col("_silver_at")).alias("untimely"),
+        F.max("_silver_at").alias("_silver_at"),
+    )
+    hourly = tables.read(spark, lake.hourly, schema.GOLD_HOURLY).groupBy(*schema.PARTITION).agg(
+        F.max("_gold_run_id").alias("gold_run"), F.min("_gold_at").alias("_gold_at")
+    )
+    days = typed.join(hashes, schema.PARTITION).join(hourly, schema.PARTITION, "left")
+    return days.select(
+        *schema.PARTITION, "files", "bronze_run", "silver_run", "gold_run", "untimely",
+        (F.col("landed") == F.col("carried")).alias("hashes_carried"),
+        (F.col("_silver_at") <= F.col("_gold_at")).alias("gold_after_silver"),
+    )
+
+
+@query
+def summary_view(spark, sf_dir):
+    """The summary view over a catalog table, read again after one more day was landed."""
+    daily = gold.daily_candles(gold.candle_partials(trades(spark, sf_dir)))
+    daily = gold.with_audit(daily, FIRST_RUN).select(*schema.GOLD_DAILY.names)
+    last = daily.agg(F.max("batch_date")).first()[0]
+    name = "candleforge_daily_of_view"
+    before = daily.filter(F.col("batch_date") < F.lit(last))
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    before.write.format("parquet").option("path", session.work_dir(spark, "view")).partitionBy(
+        "symbol"
+    ).saveAsTable(name)
+    view = gold.register_summary_view(spark, name, "candleforge_summary_view")
+    view.count()
+    tables.replace_partitions(daily, name, ["symbol"])
+    return spark.table("candleforge_summary_view")
+
+
+@query
+def gated_load(spark, sf_dir):
+    """A load whose gates stop some days: outcome, reasons, and the trades published, by day."""
+    gates = quality.Gates(rejection_limit_pct=1.0)
+    lake = _loaded_lake(spark, sf_dir, "gated", gates)
+    outcomes = spark.read.schema("symbol string, batch_date date, outcome string").parquet(lake.outcomes)
+    verdicts = spark.read.schema("symbol string, batch_date date, reasons array<string>").parquet(lake.gates)
+    daily = tables.read(spark, lake.daily, schema.GOLD_DAILY)
+    published = daily.select(*schema.PARTITION, "trade_count")
+    rows = silver.read(spark, lake.silver).groupBy(*schema.PARTITION).agg(F.count("*").alias("silver_rows"))
+    verdicts = verdicts.drop("run_id")
+    days = outcomes.drop("run_id").join(verdicts, schema.PARTITION).join(rows, schema.PARTITION, "left")
+    return days.join(published, schema.PARTITION, "left")
+
+
+@query
+def backfill_resumed(spark, sf_dir):
+    """A backfill stopped after its first group and called again: partitions by group, and candles."""
+    lake = _loaded_lake(spark, sf_dir, "resumed")
+    for most in (1, None):
+        daily_load.backfill(
+            spark, lake, "20240202_000000_again", gates=None, group_size=60, most_groups=most
+        )
+    done = daily_load.backfilled(spark, lake, "20240202_000000_again")
+    hourly = tables.read(spark, lake.hourly, schema.GOLD_HOURLY)
+    rebuilt = hourly.filter("_gold_run_id = '20240202_000000_again'").groupBy(*schema.PARTITION).agg(
+        F.count("*").alias("hours"), F.sum("volume").alias("volume"), F.sum("trade_count").alias("trades")
+    )
+    return done.select(*schema.PARTITION, "group").join(rebuilt, schema.PARTITION, "left")
+
+
 @query
 def stream_upsert(spark, sf_dir):
     root = session.work_dir(spark, "stream")

@@ -198,11 +198,21 @@ def _file_batches(content: pa.Buffer, checked: bool) -> Iterator[pa.RecordBatch]
     if error is None:
         yield from _member_batches(content)
     else:
-        yield _cells_batch([[None] * len(TRADE_FILE_COLUMNS)], False, error)
+        yield error_batch(error)
+
+
+def error_batch(error: str) -> pa.RecordBatch:
+    """The single row of an unreadable file."""
+    return _cells_batch([[None] * len(TRADE_FILE_COLUMNS)], False, error)
 
 
 def _member_batches(content: pa.Buffer) -> Iterator[pa.RecordBatch]:
-    with zipfile.ZipFile(pa.BufferReader(content)) as archive:
+    return member_batches(pa.BufferReader(content))
+
+
+def member_batches(source) -> Iterator[pa.RecordBatch]:
+    """Text batches of the first ``.csv`` member of a zip, from a file to seek and read in."""
+    with zipfile.ZipFile(source) as archive:
         member = next((m for m in archive.infolist() if m.filename.endswith(".csv")), None)
         if member is None:
             raise ValueError("no member of the archive ends in .csv")

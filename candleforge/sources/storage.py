@@ -30,3 +30,18 @@ def delete(spark: SparkSession, folder: str, parents: int = 0) -> None:
         if not system.exists(path) or len(system.listStatus(path)):
             return
         system.delete(path, False)
+
+
+def move(spark: SparkSession, folder: str, to: str) -> None:
+    """Put a folder in the place of another one; no file is read or copied where renames are cheap.
+
+    Repeating it after it was done changes nothing.
+    """
+    system, source = _resolve(spark, folder)
+    _, target = _resolve(spark, to)
+    if not system.exists(source):
+        return
+    system.delete(target, True)
+    system.mkdirs(target.getParent())
+    if not system.rename(source, target):
+        raise OSError(f"{folder} could not be moved to {to}")

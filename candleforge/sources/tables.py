@@ -211,6 +211,7 @@ def upsert(
     grouped: bool = False,
     observe=None,
     unnamed: tuple[str, list[str]] | None = None,
+    into: str | None = None,
 ) -> None:
     """Upsert ``source`` into ``target`` by ``keys``, creating the table if absent.
 
@@ -219,7 +220,8 @@ def upsert(
     plan. Pass ``check_keys=False`` for a source that is unique by construction, and
     ``grouped=True`` for one whose input files hold few partitions each: partitions new
     to the target are then written without a shuffle. ``observe`` maps the final rows to
-    the rows to write, in the writing stage.
+    the rows to write, in the writing stage. With ``into`` the new state of the touched
+    partitions is written there and the target stays as it is (see ``promote``).
     """
     if check_keys:
         reject_duplicate_keys(source, keys)
@@ -241,7 +243,19 @@ def upsert(
     result = union_all(parts)
     if observe is not None:
         result = observe(result)
-    replace_partitions(result, target, partition_by, rebalance=False)
+    replace_partitions(result, into or target, partition_by, rebalance=False)
+
+
+def promote(spark: SparkSession, staged: str, target: str, listed: list[dict]) -> None:
+    """Move the listed partitions from ``staged`` into ``target``, in place of those it holds.
+
+    Files are moved, not rewritten, one folder after the other, like a commit of Spark's own
+    dynamic overwrite. A run that dies in between leaves whole partitions, old or new; calling
+    it again moves the rest.
+    """
+    for values in listed:
+        folder = "/".join(f"{c}={folder_text(value)}" for c, value in values.items())
+        storage.move(spark, f"{staged.rstrip('/')}/{folder}", f"{target.rstrip('/')}/{folder}")
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:

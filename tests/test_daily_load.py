@@ -3,7 +3,7 @@ import datetime as dt
 from test_landing import HEADER, land, zipped
 
 from candleforge import schema
-from candleforge.operators import bronze, runlog, silver
+from candleforge.operators import bronze, quality, runlog, silver
 from candleforge.plans import daily_load
 from candleforge.sources import tables
 from candleforge.streaming import silver_stream
@@ -118,6 +118,94 @@ def test_only_bad_and_only_missing_files(spark, folder):
     assert waiting["status"] == "WAITING_SOURCE"
 
 
+def test_gates_hold_a_day_back(spark, folder):
+    landing, lake = f"{folder}/landing", daily_load.Lake(f"{folder}/lake")
+
+    def run(run_id):
+        status = daily_load.run(
+            spark, landing, lake, run_id, SYMBOLS, [DAY], gates=quality.Gates(rejection_limit_pct=30)
+        )
+        log = {r.stage: r for r in runlog.read(spark, lake.run_log).collect() if r.run_id == run_id}
+        return status["status"], log["audit"].status, log["audit"].reason
+
+    def trades():
+        found = silver.read(spark, lake.silver).groupBy("symbol").count().collect()
+        return {r.symbol: r["count"] for r in found}
+
+    # CCC has too many bad rows; the others are published.
+    land(landing, "AAA", zipped(rows(1, 2)))
+    land(landing, "BBB", zipped(rows(5, 6, 7, "bad")))
+    land(landing, "CCC", zipped(rows(5, "bad")))
+    assert run("r1") == ("PARTIAL", "PARTIAL", "rejection: 1")
+    assert trades() == {"AAA": 2, "BBB": 4} and set(daily(spark, lake)) == {"AAA", "BBB"}
+
+    # A changed file that fails leaves its day as it was published before; a good one replaces its.
+    land(landing, "AAA", zipped(rows(9, "bad", "worse")))
+    late = MS + 5 * 86_400_000
+    land(landing, "BBB", zipped(rows(8).replace(str(MS), str(late))))
+    land(landing, "CCC", zipped(rows(3, 4)))
+    assert run("r2") == ("PARTIAL", "PARTIAL", "rejection: 1, temporal: 1")
+    assert trades() == {"AAA": 2, "BBB": 4, "CCC": 2}
+    assert daily(spark, lake) == {"AAA": (1, 2, 2), "BBB": (5, 7, 3), "CCC": (3, 4, 2)}
+    verdicts = spark.read.parquet(lake.gates).filter("run_id = 'r2'").collect()
+    assert {r.symbol: (r.passed, r.reasons) for r in verdicts} == {
+        "AAA": (False, ["rejection"]), "BBB": (False, ["temporal"]), "CCC": (True, []),
+    }
+    # Nothing is left in staging, and an unchanged file is not audited again.
+    assert not tables.exists(spark, f"{folder}/lake/staging/silver")
+    assert daily_load.run(spark, landing, lake, "r3", SYMBOLS, [DAY], gates=quality.Gates())["status"] == "SKIPPED"
+
+
+def test_audit_counts_both_sides(spark):
+    bronze_rows = [("A", DAY)] * 10 + [("B", DAY)] * 2
+    landed = spark.createDataFrame(bronze_rows, "symbol string, batch_date date")
+    at = dt.datetime(2024, 3, 1, 12)
+    kept = spark.createDataFrame(
+        [("A", DAY, True, at)] * 7 + [("A", DAY, False, None)], "symbol string, batch_date date, is_valid boolean, transact_time timestamp"
+    )
+    found = {r.symbol: r for r in quality.audit(landed, kept, quality.Gates(row_floor_pct=81)).collect()}
+    assert found["A"].reasons == ["rejection", "row_floor"] and not found["A"].passed
+    assert (found["A"].bronze_rows, found["A"].silver_rows, found["A"].valid_rows) == (10, 8, 7)
+    assert found["B"].reasons == ["row_floor"]
+
+
+def test_promotion_can_be_repeated(spark, folder):
+    staged, target = f"{folder}/staged", f"{folder}/t"
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string")
+    new = spark.createDataFrame([(3, "a"), (4, "c=/"), (5, None)], "v int, p string")
+    tables.replace_partitions(old, target, ["p"])
+    tables.replace_partitions(new, staged, ["p"])
+    for _ in range(2):
+        tables.promote(spark, staged, target, tables.listed_partitions(new, ["p"]))
+        found = sorted(tables.read(spark, target, old.schema).collect())
+        assert [tuple(r) for r in found] == [(2, "b"), (3, "a"), (4, "c=/"), (5, None)]
+
+
+def test_backfill_goes_on_after_a_failure(spark, folder, monkeypatch):
+    landing, lake = f"{folder}/landing", daily_load.Lake(f"{folder}/lake")
+    for n, symbol in enumerate(SYMBOLS):
+        land(landing, symbol, zipped(rows(n + 1, n + 2)))
+    daily_load.run(spark, landing, lake, "r1", SYMBOLS, [DAY])
+    candles, refresh, calls = daily(spark, lake), daily_load.refresh_from_bronze, []
+
+    def failing(spark, lake, partitions, *more):
+        calls.append([r.symbol for r in partitions.collect()])
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return refresh(spark, lake, partitions, *more)
+
+    monkeypatch.setattr(daily_load, "refresh_from_bronze", failing)
+    for _ in range(3):
+        try:
+            daily_load.backfill(spark, lake, "r2", group_size=1)
+        except RuntimeError:
+            pass
+    assert calls == [["AAA"], ["BBB"], ["BBB"], ["CCC"]]
+    done = daily_load.backfilled(spark, lake, "r2").collect()
+    assert {r.symbol: r.group for r in done} == {"AAA": 1, "BBB": 2, "CCC": 3}
+    assert daily(spark, lake) == candles
+
+
 def test_stream_picks_up_new_files_once(spark, folder):
     bronze_path, target = f"{folder}/bronze", f"{folder}/silver"
     touched = []

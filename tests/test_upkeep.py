@@ -1,5 +1,6 @@
 import datetime as dt
 import glob
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,6 +123,74 @@ def test_cluster_by_orders_the_files(spark, folder):
         assert values == sorted(values)
 
 
+def test_compact_leaves_well_laid_partitions_alone(spark, folder):
+    target = f"{folder}/t"
+    rows = spark.range(4000).select("id", F.when(F.col("id") < 2000, "a b=%").otherwise("p/q").alias("p"))
+    rows.filter("id < 2000").coalesce(1).write.partitionBy("p").parquet(target)
+    rows.filter("id >= 2000").repartition(6).write.mode("append").partitionBy("p").parquet(target)
+    listed = layout.file_sizes(spark, target, ["p"])
+    assert [r.files for r in layout.crowded(listed).collect()] == [6]
+    before = set(glob.glob(f"{target}/p=a*/*.parquet"))
+    assert layout.compact(spark, target, ["p"]) == 1
+    assert set(glob.glob(f"{target}/p=a*/*.parquet")) == before
+    files = set(glob.glob(f"{target}/*/*.parquet"))
+    assert len(files) == 2
+    assert layout.compact(spark, target, ["p"]) == 0
+    assert set(glob.glob(f"{target}/*/*.parquet")) == files
+    assert spark.read.parquet(target).distinct().count() == 4000
+
+
+def test_packing(spark):
+    sizes = [("a", "f1", 100), ("a", "f2", 60), ("a", "f3", 50), ("a", "f4", 30), ("a", "f5", 10), ("b", "g", 5)]
+    files = spark.createDataFrame(sizes, "partition string, file string, bytes long")
+    found = {r.file: r.bin for r in layout.packed(files, 100).collect()}
+    assert found == {"f1": None, "f2": 0, "f3": 0, "f4": 1, "f5": 1, "g": 0}
+    assert layout.crowded(files, 100).count() == 0
+    assert [tuple(r) for r in layout.crowded(files, 300).collect()] == [("a", 5, 250, 1)]
+
+
+def test_interleaved(spark):
+    frame = spark.createDataFrame([(0, 0), (1, 0), (0, 1), (3, 1), (2, 3)], "a int, b int")
+    found = frame.select(layout.interleaved([F.col("a"), F.col("b")], 2)).collect()
+    assert [r[0] for r in found] == [0, 2, 1, 11, 13]
+
+
+@pytest.mark.parametrize(
+    "kind, values",
+    [
+        ("double", [None, -1.5, 0.0, 0.0, 2.0, 9.0, 1e300]), ("string", [None, "", "a", "ab", "b", "z", "\xe9"]),
+        ("date", [None, *(dt.date(2024, 1, d) for d in range(1, 7))]),
+        ("decimal(38,8)", [None, 1, 2, 3, 4, 5, 6]), ("boolean", [None, False, True, True]),
+    ],
+)
+def test_ranges_follow_the_order(spark, kind, values):
+    values = [Decimal(v) if kind.startswith("decimal") and v is not None else v for v in values]
+    frame = spark.createDataFrame([(n, v) for n, v in enumerate(values)], f"n int, v {kind}")
+    placed = layout.with_curve(frame, ["v"], bits=3).orderBy("n").collect()
+    numbers = [r[layout.CURVE] for r in placed]
+    assert numbers == sorted(numbers) and numbers[0] == 0
+    empty = layout.with_curve(frame.filter("n < 1"), ["v"], bits=3)
+    assert [r[layout.CURVE] for r in empty.collect()] == [0]
+
+
+def test_files_along_the_curve_are_narrow_in_both_columns(spark, folder):
+    rows = spark.range(40_000).select(
+        (F.col("id") * 7919 % 40_009).alias("a"), (F.col("id") * 104_729 % 40_013).alias("b"), F.lit(1).alias("p")
+    )
+    shares = {}
+    for curve in (False, True):
+        target = f"{folder}/{curve}"
+        rows.write.partitionBy("p").parquet(target)
+        layout.cluster_by(spark, target, ["p"], ["a", "b"], curve=curve, ranges=16)
+        spread = layout.column_spread(spark.read.parquet(target), ["a", "b"]).collect()
+        assert len(spread) >= 2 * 8
+        mean = {c: [r.share for r in spread if r.column == c] for c in ("a", "b")}
+        shares[curve] = {c: sum(v) / len(v) for c, v in mean.items()}
+        assert spark.read.parquet(target).exceptAll(rows).isEmpty()
+    assert shares[False]["b"] > 0.9
+    assert shares[True]["a"] < 0.6 and shares[True]["b"] < 0.6
+
+
 def test_list_objects(spark, folder):
     many_files(spark, f"{folder}/t")
     listed = layout.list_objects(spark, f"{folder}/t")
