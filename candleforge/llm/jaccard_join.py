@@ -13,11 +13,11 @@ link have one of these in common. The order puts shingles of many documents last
 counts over all documents; any order gives the same result), so shared passages seldom open
 a tree. Only distinct sets are joined, so copies cost nothing.
 
-First every set is held against the smallest and the largest member of each of its trees, which takes
-one comparison a set and tree however large a tree is, and links most of a group of near copies. Trees
-whose members are then all in one component are done. The others are searched in full: trees of up to
-``BLOCK`` points in one task, larger ones as leaves dealt over tasks, whose pairs are joined by their
-boxes. A pair met in few trees beside the size of its sets cannot link either: the shingles that open
+In ``ROUNDS`` first rounds every tree is dealt into parts of some ``BLOCK`` points, anew in each
+round, and a part's points are held against ``PIVOTS`` of them. That grows with the points however
+large a tree is, and links nearly all of a group of near copies. Trees whose members are then all in
+one component are done. The others are searched in full: trees of up to ``BLOCK`` points in one task,
+larger ones as leaves dealt over tasks, whose pairs are joined by their boxes. A pair met in few trees beside the size of its sets cannot link either: the shingles that open
 no tree are at most as many as the larger rest. Sets in one component are not compared again: a component is exact, while links
 within it are found only as far as they connect it. Surviving pairs are verified on their whole texts.
 
@@ -48,8 +48,12 @@ NUMERATOR, DENOMINATOR = 80, 100
 GROUPS = 128
 LEAF = 64
 BLOCK = 2048
-#: Shingles of many documents that are put last, at most, and the least share of a slice's documents.
-COMMON, COMMON_SHARE = 50_000, 0.002
+ROUNDS, PIVOTS = 2, 16
+#: Shingles of many documents that are put last, at most.
+COMMON = 50_000
+
+_COUNTED = 4_000_000  # shingles a task counts at a time
+_OFTEN = 3  # of them, those met as often are reported
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
                  0x85EBCA77C2B2AE63], np.uint64)
@@ -95,15 +99,25 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 def common_shingles(docs: DataFrame) -> np.ndarray:
     """Hashes of the shingles that most documents hold, the rarest first; at most ``COMMON``."""
 
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        met, n = np.unique(np.concatenate(held), return_counts=True)
+        often = n >= _OFTEN
+        return pa.record_batch(
+            {"shingle": pa.array(met[often].view(np.int64)), "n": pa.array(n[often].astype(np.int64))}
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
         for batch in slices(batches):
-            found = [shingles(t) for t in batch.column("text").to_pylist()]
-            met, n = np.unique(np.concatenate(found), return_counts=True) if found else ([], [])
-            often = np.asarray(n) >= max(4, COMMON_SHARE * batch.num_rows)
-            yield pa.record_batch(
-                {"shingle": pa.array(np.asarray(met, np.uint64)[often].view(np.int64)),
-                 "n": pa.array(np.asarray(n, np.int64)[often])}
-            )
+            for text in batch.column("text").to_pylist():
+                held.append(shingles(text))
+                size += len(held[-1])
+                if size >= _COUNTED:
+                    yield counted(held)
+                    held, size = [], 0
+        if held:
+            yield counted(held)
 
     parts = docs.select("text").mapInArrow(run, "shingle long, n long")
     most = parts.groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(COMMON)
@@ -166,28 +180,6 @@ def distinct_sets(docs: DataFrame) -> DataFrame:
     )
 
 
-def _with_points(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    for side in ("u", "v"):
-        own = sets.select(F.col("sid").alias(side), F.col("n").alias(f"n_{side}"), F.col("point").alias(f"p_{side}"))
-        pairs = pairs.join(own, side)
-    return pairs
-
-
-def bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The (u, v) pairs whose points leave room for a link."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (_points(batch.column(c)) for c in ("p_u", "p_v"))
-            sizes = [batch.column(c).to_numpy() for c in ("n_u", "n_v")]
-            keep = may_link(np.minimum(a, b).sum(axis=1, dtype=np.int64), *sizes)
-            yield batch.select(["u", "v"]).filter(pa.array(keep))
-
-    # Sizes alone rule most out before points are looked up.
-    room = may_link(F.least("n_u", "n_v"), F.col("n_u"), F.col("n_v"))
-    return _with_points(pairs, sets).filter(room).mapInArrow(run, "u long, v long")
-
-
 def _points(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), _COUNT).reshape(-1, GROUPS)
 
@@ -273,6 +265,8 @@ def _leaf_pairs(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...], same: bool
     return np.stack([u, v, n_u, n_v], axis=1)
 
 
+_PAIRS = 1_000_000  # pairs a task collects before it hands them out, each with its count
+
 _FOUND = (
     "u long, v long, n_u long, n_v long, met long, key long, leaf long, corner array<int>, least long, most long, "
     "one_comp long, sids binary, comps binary, sizes binary, points binary"
@@ -291,36 +285,64 @@ def _found(rows: list[dict]) -> pa.RecordBatch:
     )
 
 
-def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, salt): pairs of each whole tree, or the leaves of a part of one."""
-    from pyspark import TaskContext
+def _searching(pivots: int | None, seed: int = 0):
+    """Rows sorted by (key, salt): pairs of each tree or part with ``pivots`` points of it, or, for
+    None, all pairs of whole trees and the leaves of parts."""
+
+    def finished(key: tuple, parts: list, met: list[np.ndarray], number: int):
+        columns = [np.concatenate(c) for c in zip(*parts)]
+        if pivots is not None:
+            order = np.argsort((columns[0] + seed).astype(np.uint64) * _MIX[0])[:pivots]
+            met.append(_leaf_pairs([c[order] for c in columns], columns, False))
+            return number
+        tree = _Tree(*columns)
+        if key[2] == 1:
+            met.extend(p for p in tree.pairs() if len(p))
+            return number
+        yield _found([_leaf(tree, n, key[0], number + n) for n in range(len(tree.starts))])
+        return number + len(tree.starts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-    number = TaskContext.get().partitionId() << 32
-    open_key, parts = None, []
-    for batch in batches:
-        names = ("key", "salt", "parts", "sid", "comp", "n")
-        columns = [batch.column(c).to_numpy() for c in names]
-        points = _points(batch.column("point"))
-        edges = np.flatnonzero((np.diff(columns[0]) != 0) | (np.diff(columns[1]) != 0)) + 1
-        bounds = [0, *edges.tolist(), batch.num_rows]
+        number = TaskContext.get().partitionId() << 32
+        open_key, parts = None, []
         met: list[np.ndarray] = []
-        for low, high in zip(bounds, bounds[1:]):
-            if low == high:
-                continue
-            key = tuple(int(c[low]) for c in columns[:3])
-            if open_key is not None and key != open_key:
-                number = yield from _finished(open_key, parts, met, number)
-                parts = []
-            open_key = key
-            parts.append([*(c[low:high] for c in columns[3:]), points[low:high]])
-        if met:
-            yield _pair_rows(met)
-    if open_key is not None:
-        met = []
-        yield from _finished(open_key, parts, met, number)
+        for batch in batches:
+            columns = [batch.column(c).to_numpy() for c in ("key", "salt", "parts", "sid", "comp", "n")]
+            points = _points(batch.column("point"))
+            edges = np.flatnonzero((np.diff(columns[0]) != 0) | (np.diff(columns[1]) != 0)) + 1
+            bounds = [0, *edges.tolist(), batch.num_rows]
+            for low, high in zip(bounds, bounds[1:]):
+                if low == high:
+                    continue
+                key = tuple(int(c[low]) for c in columns[:3])
+                if open_key is not None and key != open_key:
+                    number = yield from finished(open_key, parts, met, number)
+                    parts = []
+                open_key = key
+                parts.append([*(c[low:high] for c in columns[3:]), points[low:high]])
+            if sum(map(len, met)) >= _PAIRS:
+                yield _pair_rows(met)
+                met = []
+        if open_key is not None:
+            number = yield from finished(open_key, parts, met, number)
         if met:
             yield _pair_rows(met)
 
+    return run
+
+
+def _leaf(tree: _Tree, n: int, key: int, number: int) -> dict:
+    sids, comps, sizes, points = tree.members(n)
+    return {
+        "key": key, "leaf": number, "corner": tree.corners[n].tolist(),
+        "least": int(sizes[0]), "most": int(sizes[-1]),
+        "one_comp": int(comps[0]) if (comps == comps[0]).all() else None,
+        "sids": sids.tobytes(), "comps": comps.tobytes(), "sizes": sizes.tobytes(),
+        "points": points.tobytes(),
+    }
+
 
 def _pair_rows(met: list[np.ndarray]) -> pa.RecordBatch:
     """Pairs, and in how many trees of the batch each was met."""
@@ -336,29 +358,6 @@ def _pair_rows(met: list[np.ndarray]) -> pa.RecordBatch:
     )
 
 
-def _finished(key: tuple, parts: list, met: list[np.ndarray], number: int):
-    """Pairs of a whole tree go to ``met``; of a part the leaves are handed out."""
-    tree = _Tree(*(np.concatenate(c) for c in zip(*parts)))
-    if key[2] == 1:
-        met.extend(p for p in tree.pairs() if len(p))
-        return number
-    leaves = []
-    for n in range(len(tree.starts)):
-        sids, comps, sizes, points = tree.members(n)
-        leaves.append(
-            {
-                "key": key[0], "leaf": number, "corner": tree.corners[n].tolist(),
-                "least": int(sizes[0]), "most": int(sizes[-1]),
-                "one_comp": int(comps[0]) if (comps == comps[0]).all() else None,
-                "sids": sids.tobytes(), "comps": comps.tobytes(), "sizes": sizes.tobytes(),
-                "points": points.tobytes(),
-            }
-        )
-        number += 1
-    yield _found(leaves)
-    return number
-
-
 def _across(leaves: DataFrame) -> DataFrame:
     """Pairs (u, v, n_u, n_v, met) between the leaves of large trees, joined by their boxes."""
     boxes = ("leaf", "corner", "least", "most", "one_comp")
@@ -398,29 +397,42 @@ def _across(leaves: DataFrame) -> DataFrame:
 _PAIR = ["u", "v", "n_u", "n_v", "met"]
 
 
+def _dealt(shared: DataFrame, sets: DataFrame, links: DataFrame | None, seed: int) -> DataFrame:
+    """The points of all trees that are in several components, dealt by key and salt."""
+    members = shared.select("key", "sid")
+    if links is None:
+        members = members.withColumn("comp", F.col("sid"))
+    else:
+        mates = smallest_mates(links).select(F.col("u").alias("sid"), F.col("v").alias("root"))
+        members = members.join(mates, "sid", "left").select("key", "sid", F.coalesce("root", "sid").alias("comp"))
+    trees = members.groupBy("key").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")
+    )
+    trees = trees.filter("low < high").select("key", F.ceil(F.col("size") / BLOCK).alias("parts"))
+    rows = members.join(trees, "key").join(sets.select("sid", "n", "point"), "sid")
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("sid", F.lit(seed)), F.col("parts")))
+    ordered = dealt.repartition("key", "salt").sortWithinPartitions("key", "salt")
+    return ordered.select("key", "salt", "parts", "sid", "comp", "n", "point")
+
+
 def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
     """(u, v) links between distinct sets that connect all linked ones."""
     keyed = sets.select("sid", F.explode("keys").alias("key"))
     ends = keyed.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
-    shared = stored(keyed.join(ends.filter("low < high"), "key"), "trees")
-
-    held = shared.select(F.col("sid").alias("u"), F.explode(F.array("low", "high")).alias("v"))
-    held = held.filter("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    tried = stored(bounded(held.distinct(), sets), "tried")
-    first = stored(verified(tried, sets, docs), "first-links")
-
-    mates = smallest_mates(first).select(F.col("u").alias("sid"), F.col("v").alias("root"))
-    members = shared.select("key", "sid").join(mates, "sid", "left")
-    members = members.select("key", "sid", F.coalesce("root", "sid").alias("comp"))
-    open_trees = members.groupBy("key").agg(
-        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")
-    )
-    open_trees = open_trees.filter("low < high").select("key", F.ceil(F.col("size") / BLOCK).alias("parts"))
-    points = sets.select("sid", "n", "point")
-    rows = members.join(open_trees, "key").join(points, "sid")
-    salt = F.pmod(F.xxhash64("sid"), F.col("parts"))
-    dealt = rows.withColumn("salt", salt).repartition("key", "salt").sortWithinPartitions("key", "salt")
-    searched = dealt.select("key", "salt", "parts", "sid", "comp", "n", "point").mapInArrow(_search, _FOUND)
+    shared = stored(keyed.join(ends.filter("low < high").select("key"), "key"), "trees")
+
+    found, tried = None, None
+    for seed in range(ROUNDS):
+        near = _dealt(shared, sets, found, seed).mapInArrow(_searching(PIVOTS, seed), _FOUND)
+        new = near.select("u", "v").distinct()
+        if tried is not None:
+            new = new.join(tried, ["u", "v"], "left_anti")
+        new = stored(new, "tried")
+        tried = new if tried is None else tried.unionByName(new)
+        linked_now = stored(verified(new, sets, docs), "round-links")
+        found = linked_now if found is None else found.unionByName(linked_now)
+
+    searched = _dealt(shared, sets, found, ROUNDS).mapInArrow(_searching(None), _FOUND)
     searched = stored(searched, "searched")
     pairs = searched.filter("u is not null").select(*_PAIR).unionByName(
         _across(searched.filter("leaf is not null"))
@@ -429,9 +441,8 @@ def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
     # Of two sets, all shared shingles up to the end of the shorter prefix were met in trees.
     rest = F.greatest(*[F.col(n) - _prefix_size(F.col(n)) for n in ("n_u", "n_v")])
     pairs = pairs.filter(may_link(F.col("met") + rest, F.col("n_u"), F.col("n_v"))).select("u", "v")
-    new = pairs.join(tried, ["u", "v"], "left_anti")
-    second = stored(verified(stored(new, "pairs"), sets, docs), "second-links")
-    return first.unionByName(second)
+    last = stored(pairs.join(tried, ["u", "v"], "left_anti"), "pairs")
+    return found.unionByName(stored(verified(last, sets, docs), "last-links"))
 
 
 def _prefix_size(n: Column) -> Column:
