@@ -47,4 +47,34 @@ SELECT lang, source, part, item, value::BIGINT AS value, place::INTEGER AS "rank
 FROM ranked WHERE part = 'pair' OR place <= 50
 """
 
-ORACLES = {"op11_divergence": _DIVERGENCE}
+# Escaping adds a character for each backslash and for the first of each control string.
+_CONTROLS = ["<|", "|>", "<s>", "</s>", "[INST]", "[/INST]", "[SYS]", "[/SYS]"]
+
+
+def _escaped(value: str) -> str:
+    """Characters of a text after escaping."""
+    added = [f"(length({value}) - length(replace({value}, '{c}', ''))) // {len(c)}" for c in ["\\", *_CONTROLS]]
+    return " + ".join([f"length({value})", *added])
+
+
+_CHAT = f"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), joined AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+         string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, ''
+                    ORDER BY turn NULLS FIRST, role, text) AS loss,
+         string_agg(role || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS roles,
+         sum(2 + {_escaped("role")} + 3 + {_escaped("text")} + 5)::BIGINT AS formatted_chars
+  FROM given GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars,
+       sha256(loss) AS loss_sha256, formatted_chars,
+       regexp_full_match(roles, '(system\\n)?(user\\nassistant\\n)+') AS valid_order
+FROM joined
+"""
+
+ORACLES = {"op8_chat_format": _CHAT, "op11_divergence": _DIVERGENCE}
