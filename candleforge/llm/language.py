@@ -7,7 +7,8 @@ is missing adds the most. The nearest profile wins; the score is how much nearer
 runner-up's distance, scaled to 0 to 1.
 
 Profiles come from at most ``PER_LANGUAGE`` documents of each language, counted over their whole texts
-on the executors. Texts without letters, and null texts, are ``und`` with score 0; so is every
+on the executors; more than ``LANGUAGES`` labels are refused, as every task holds all profiles. Texts
+without letters, and null texts, are ``und`` with score 0; so is every
 text when there is no labelled document. Ties go to the language first in the alphabet, ranks of
 equally frequent n-grams to the smaller code points. Rows with one doc_id are judged one by one;
 extra columns stay; an empty table gives an empty result.
@@ -29,6 +30,8 @@ from candleforge.llm.common import bounded_sample, slices
 PROFILE = 400
 DOCUMENT = 300
 PER_LANGUAGE = 4_000
+#: Labels that may be learned: at this many, the ranks of all profiles take some 1 GB a task.
+LANGUAGES = 1_000
 UNKNOWN = "und"
 
 _SHIFT = 21  # a code point fits this many bits
@@ -37,19 +40,25 @@ _BLOCK = 1 << 20  # characters whose n-grams are counted at a time
 
 @functools.cache
 def _letters() -> np.ndarray:
-    """For each code point its own value if it is a letter, else a space."""
+    """For each code point its own value if it is a letter or a mark on one, else a space."""
     return np.array(
         [c if unicodedata.category(chr(c))[0] in "LM" else 32 for c in range(0x110000)], np.uint32
     )
 
 
+@functools.cache
+def _is_letter() -> np.ndarray:
+    """For each code point whether it is a letter by itself."""
+    return np.array([unicodedata.category(chr(c))[0] == "L" for c in range(0x110000)])
+
+
 def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams of a text, as numbers, and their counts."""
     codes = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    codes = _letters()[codes]
-    if not (codes != 32).any():
+    # Marks belong to n-grams, but do not make a text of their own.
+    if not _is_letter()[codes].any():
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    codes = np.concatenate([[32], codes, [32]]).astype(np.uint64)
+    codes = np.concatenate([[32], _letters()[codes], [32]]).astype(np.uint64)
     # Runs of spaces become one.
     codes = codes[np.concatenate([[True], (codes[1:] != 32) | (codes[:-1] != 32)])]
     parts = []
@@ -86,6 +95,9 @@ def profiles(docs: DataFrame, lang: str = "lang") -> dict[str, np.ndarray]:
     """A profile for each language of the given (training) documents."""
     known = docs.select("doc_id", "text", F.col(lang).cast("string").alias("lang"))
     known = known.filter("lang is not null and text is not null and doc_id is not null")
+    names = known.select("lang").distinct().limit(LANGUAGES + 1).count()
+    if names > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages; clean the labels first")
     sample = bounded_sample(known, "lang", PER_LANGUAGE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,7 +136,7 @@ class Profiles:
     def __init__(self, found: dict[str, np.ndarray]):
         self.names = sorted(found)
         self.grams = np.unique(np.concatenate([found[n] for n in self.names] or [np.empty(0, np.uint64)]))
-        self.ranks = np.full((len(self.grams) + 1, len(self.names)), -1, np.int64)
+        self.ranks = np.full((len(self.grams) + 1, len(self.names)), -1, np.int16)
         for column, name in enumerate(self.names):
             rows = np.searchsorted(self.grams, found[name])
             self.ranks[rows, column] = np.arange(len(rows))
@@ -135,7 +147,7 @@ class Profiles:
             return UNKNOWN, 0.0
         rows = np.minimum(np.searchsorted(self.grams, own), len(self.grams) - 1)
         rows = np.where(self.grams[rows] == own, rows, len(self.grams))
-        ranks = self.ranks[rows]
+        ranks = self.ranks[rows].astype(np.int64)
         away = np.abs(ranks - np.arange(len(own))[:, None])
         distance = np.where(ranks < 0, PROFILE, away).sum(axis=0)
         best = int(distance.argmin())
