@@ -42,8 +42,8 @@ RANKS = 50
 ADDED = 5
 UNIT = 1_000_000_000
 
-BLOCK = 1_000_000  # postings a task collects before it spills them as a run
-HELD = 1_000_000  # postings of runs a shard holds before it merges them
+BLOCK = 500_000  # postings a task collects before it spills them as a run
+HELD = 500_000  # postings of runs a shard holds before it merges them
 PAIRS = 1 << 20  # sums by pair of sources a task holds
 
 # ``key`` is the language, a zero and the term: terms have no zero, so keys sort and part well.
