@@ -144,30 +144,25 @@ class Lexicon:
                 self._machine.make_automaton()
         return self._machine
 
-    def weight(self, word: str) -> float:
-        """The weight of a single word, 0 if no entry matches it."""
-        terms = [f" {word} ", *(f" {word[:size]}" for size in STEM if size <= len(word))]
-        return max(self.weights.get(term, 0.0) for term in terms)
-
     def matches(self, folded: Folded) -> dict[tuple[int, int, str], float]:
-        """Weight by matched form (first word, word after it, text), exceptions left out."""
-        machine, words = self.machine(), folded.words
-        if not words or not len(machine):
+        """Weight by matched form (first word, word after it, text), exceptions left out.
+
+        Words and unmasked readings are searched together; a place tells which form was met.
+        """
+        machine = self.machine()
+        if not folded.words or not len(machine):
             return {}
-        plain: dict[int, float] = {}
-        for end, (term, weight) in machine.iter(f" {' '.join(words)} "):
+        plain = [(n, n + 1, word) for n, word in enumerate(folded.words)]
+        forms = plain + folded.readings
+        best: dict[int, float] = {}
+        for end, (term, weight) in machine.iter(f" {' '.join([f[2] for f in forms])} "):
             place = end - len(term) + 1
-            plain[place] = max(weight, plain.get(place, 0.0))
-        found = {}
-        if plain:
-            starts = list(itertools.accumulate((len(w) + 1 for w in words), initial=0))
-            for place, weight in plain.items():
-                n = bisect.bisect_left(starts, place)
-                found[n, n + 1, words[n]] = weight
-        for form in folded.readings:
-            if weight := self.weight(form[2]):
-                found[form] = weight
-        if found and self.exceptions:
+            best[place] = max(weight, best.get(place, 0.0))
+        if not best:
+            return {}
+        starts = list(itertools.accumulate((len(f[2]) + 1 for f in forms), initial=0))
+        found = {forms[bisect.bisect_left(starts, place)]: weight for place, weight in best.items()}
+        if self.exceptions:
             near = zip(list(found), folded.phrases(list(found)))
             return {form: found[form] for form, own in near if self.exceptions.isdisjoint(own)}
         return found
