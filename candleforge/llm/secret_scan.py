@@ -4,27 +4,36 @@ Patterns find assignments of keywords, access keys and long hexadecimal runs. Wh
 run of key-like characters is cut at ``=`` (padding stays), and each part with letters and digits,
 at least ``LEAST`` long, is tested as a string over its inferred encoding (digits and a-f, base32,
 digits and letters of one case, letters and digits, base64): chi-squared uniformity of the
-alphabet, Wald-Wolfowitz runs about the middle of the alphabet, and serial correlation of
-neighbours. Fisher's method joins the three p-values of "this is random". The pieces of a part
-between its marks (``+/``, ``-_`` or both) are tested too, as names and paths stand before keys;
-a piece of a secret is not shown again.
-
-Which strings are not random is decided with control of the false-discovery rate
-(Benjamini-Hochberg) within classes of similar length, over the whole corpus: longer strings give
-sharper tests, so each class has its own cut. What is not rejected is a secret. p-values are
-counted in steps of ``STEP`` of -log10 p; a step is rejected as a whole.
+alphabet, in cells of letters that are about as frequent in words; Wald-Wolfowitz runs of lower
+case, upper case, digits and marks; and serial correlation of vowels. Fisher's method joins the three
+p-values of "this is random" to one statistic. The pieces of a part between its marks (``+/``,
+``-_`` or both) are tested too, as names and paths stand before keys; a piece of a secret is not
+shown again.
+
+Which strings are secrets is decided against the hypothesis that a string is ordinary. How random
+ordinary strings of a length look is learned from the corpus: of every text, some words in a row
+are run together with a number, as names and paths are, beside strings made of a fixed list of
+words. A string's p-value is the share of ordinary strings of its length class that look as
+random. Within each class, over the whole corpus, Benjamini-Hochberg bounds the expected share of
+ordinary strings among those shown by ``RATE``; where secrets are rare, fewer short ones are shown. The
+statistic is counted in steps of ``STEP`` of its -log10; a step is shown as a whole.
 
 Spans count code points, the end excluded. Null texts are empty and have no spans. Rows are
 independent given the cuts, so ties and repeats need no rule; extra columns stay; without any
-candidate nothing is rejected, and an empty table gives an empty result.
+candidate nothing is shown, and an empty table gives an empty result. A very long text is one
+unit of work; a long run is tested on arrays.
 """
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
+import random
 import re
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,7 +42,7 @@ from pyspark.sql import functions as F
 from candleforge.llm.common import slices
 
 LEAST = 20
-RATE = 0.05
+RATE = 0.02
 STEP = 0.05
 _STEPS = 400  # p-values below 10^-20 share the last step
 
@@ -55,19 +64,52 @@ _PART = re.compile(r"[A-Za-z0-9+/_-]+(?:=+(?![A-Za-z0-9+/_=-]))?")
 _PLAIN = re.compile(r"[A-Za-z0-9]+=*")
 _BETWEEN = [re.compile(r"[A-Za-z0-9_-]+=*"), re.compile(r"[A-Za-z0-9+/]+=*")]
 
-# Alphabets from the narrowest (fixed values).
+# Letters from the most frequent in words to the least (fixed value).
+_FREQUENT = "etaoinsrhldcumfpgwybvkxjqz"
+_VOWELS = "aeiouyAEIOUY"
+_DIGITS = "0123456789"
+_BOTH = "".join(a + a.upper() for a in _FREQUENT)
+
+# Alphabets from the narrowest (fixed values); digits come before or after all letters.
 _ALPHABETS = [
-    ("hex", "0123456789abcdef"),
-    ("HEX", "0123456789ABCDEF"),
-    ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
-    ("base32 lower", "abcdefghijklmnopqrstuvwxyz234567"),
-    ("base36", "0123456789abcdefghijklmnopqrstuvwxyz"),
-    ("BASE36", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
-    ("base62", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
-    ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
-    ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
+    ("hex", _DIGITS + "abcdef"),
+    ("HEX", _DIGITS + "ABCDEF"),
+    ("base32", _FREQUENT.upper() + "234567"),
+    ("base32 lower", _FREQUENT + "234567"),
+    ("base36", _FREQUENT + _DIGITS),
+    ("BASE36", _FREQUENT.upper() + _DIGITS),
+    ("base62", _BOTH + _DIGITS),
+    ("base64", _BOTH + _DIGITS + "+/"),
+    ("base64url", _BOTH + _DIGITS + "-_"),
 ]
-_PLACES = [{c: n for n, c in enumerate(letters)} for _, letters in _ALPHABETS]
+
+
+# For each byte: lower case, upper case, digit or mark; and whether it is a vowel.
+_KINDS = bytes(
+    0 if chr(b).islower() else 1 if chr(b).isupper() else 2 if chr(b).isdigit() else 3 for b in range(256)
+)
+_IS_VOWEL = bytes(int(chr(b) in _VOWELS) for b in range(256))
+
+
+@functools.cache
+def _cells(letters: str, cells: int) -> tuple[bytes, list[int]]:
+    """The cell of each byte, and how many letters each cell has."""
+    places = [n * cells // len(letters) for n in range(len(letters))]
+    return bytes.maketrans(letters.encode(), bytes(places)), [places.count(n) for n in range(cells)]
+
+
+# Words that ordinary strings are made of where the corpus has few (fixed values).
+_ORDINARY = (
+    "get user account by id service config value data file path index version test release build "
+    "main server client handler request response cache table query update delete insert session "
+    "manager factory controller view model string number array buffer stream reader writer parse "
+    "format output input error message status code name type list item group order date time year "
+    "month project example module package library install windows linux image video report record"
+).split()
+_ENDS = [20, 23, 26, 30, 34, 40, 46, 54, 64, 76, 90, 110, 130]  # lengths of ordinary strings
+_FIXED = 300  # of them made of the fixed words, for each length
+# Whole words alone, not letters of a key.
+_WORDS = re.compile(r"""(?<![^\s.,;:!?"'()])[A-Za-z]{2,14}(?![^\s.,;:!?"'()])""")
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -98,44 +140,86 @@ def _chi2_tail(x: float, df: int) -> float:
 
 def randomness(value: str) -> float | None:
     """The joint p-value of "random over its encoding", None for no known encoding."""
-    value = value.rstrip("=")
-    places = next((p for p in _PLACES if all(c in p for c in value)), None)
-    count = len(value)
-    if places is None or count < 2:
+    text = value.rstrip("=").encode("ascii")
+    count = len(text)
+    letters = next((own for _, own in _ALPHABETS if not text.translate(None, own.encode())), None)
+    if letters is None or count < 2:
         return None
-    size = len(places)
-    codes = [places[c] for c in value]
     # Cells of equal width, so that each expects about five characters.
-    cells = max(2, min(size, count // 5))
-    width = [0] * cells
-    for n in range(size):
-        width[n * cells // size] += 1
-    seen = Counter(c * cells // size for c in codes)
-    chi2 = sum((seen[n] - e) ** 2 / e for n in range(cells) for e in (count * width[n] / size,))
+    cells = max(2, min(len(letters), count // 5))
+    table, widths = _cells(letters, cells)
+    placed, chi2 = text.translate(table), 0.0
+    for cell, width in enumerate(widths):
+        expected = count * width / len(letters)
+        chi2 += (placed.count(cell) - expected) ** 2 / expected
     p_uniform = _chi2_tail(chi2, cells - 1)
 
-    upper = [2 * c >= size for c in codes]
-    high, low = sum(upper), count - sum(upper)
-    if high and low:
-        runs = 1 + sum(a != b for a, b in zip(upper, upper[1:]))
-        mean = 2 * high * low / count + 1
-        variance = (mean - 1) * (mean - 2) / max(count - 1, 1)
-        p_runs = _normal_tail((runs - mean) / math.sqrt(variance)) if variance > 0 else 1.0
-    else:
-        p_runs = 2.0 ** (1 - count)
-
-    middle = sum(codes) / count
-    power = sum((c - middle) ** 2 for c in codes)
-    if power:
-        serial = sum((a - middle) * (b - middle) for a, b in zip(codes, codes[1:])) / power
-        p_serial = _normal_tail((serial + 1 / count) * math.sqrt(count))
+    kinds = text.translate(_KINDS)
+    sizes = [kinds.count(kind) for kind in range(4)]
+    runs = 1 + sum(map(operator.ne, kinds, kinds[1:]))
+    squares, cubes = sum(n * n for n in sizes), sum(n**3 for n in sizes)
+    mean = (count * (count + 1) - squares) / count
+    variance = (squares * (squares + count * (count + 1)) - 2 * count * cubes - count**3) / (
+        count * count * (count - 1)
+    )
+    p_runs = _normal_tail((runs - mean) / math.sqrt(variance)) if variance > 1e-9 else 1.0
+
+    vowels = text.translate(_IS_VOWEL)
+    whole, both = vowels.count(1), sum(map(operator.and_, vowels, vowels[1:]))
+    share = whole / count
+    if power := whole * (1 - share):
+        neighbours = both - share * (2 * whole - vowels[0] - vowels[-1]) + (count - 1) * share * share
+        p_serial = _normal_tail((neighbours / power + 1 / count) * math.sqrt(count))
     else:
-        p_serial = 2.0 ** (1 - count)
+        p_serial = 1.0
 
     half = -sum(math.log(max(p, 1e-300)) for p in (p_uniform, p_runs, p_serial))
     return min(1.0, math.exp(-half) * (1 + half + half * half / 2))
 
 
+def _step(p: float) -> int:
+    return min(_STEPS, int(-math.log10(max(p, 1e-300)) / STEP))
+
+
+def length_class(size: int) -> int:
+    """Classes grow by a fifth."""
+    return int(4 * math.log2(size))
+
+
+def ordinary(words: Iterable[str], number: int, size: int) -> str | None:
+    """Words run together to about a length, in one of six styles, with one number or two."""
+    style, number = number % 6, number // 6
+    mark = ("", "", "_", "/", "-", "/")[style]
+    # A number stands at the end, behind the first word, or in both places.
+    early, late, number = number % 3 > 0, number % 3 < 2, number // 3
+    made = ""
+    for n, word in enumerate(words):
+        made += mark if made else ""
+        made += word.capitalize() if style == 1 else word[:5] if style == 5 else word
+        if early and not n:
+            made += str(number % 100)
+        if len(made) >= size - 2:
+            return made[: size + 8] + (str(number // 100 % 3000) if late or not early else "")
+    return None
+
+
+def _ordinary_of(text: str) -> str | None:
+    """An ordinary string of a text: some of its words from a place that its hash gives."""
+    number = zlib.crc32(text.encode())
+    words = (m.group() for m in _WORDS.finditer(text, number % len(text)))
+    return ordinary(words, number >> 4, _ENDS[number % len(_ENDS)])
+
+
+def _ordinary_steps() -> Counter:
+    """Steps of strings of the fixed words, by length class."""
+    made, counts = random.Random(0), Counter()
+    for size in _ENDS:
+        for _ in range(_FIXED):
+            value = ordinary(iter(lambda: made.choice(_ORDINARY), None), made.randrange(1 << 28), size)
+            counts[length_class(len(value)), _step(randomness(value))] += 1
+    return counts
+
+
 def _strings(text: str, start: int, end: int) -> list[tuple[int, int]]:
     """The strings to test in a stretch of key-like characters, an outer one before its pieces."""
     found = set()
@@ -175,12 +259,11 @@ def candidates(text: str, taken: list[tuple[int, int, str]]) -> Iterator[tuple[i
                     continue
                 p = randomness(value)
                 if p is not None:
-                    step = min(_STEPS, int(-math.log10(max(p, 1e-300)) / STEP))
-                    yield start, end, (end - start).bit_length(), step
+                    yield start, end, length_class(end - start), _step(p)
 
 
 def cuts(docs: DataFrame, rate: float = RATE) -> dict[int, int]:
-    """For each length class the least step whose strings are rejected as not random.
+    """For each length class the least step whose strings are taken for ordinary.
 
     Every text is read; a task reports counts by class and step, at most a few thousand rows.
     """
@@ -190,30 +273,47 @@ def cuts(docs: DataFrame, rate: float = RATE) -> dict[int, int]:
         for batch in slices(batches):
             for text in batch.column("text").to_pylist():
                 if text:
-                    counts.update(c[2:] for c in candidates(text, base_spans(text)))
+                    counts.update((True, *c[2:]) for c in candidates(text, base_spans(text)))
+                    plain = _ordinary_of(text)
+                    if plain is not None and (p := randomness(plain)) is not None:
+                        counts[False, length_class(len(plain)), _step(p)] += 1
         yield pa.record_batch(
             {
-                "size": pa.array([k[0] for k in counts], pa.int32()),
-                "step": pa.array([k[1] for k in counts], pa.int32()),
+                "met": pa.array([k[0] for k in counts], pa.bool_()),
+                "size": pa.array([k[1] for k in counts], pa.int32()),
+                "step": pa.array([k[2] for k in counts], pa.int32()),
                 "n": pa.array(list(counts.values()), pa.int64()),
             }
         )
 
-    parts = docs.select("text").mapInArrow(run, "size int, step int, n long")
-    sums = parts.groupBy("size", "step").agg(F.sum("n").alias("n")).collect()
-    by_size: dict[int, Counter] = {}
-    for row in sums:
-        by_size.setdefault(row["size"], Counter())[row["step"]] += row["n"]
-    return {size: _cut(steps, rate) for size, steps in by_size.items()}
+    parts = docs.select("text").mapInArrow(run, "met boolean, size int, step int, n long")
+    met, plain = {}, _ordinary_steps()
+    for row in parts.groupBy("met", "size", "step").agg(F.sum("n").alias("n")).collect():
+        if row["met"]:
+            met.setdefault(row["size"], Counter())[row["step"]] += row["n"]
+        else:
+            plain[row["size"], row["step"]] += row["n"]
+    return {size: _cut(steps, _nearest(plain, size), rate) for size, steps in met.items()}
+
+
+def _nearest(plain: Counter, size: int) -> Counter:
+    """The steps of the ordinary strings of a length class, or of the next class that has some.
+
+    Longer ordinary strings look less random, so a shorter class is the safe one."""
+    sizes = sorted({s for s, _ in plain})
+    own = max((s for s in sizes if s <= size), default=sizes[0])
+    return Counter({step: n for (s, step), n in plain.items() if s == own})
 
 
-def _cut(steps: Counter, rate: float) -> int:
-    """Benjamini-Hochberg over steps: the largest p with p <= rate * rank / all."""
-    total, rank, cut = sum(steps.values()), 0, _STEPS + 1
-    for step in sorted(steps, reverse=True):
+def _cut(steps: Counter, plain: Counter, rate: float) -> int:
+    """Benjamini-Hochberg over steps: behind the last with p <= rate * rank / all, 0 for none."""
+    total, ordinary_total = sum(steps.values()), sum(plain.values())
+    rank = as_random = cut = 0
+    for step in range(_STEPS + 1):
         rank += steps[step]
-        if 10 ** (-step * STEP) <= rate * rank / total:
-            cut = step
+        as_random += plain[step]
+        if steps[step] and (1 + as_random) / (1 + ordinary_total) <= rate * rank / total:
+            cut = step + 1
     return cut
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import string
+import time
 
 import pytest
 
@@ -76,3 +77,38 @@ def test_a_piece_of_a_secret_is_not_shown_again():
     text, start, size = planted("prefixed value", 0)
     spans = secret_scan.spans(text, {})
     assert len(spans) == 1 and spans[0][1] == start + size
+
+
+# Strings that people write, with letters and digits.
+WRITTEN = [
+    "getUserAccountById2023", "covid19vaccinationrecord", "MicrosoftVisualStudio2019", "com/example/project/v2/index",
+    "windows10-x64-installer", "application_settings_v12", "IMG_20230514_holiday_beach", "springBootStarterWeb3",
+    "usr/share/doc/packages/readme2", "chapter12-introduction-to-biology", "ubuntu-22-04-desktop-amd64",
+    "quarterly-report-2021-final", "HttpRequestHandlerFactory2", "node_modules/typescript/lib4",
+    "customerOrderDetailsPage3", "2024annualgeneralmeeting", "section3paragraph14subsection2", "python310environment",
+    "blog/2019/05/how-to-write-tests", "nationalGeographicMagazine1998", "backup_database_primary_01",
+]
+
+
+@pytest.mark.parametrize("copies", [1, 50])
+def test_ordinary_strings_are_not_shown_beside_many_secrets(spark, copies):
+    made = random.Random(7)
+    rows = []
+    for n in range(2000):
+        letters, size = made.choice([LOWER, ALL, ALL + "+/"]), made.choice([32, 40, 48, 64])
+        rows.append((f"secret {n}", "say " + "".join(made.choice(letters) for _ in range(size)) + " ok"))
+    for n, text in enumerate(WRITTEN):
+        rows += [(f"written {n} {k}", f"look at {text} here") for k in range(copies)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    found = {r.doc_id: bool(r.secrets) for r in secret_scan.scan(docs, secret_scan.cuts(docs)).collect()}
+    shown = [any(found[f"written {n} {k}"] for k in range(copies)) for n in range(len(WRITTEN))]
+    assert sum(shown) / len(WRITTEN) < 0.05
+    assert sum(found[f"secret {n}"] for n in range(2000)) >= 0.9 * 2000
+
+
+def test_a_long_run_takes_seconds():
+    made = random.Random(1)
+    text = "".join(made.choices(ALL + "+/", k=16 << 20))
+    began = time.monotonic()
+    assert len(list(secret_scan.candidates(text, secret_scan.base_spans(text)))) > 0
+    assert time.monotonic() - began < 40
