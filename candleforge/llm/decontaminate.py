@@ -12,7 +12,8 @@ read in parts that overlap by the longest benchmark item.
 A window is ``WINDOW`` consecutive words of an item; an item of fewer, but not none, is one window.
 A document is contaminated when at least one in ``SHARE`` of its words lies in a matched window.
 
-The benchmark goes to the tasks in blocks of at most about ``BLOCK_BYTES`` of text; a larger one
+The benchmark goes to the tasks in blocks of at most about ``BLOCK_BYTES`` of text, which a worker
+builds once and holds at some 30 times their size; a larger one
 takes one pass over the documents for each block, which carries the words hit so far. Null texts
 have no words. Rows with one doc_id are judged one by one; items with one item_id count once.
 Columns other than text stay as they are; empty tables are fine on either side.
@@ -21,11 +22,13 @@ Columns other than text stay as they are; empty tables are fine on either side.
 from __future__ import annotations
 
 import itertools
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +36,7 @@ from candleforge.llm.common import slices, stored
 
 WINDOW = 13
 SHARE = 20
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20
 #: Words of a shard.
 SHARD_WORDS = 1 << 19
 
@@ -331,15 +334,28 @@ _FIELDS = [
 _HITS = ("__hits", "binary", pa.binary())
 
 
+_BUILT: dict[str, Benchmark] = {}
+
+
+def _built(key: str, items: Broadcast, window: int) -> Benchmark:
+    """The benchmark of a pass; a worker builds it once for all its tasks."""
+    if key not in _BUILT:
+        _BUILT.clear()
+        _BUILT[key] = Benchmark(items.value, window)
+    return _BUILT[key]
+
+
 def _pass(docs: DataFrame, items: list, window: int, with_text: bool, carry: bool) -> DataFrame:
     own = {n for n, _, _ in _FIELDS} | {_HITS[0]}
     kept = [f for f in docs.schema if f.name not in own and (with_text or f.name != "text")]
     fields = [*_FIELDS, _HITS] if carry else _FIELDS
     described = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept]
     described += [f"{n} {t}" for n, t, _ in fields]
+    # At most a block, which goes to each executor once.
+    shared, key = docs.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bench = Benchmark(items, window)
+        bench = _built(key, shared, window)
         for batch in slices(batches):
             texts = [words_of(t) for t in batch.column("text").to_pylist()]
             if _HITS[0] in batch.schema.names:
