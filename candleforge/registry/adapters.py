@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,7 +129,7 @@ def landed_zips(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat_ws(
         "-", "symbol", F.lit("aggTrades"), F.col("batch_date").cast("string"), "part"
     )
-    zipped = F.pandas_udf(_zipped, T.BinaryType())
+    zipped = zipped_text
     return parts.select(
         F.concat(F.lit("landing/"), name, F.lit(".zip")).alias("path"),
         F.concat(name, F.lit(".zip")).alias("file_name"),
@@ -141,6 +141,12 @@ def landed_zips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_folder(spark: SparkSession, sf_dir: str, root: str) -> str:
     """The zips of ``landed_zips`` as files below ``root``, in folders by symbol and day."""
+    write_zips(landed_zips(spark, sf_dir), root)
+    return root
+
+
+def write_zips(zips: DataFrame, root: str) -> None:
+    """Write (symbol, batch_date, file_name, content) as files below ``root``."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,8 +158,12 @@ def landed_folder(spark: SparkSession, sf_dir: str, root: str) -> str:
                     out.write(row["content"])
             yield pa.record_batch({"files": pa.array([batch.num_rows], pa.int64())})
 
-    landed_zips(spark, sf_dir).mapInArrow(write, "files long").agg(F.sum("files")).collect()
-    return root
+    zips.mapInArrow(write, "files long").agg(F.sum("files")).collect()
+
+
+def zipped_text(name: Column, text: Column) -> Column:
+    """A zip file with one member."""
+    return F.pandas_udf(_zipped, T.BinaryType())(name, text)
 
 
 def _zipped(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
