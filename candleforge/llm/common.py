@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -63,3 +65,11 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             held += size
         if first < batch.num_rows:
             yield batch.slice(first)
+    _give_back()
+
+
+def _give_back() -> None:
+    """Return freed memory to the system at the end of a task: its worker goes on in later stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)

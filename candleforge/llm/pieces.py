@@ -35,7 +35,7 @@ _WORD_END = f"([{_LETTERS}])([!-/:-@\\[-`{{-~])"
 
 #: Pieces a worker remembers at least and, twice this, at most. It bounds memory only: what was
 #: not met since the last turn-over is forgotten and encoded again when it comes up.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 
 def cut_all(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
