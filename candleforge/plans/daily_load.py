@@ -200,7 +200,9 @@ def _load_bronze(
 ) -> dict:
     spark = files.sparkSession
     bad = checks.filter(F.col(landing.PARSE_ERROR).isNotNull())
-    bad_files = bad.count()
+    flags = {"unreadable files": F.col(landing.PARSE_ERROR).isNotNull(), "files with surplus cells": F.col(landing.EXTRA_CELLS)}
+    found = checks.agg(*[F.count_if(flag).alias(name) for name, flag in flags.items()]).first().asDict()
+    bad_files = found["unreadable files"]
     if bad_files:
         quality.write_quarantine(
             bad.drop("run_id", landing.EXTRA_CELLS, landing.FILE_ROWS), lake.bad_files, run_id
@@ -224,6 +226,7 @@ def _load_bronze(
         "rows_out": rows_in,
         "started_at": started,
         "ended_at": dt.datetime.now(dt.timezone.utc),
+        "reason": ", ".join(f"{name}: {n}" for name, n in found.items() if n) or None,
         "run_id": run_id,
     }
 

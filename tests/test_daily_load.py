@@ -1,5 +1,6 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
 from test_landing import HEADER, land, zipped
 
 from candleforge import schema
@@ -93,13 +94,19 @@ def test_emptied_and_half_bad_days(spark, folder):
     flagged = spark.read.parquet(lake.checks).filter("_has_extra_cells").collect()
     assert [r.path.rsplit("/", 1)[1] for r in flagged] == [second.rsplit("/", 1)[1]]
 
+    def reason(run_id):
+        log = runlog.read(spark, lake.run_log).filter(F.col("run_id") == run_id)
+        return {r.stage: r.reason for r in log.collect()}["bronze"]
+
+    assert reason("r1") == "files with surplus cells: 1"
+
     # A file without rows empties its day; a bad part leaves the other day as it was.
     land(landing, "AAA", zipped(f"{HEADER}\n"))
     with open(second, "wb") as out:
         out.write(b"no zip")
     assert run("r2") == "PARTIAL"
     assert stored(lake.bronze) == stored(lake.silver) == {"BBB": 3}
-    assert daily(spark, lake) == {"BBB": (5, 6, 3)}
+    assert daily(spark, lake) == {"BBB": (5, 6, 3)} and reason("r2") == "unreadable files: 1"
 
     # All days of the table are emptied.
     land(landing, "BBB", zipped(f"{HEADER}\n"))
