@@ -17,6 +17,8 @@ TARGET_FILE_BYTES = 256 << 20
 
 # Bits of a column's range number in a curve: 2^CURVE_BITS ranges of about equally many rows.
 CURVE_BITS = 10
+# The rank of a bound is right within rows / CURVE_ACCURACY.
+CURVE_ACCURACY = 100_000
 
 # Tasks that write a compaction at most; more bins than these share writers.
 MOST_WRITERS = 100_000
@@ -176,7 +178,7 @@ def sortable(column: Column, kind: T.DataType) -> Column:
 
 
 def range_bounds(table: DataFrame, columns: list[str], bits: int = CURVE_BITS,
-                 accuracy: int = 100_000) -> dict[str, Column | None]:
+                 accuracy: int = CURVE_ACCURACY) -> dict[str, Column | None]:
     """For each column 2^bits - 1 quantiles, as a literal array: one aggregate over those columns.
 
     A quantile's rank is right within rows / ``accuracy``. A column without values has none.
@@ -214,13 +216,14 @@ def interleaved(numbers: list[Column], bits: int = CURVE_BITS) -> Column:
     return dealt
 
 
-def with_curve(table: DataFrame, columns: list[str], bits: int = CURVE_BITS, name: str = CURVE) -> DataFrame:
+def with_curve(table: DataFrame, columns: list[str], bits: int = CURVE_BITS, name: str = CURVE,
+               accuracy: int = CURVE_ACCURACY) -> DataFrame:
     """Add each row's place on the curve through ``columns``.
 
     A column counts by its ranks, so skewed and wide-spread values are cut as finely as others.
     """
     types = {f.name: f.dataType for f in table.schema}
-    bounds = range_bounds(table, columns, bits)
+    bounds = range_bounds(table, columns, bits, accuracy)
     ranges = {
         f"_range{n}": range_number(sortable(F.col(c), types[c]), bounds[c], bits)
         for n, c in enumerate(columns)
