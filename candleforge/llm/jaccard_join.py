@@ -13,9 +13,9 @@ link have one of these in common. The order puts shingles of many documents last
 counts over all documents; any order gives the same result), so shared passages seldom open
 a tree. Only distinct sets are joined, so copies cost nothing.
 
-In ``ROUNDS`` first rounds every tree is dealt into parts of some ``BLOCK`` points, anew in each
-round, and a part's points are held against ``PIVOTS`` of them. That grows with the points however
-large a tree is, and links nearly all of a group of near copies. Trees whose members are then all in
+First (``ROUNDS`` times) every tree, with the sets that have it among their ``LAST``, is dealt into parts of some ``BLOCK`` points, anew in each round,
+and a part's points are held against ``PIVOTS`` of them. That grows with the points however
+large a tree is, and links most of a group of near copies. Trees whose members are then all in
 one component are done. The others are searched in full: trees of up to ``BLOCK`` points in one task,
 larger ones as leaves dealt over tasks, whose pairs are joined by their boxes. A pair met in few trees beside the size of its sets cannot link either: the shingles that open
 no tree are at most as many as the larger rest. Sets in one component are not compared again: a component is exact, while links
@@ -48,9 +48,10 @@ NUMERATOR, DENOMINATOR = 80, 100
 GROUPS = 128
 LEAF = 64
 BLOCK = 2048
-ROUNDS, PIVOTS = 2, 16
+ROUNDS, PIVOTS = 1, 16
+LAST = 6  # of a set's trees, those that a round looks at: its shingles there are the most common
 #: Shingles of many documents that are put last, at most.
-COMMON = 50_000
+COMMON = 250_000
 
 _COUNTED = 4_000_000  # shingles a task counts at a time
 _OFTEN = 3  # of them, those met as often are reported
@@ -108,21 +109,29 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        seen: set[bytes] = set()
         size = 0
         for batch in slices(batches):
             for text in batch.column("text").to_pylist():
-                held.append(shingles(text))
-                size += len(held[-1])
+                own = shingles(text)
+                # Copies are one set later on.
+                if (mark := _digest(own)) in seen:
+                    continue
+                seen.add(mark)
+                held.append(own)
+                size += len(own)
                 if size >= _COUNTED:
                     yield counted(held)
                     held, size = [], 0
+                    seen.clear()
         if held:
             yield counted(held)
 
     parts = docs.select("text").mapInArrow(run, "shingle long, n long")
     most = parts.groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(COMMON)
-    rows = sorted((r["n"], r["shingle"]) for r in most.collect())
-    return np.array([s for _, s in rows], np.int64).view(np.uint64)
+    found = most.toArrow()
+    n, shingle = (found.column(c).to_numpy() for c in ("n", "shingle"))
+    return shingle[np.lexsort((shingle, n))].view(np.uint64)
 
 
 def prefix_size(n):
@@ -417,13 +426,14 @@ def _dealt(shared: DataFrame, sets: DataFrame, links: DataFrame | None, seed: in
 
 def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
     """(u, v) links between distinct sets that connect all linked ones."""
-    keyed = sets.select("sid", F.explode("keys").alias("key"))
+    keyed = sets.select("sid", F.size("keys").alias("trees"), F.posexplode("keys").alias("place", "key"))
+    keyed = keyed.select("sid", "key", (F.col("trees") - F.col("place") <= LAST).alias("last"))
     ends = keyed.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
     shared = stored(keyed.join(ends.filter("low < high").select("key"), "key"), "trees")
 
     found, tried = None, None
     for seed in range(ROUNDS):
-        near = _dealt(shared, sets, found, seed).mapInArrow(_searching(PIVOTS, seed), _FOUND)
+        near = _dealt(shared.filter("last"), sets, found, seed).mapInArrow(_searching(PIVOTS, seed), _FOUND)
         new = near.select("u", "v").distinct()
         if tried is not None:
             new = new.join(tried, ["u", "v"], "left_anti")
