@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,8 @@ TARGET_FILE_BYTES = 256 << 20
 CURVE_BITS = 10
 # The rank of a bound is right within rows / CURVE_ACCURACY.
 CURVE_ACCURACY = 100_000
+# Beyond CURVE_ACCURACY, bounds are exact; a summary this accurate tells where to look for them.
+BRACKET_ACCURACY = 10_000
 
 # Tasks that write a compaction at most; more bins than these share writers.
 MOST_WRITERS = 100_000
@@ -179,19 +183,104 @@ def sortable(column: Column, kind: T.DataType) -> Column:
 
 def range_bounds(table: DataFrame, columns: list[str], bits: int = CURVE_BITS,
                  accuracy: int = CURVE_ACCURACY) -> dict[str, Column | None]:
-    """For each column 2^bits - 1 quantiles, as a literal array: one aggregate over those columns.
+    """For each column 2^bits - 1 quantiles, as a literal array.
 
-    A quantile's rank is right within rows / ``accuracy``. A column without values has none.
+    A quantile's rank is right within rows / ``accuracy``. A column without values has none. One
+    aggregate over those columns finds them; its summary, which one task merges, is as long as
+    ``accuracy``. For a higher one than CURVE_ACCURACY exact quantiles are taken instead.
     """
     shares = [n / (1 << bits) for n in range(1, 1 << bits)]
     types = {f.name: f.dataType for f in table.schema}
-    found = table.agg(
-        *[F.percentile_approx(sortable(F.col(c), types[c]), shares, accuracy).alias(c) for c in columns]
-    )
-    row = found.first()  # arrays of fixed length
+    values = {c: sortable(F.col(c), types[c]) for c in columns}
+    if accuracy > CURVE_ACCURACY:
+        row = {c: exact_quantiles(table.select(value.alias("value")), shares) for c, value in values.items()}
+    else:
+        found = table.agg(
+            *[F.percentile_approx(value, shares, accuracy).alias(c) for c, value in values.items()]
+        )
+        row = found.first()  # arrays of fixed length
     return {c: F.array(*map(F.lit, row[c])) if row[c] else None for c in columns}
 
 
+def exact_quantiles(values: DataFrame, shares: list[float]) -> list | None:
+    """The values of rank ceil(share * count) of the only column ``value``; None without values.
+
+    A rough summary gives an interval of values around each quantile. All rows are counted by
+    interval, and only values inside one are counted singly, so no task sees more than a small
+    share of the rows. Intervals that turn out to miss their rank are taken wider.
+    """
+    values = values.filter(F.col("value").isNotNull())
+    kind, slack = values.schema["value"].dataType, 2 / BRACKET_ACCURACY
+    while True:
+        found = _ranked(values, kind, shares, _intervals(values, shares, slack))
+        if found is None or all(rank in found for rank in range(len(shares))):
+            return found and [found[rank] for rank in range(len(shares))]
+        slack *= 16
+
+
+def _intervals(values: DataFrame, shares: list[float], slack: float) -> list[tuple]:
+    """Disjoint intervals of values, in order, that hold the quantiles; none if slack covers all rows."""
+    if slack >= 1:
+        return []
+    ends = [min(1.0, max(0.0, share + side)) for share in shares for side in (-slack, slack)]
+    row = values.agg(F.percentile_approx("value", ends, BRACKET_ACCURACY).alias("ends")).first()
+    found = row["ends"] or []
+    joined: list[tuple] = []
+    for low, high in zip(found[::2], found[1::2]):
+        if joined and low <= joined[-1][1]:
+            joined[-1] = (joined[-1][0], max(high, joined[-1][1]))
+        else:
+            joined.append((low, high))
+    return joined
+
+
+def _ranked(values: DataFrame, kind: T.DataType, shares: list[float], intervals: list[tuple]) -> dict | None:
+    """Quantiles by their number in ``shares``, as far as they lie inside the intervals (none: all values)."""
+    value = F.col("value")
+    if intervals:
+        # As many intervals begin at or below the value.
+        at = F.lit(0)
+        for number, (low, _) in enumerate(intervals, 1):
+            at = F.when(value >= F.lit(low).cast(kind), number).otherwise(at)
+        highs = F.array(*[F.lit(high).cast(kind) for _, high in intervals])
+        inside = F.when(F.col("at") > 0, value <= F.element_at(highs, F.greatest("at", F.lit(1)))).otherwise(False)
+    else:
+        at, inside = F.lit(1), F.lit(True)
+    placed = values.withColumn("at", at).withColumn("inside", inside)
+    counts = placed.groupBy("at", "inside", F.when(F.col("inside"), value).alias("value")).agg(
+        F.count("*").alias("rows")
+    )
+    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # Two rows for each interval at most.
+        totals = {(r["at"], r["inside"]): r["rows"] for r in
+                  counts.groupBy("at", "inside").agg(F.sum("rows").alias("rows")).collect()}
+        total = sum(totals.values())
+        if not total:
+            return None
+        wanted, below = [], 0
+        for n in range(len(intervals) + 1 if intervals else 2):
+            held = totals.get((n, True), 0)
+            for number, share in enumerate(shares):
+                rank = max(1, math.ceil(share * total)) - below
+                if 1 <= rank <= held:
+                    wanted.append(F.struct(F.lit(n).alias("at"), F.lit(number).alias("number"), F.lit(rank).alias("rank")))
+            below += held + totals.get((n, False), 0)
+        if not wanted:
+            return {}
+        order = Window.partitionBy("at").orderBy("value")
+        upto = counts.filter("inside").withColumn("upto", F.sum("rows").over(order))
+        ranks = F.filter(
+            F.array(*wanted),
+            lambda w: (w["at"] == F.col("at"))
+            & (w["rank"] <= F.col("upto")) & (w["rank"] > F.col("upto") - F.col("rows")),
+        )
+        hit = upto.select("value", F.explode(ranks["number"]).alias("number"))
+        return {r["number"]: r["value"] for r in hit.collect()}
+    finally:
+        counts.unpersist()
+
+
 def range_number(value: Column, bounds: Column | None, bits: int = CURVE_BITS) -> Column:
     """How many bounds lie below the value, by bisection; 0 for null."""
     if bounds is None:

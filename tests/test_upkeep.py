@@ -224,3 +224,35 @@ def test_partitions_with_odd_values_are_dropped(spark, folder):
     tables.replace_partitions(frame, target, ["k"])
     tables.drop_partitions(spark, target, [{"k": v} for v in values[:-1]])
     assert [r.k for r in tables.read(spark, target, frame.schema).collect()] == ["stay"]
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [None, 5], [7] * 3000 + [n % 20 for n in range(2000)], [n * 7919 % 40_009 for n in range(40_009)],
+        # As doubles these are all the same.
+        [2**62 + n * 7 % 100 for n in range(3000)],
+    ],
+)
+def test_exact_bounds_need_no_long_summary(spark, monkeypatch, values):
+    asked, summary = [], F.percentile_approx
+    monkeypatch.setattr(layout.F, "percentile_approx", lambda *a: asked.append(a[2]) or summary(*a))
+    frame = spark.createDataFrame([(v,) for v in values], "v long").repartition(5)
+    bounds = layout.range_bounds(frame, ["v"], bits=4, accuracy=100_000_000)
+    found = frame.select(bounds["v"]).first()[0]
+    held = sorted(v for v in values if v is not None)
+    assert found == [held[max(1, -(-n * len(held) // 16)) - 1] for n in range(1, 16)]
+    assert max(asked) <= layout.CURVE_ACCURACY
+
+
+def test_intervals_that_miss_a_rank_are_widened(spark, monkeypatch):
+    frame = spark.range(5000).select(F.col("id").alias("value")).repartition(3)
+    intervals, slacks = layout._intervals, []
+
+    def missing(values, shares, slack):
+        slacks.append(slack)
+        return [(0, 1)] if len(slacks) == 1 else intervals(values, shares, slack)
+
+    monkeypatch.setattr(layout, "_intervals", missing)
+    assert layout.exact_quantiles(frame, [0.25, 0.5, 1.0]) == [1249, 2499, 4999]
+    assert len(slacks) == 2
