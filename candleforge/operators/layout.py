@@ -26,6 +26,8 @@ BRACKET_ACCURACY = 10_000
 
 # Tasks that write a compaction at most; more bins than these share writers.
 MOST_WRITERS = 100_000
+# Files up to which their list, a few hundred bytes each, is sent to every task that reads rows.
+MOST_FILES_BROADCAST = 200_000
 
 # Age limits in days and the folders they apply to.
 COOL_AFTER_DAYS = 730
@@ -51,13 +53,16 @@ def _folder_value(column: str) -> Column:
 
 
 def file_sizes(spark: SparkSession, target: str, partition_by: list[str]) -> DataFrame:
-    """Data files of a table: ``partition`` (folders below the table), ``file`` and ``bytes``.
+    """Data files of a table: ``partition`` (folders below the table), ``file``, ``bytes`` and ``path``.
 
     Files are listed, none is opened.
     """
     partition, name = _placed(partition_by)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(target)
-    return files.select(partition.alias("partition"), name.alias("file"), F.col("length").alias("bytes"))
+    return files.select(
+        partition.alias("partition"), name.alias("file"), F.col("length").alias("bytes"),
+        F.col("_metadata.file_path").alias("path"),
+    )
 
 
 def packed(files: DataFrame, file_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
@@ -123,14 +128,20 @@ def compact(
     bins = packed(listed, file_bytes).join(few, "partition", "left_semi")
     # A large file of a chosen partition stays a file of its own.
     of_file = bins.select(
-        "partition", "file", F.coalesce(F.concat(F.lit("bin "), F.col("bin")), "file").alias("_bin")
+        F.col("path").alias("_path"),
+        F.col("partition").alias("_partition"),
+        F.coalesce(F.concat(F.lit("bin "), F.col("bin")), "file").alias("_bin"),
     )
-    writers = min(MOST_WRITERS, 4 * of_file.select("partition", "_bin").distinct().count())
-    partition, name = _placed(partition_by)
-    rows = table.withColumns({"partition": partition, "file": name}).filter(chosen)
-    gathered = rows.join(of_file, ["partition", "file"]).repartition(writers, "partition", "_bin")
-    written = gathered.drop("partition", "file", "_bin")
-    tables.replace_partitions(written, target, partition_by, rebalance=False)
+    counted = of_file.agg(F.count("*").alias("files"), F.count_distinct("_partition", "_bin").alias("bins")).first()
+    writers = min(MOST_WRITERS, 4 * counted["bins"])
+    if counted["files"] <= MOST_FILES_BROADCAST:
+        of_file = F.broadcast(of_file)
+    rows = table.withColumn("_path", F.col("_metadata.file_path")).filter(chosen)
+    gathered = rows.join(of_file, "_path").repartition(writers, "_partition", "_bin")
+    written = gathered.drop("_path", "_partition", "_bin")
+    # A task has a few bins at most. With a writer for each, rows are not sorted by partition first.
+    with session_conf(spark, spark__sql__maxConcurrentOutputFileWriters=tables.OPEN_WRITERS):
+        tables.replace_partitions(written, target, partition_by, rebalance=False)
     return rewritten
 
 

@@ -399,7 +399,9 @@ def _stored_lineitem(spark, sf_dir, label):
     target = session.work_dir(spark, label)
     rows = table(spark, sf_dir, "lineitem")
     partition_by = ["l_returnflag", "l_linestatus"]
-    rows.write.partitionBy(*partition_by).parquet(target)
+    # Few partitions: each gets a writer in every task, instead of a sort of the task's rows.
+    with session.session_conf(spark, spark__sql__maxConcurrentOutputFileWriters=tables.OPEN_WRITERS):
+        rows.write.partitionBy(*partition_by).parquet(target)
     return target, partition_by, rows.schema
 
 

@@ -17,6 +17,10 @@ from pyspark.sql import types as T
 from candleforge.session import session_conf
 from candleforge.sources import storage
 
+# Files that a task keeps open when it writes rows of few partitions unsorted; each holds a row
+# group. A task that meets more sorts the rest of its rows.
+OPEN_WRITERS = 16
+
 # The filter of an empty list of partitions.
 NO_PARTITION = object()
 

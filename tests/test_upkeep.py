@@ -256,3 +256,19 @@ def test_intervals_that_miss_a_rank_are_widened(spark, monkeypatch):
     monkeypatch.setattr(layout, "_intervals", missing)
     assert layout.exact_quantiles(frame, [0.25, 0.5, 1.0]) == [1249, 2499, 4999]
     assert len(slacks) == 2
+
+
+def test_compact_writes_without_a_sort_of_its_rows(spark, folder, monkeypatch):
+    target = f"{folder}/t"
+    before = many_files(spark, target)
+    writers, replace = [], tables.replace_partitions
+
+    def watched(df, *args, **more):
+        writers.append(int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")))
+        replace(df, *args, **more)
+
+    monkeypatch.setattr(tables, "replace_partitions", watched)
+    assert layout.compact(spark, target, ["p"]) == 2
+    assert len(writers) == 1 and writers[0] >= 2
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    assert sorted(spark.read.parquet(target).collect()) == before
