@@ -181,7 +181,7 @@ def _record_scan(spark, files, lake: Lake, run_id: str, expected: DataFrame) ->
     changes = manifest.detect_changes(hashed, known).withColumn("run_id", F.lit(run_id))
     tables.replace_partitions(changes, lake.scans, ["run_id"])
     if not tables.exists(spark, lake.scans):
-        return spark.createDataFrame([], changes.schema)
+        return tables.empty(spark, changes.schema)
     scans = spark.read.schema(changes.schema).parquet(lake.scans)
     return scans.filter(F.col("run_id") == run_id)
 
@@ -375,20 +375,20 @@ def backfilled(spark: SparkSession, lake: Lake, run_id: str) -> DataFrame:
     """symbol, batch_date and group of the partitions a backfill has completed."""
     fields = "symbol string, batch_date date, run_id string, group int"
     if not tables.exists(spark, lake.backfills):
-        return spark.createDataFrame([], fields)
+        return tables.empty(spark, fields)
     return spark.read.schema(fields).parquet(lake.backfills).filter(F.col("run_id") == run_id)
 
 
 def _bad_files(spark: SparkSession, lake: Lake, run_id: str) -> DataFrame:
     if not tables.exists(spark, lake.bad_files):
-        return spark.createDataFrame([], "path string")
+        return tables.empty(spark, "path string")
     return spark.read.parquet(lake.bad_files).filter(F.col("run_id") == run_id).select("path")
 
 
 def _stopped(spark: SparkSession, lake: Lake, run_id: str) -> DataFrame:
     """The partitions that a gate kept from being published in this run."""
     if not tables.exists(spark, lake.gates):
-        return spark.createDataFrame([], "symbol string, batch_date date")
+        return tables.empty(spark, "symbol string, batch_date date")
     fields = "symbol string, batch_date date, passed boolean, run_id string"
     verdicts = spark.read.schema(fields).parquet(lake.gates)
     return verdicts.filter((F.col("run_id") == run_id) & ~F.col("passed")).select(*PARTITION)

@@ -39,6 +39,7 @@ MISSING_CELLS = [
 ]
 
 BLOCK_BYTES = 8 << 20
+LEAST_BLOCK_BYTES = 64 << 10
 
 INTEGER = re.compile(r"[+-]?\d+")
 
@@ -230,11 +231,13 @@ def _csv_batches(archive: zipfile.ZipFile, member: zipfile.ZipInfo) -> Iterator[
         ragged.append(row.text)
         return "skip"
 
+    # A short member does not ask for a whole block.
+    block = min(BLOCK_BYTES, max(member.file_size + 1, LEAST_BLOCK_BYTES))
     with archive.open(member) as stream:
         reader = pacsv.open_csv(
             stream,
             read_options=pacsv.ReadOptions(
-                column_names=names, skip_rows=skip, block_size=BLOCK_BYTES, use_threads=False
+                column_names=names, skip_rows=skip, block_size=block, use_threads=False
             ),
             parse_options=pacsv.ParseOptions(invalid_row_handler=set_aside),
             convert_options=pacsv.ConvertOptions(

@@ -29,7 +29,7 @@ NEW, CHANGED, UNCHANGED = "new", "changed", "unchanged"
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The manifest, empty when it does not exist yet."""
     if not tables.exists(spark, path):
-        return spark.createDataFrame([], MANIFEST)
+        return tables.empty(spark, MANIFEST)
     return spark.read.schema(MANIFEST).parquet(path)
 
 

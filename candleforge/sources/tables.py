@@ -57,6 +57,12 @@ def read(
     return table
 
 
+def empty(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
+    """No rows of the schema, without the Python workers that a local list is sent through."""
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+
 def read_evolved(spark: SparkSession, target: str, newer: T.StructType) -> DataFrame:
     """The stored table with the columns of ``newer`` added and its partition types used."""
     if not is_path(target):

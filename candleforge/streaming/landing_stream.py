@@ -134,6 +134,6 @@ def stream_load(
 
 def _bad_paths(spark: SparkSession, lake: daily_load.Lake, run_id: str) -> DataFrame:
     if not tables.exists(spark, lake.bad_files):
-        return spark.createDataFrame([], "path string")
+        return tables.empty(spark, "path string")
     fields = "path string, run_id string"
     return spark.read.schema(fields).parquet(lake.bad_files).filter(F.col("run_id") == run_id).select("path")
