@@ -7,7 +7,6 @@ import sys
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candleforge.operators import silver
-from candleforge.schema import TRADE_FILE_COLUMNS
-from candleforge.sources import zip_source
+from candleforge.schema import PARTITION, TRADE_FILE_COLUMNS
+from candleforge.sources import tables, zip_source
 
 # Executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -24,6 +23,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Rows of one landed part file; ids are unique, so no part exceeds this.
 ROWS_PER_PART = 20_000
 
+# Stored zips are read by tasks of a few of these blocks.
+STORED_BLOCK_BYTES = 4 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -139,6 +141,16 @@ def landed_zips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_zips(zips: DataFrame, target: str) -> DataFrame:
+    """The zips, written once and read back, as a load reads its files several times.
+
+    Files of a day lie together, like in a landing folder.
+    """
+    stored = tables.laid_out(zips, PARTITION).write.option("parquet.block.size", STORED_BLOCK_BYTES)
+    stored.parquet(target)
+    return zips.sparkSession.read.schema(zips.schema).parquet(target)
+
+
 def landed_folder(spark: SparkSession, sf_dir: str, root: str) -> str:
     """The zips of ``landed_zips`` as files below ``root``, in folders by symbol and day."""
     write_zips(landed_zips(spark, sf_dir), root)
@@ -163,12 +175,13 @@ def write_zips(zips: DataFrame, root: str) -> None:
 
 def zipped_text(name: Column, text: Column) -> Column:
     """A zip file with one member."""
-    return F.pandas_udf(_zipped, T.BinaryType())(name, text)
+    return F.arrow_udf(_zipped, T.BinaryType())(name, text)
 
 
-def _zipped(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+def _zipped(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for names, texts in batches:
-        yield pd.Series([_zip_bytes(name, text) for name, text in zip(names, texts)])
+        zips = (_zip_bytes(name.as_py(), text.as_py()) for name, text in zip(names, texts))
+        yield pa.array(zips, pa.binary())
 
 
 def _zip_bytes(name: str, text: str) -> bytes:

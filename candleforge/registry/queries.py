@@ -486,6 +486,7 @@ def _loaded_lake(spark, sf_dir, label, gates=None, spoiled=None):
     if spoiled is not None:
         content = F.when(F.col("file_name") == spoiled, F.lit(b"no zip")).otherwise(F.col("content"))
         zips = zips.withColumn("content", content)
+    zips = adapters.stored_zips(zips, session.work_dir(spark, f"{label}-landed"))
     expected = trades(spark, sf_dir).select(*schema.PARTITION).distinct()
 
     def files(partitions):
