@@ -11,15 +11,20 @@ One tree over all points would compare everything of similar size, so there is a
 Of n shingles in a fixed order a set enters the trees of the first n - ceil(0.8 n) + 1; sets that
 link have one of these in common. The order puts shingles of many documents last (a bounded list, from
 counts over all documents; any order gives the same result), so shared passages seldom open
-a tree. Only distinct sets are joined, so copies cost nothing.
+a tree. Only distinct sets are joined, so copies cost nothing. Shingles that open the same tree, that of
+the same sets, are one tree. Near copies still share many trees, so trees are ordered, the largest first,
+and two sets are a pair of the first tree they share only: a point knows up to ``EARLIER`` trees of its
+set before this one (a pair whose first tree is not among them is only met more often).
 
-First (``ROUNDS`` times) every tree, with the sets that have it among their ``LAST``, is dealt into parts of some ``BLOCK`` points, anew in each round,
+First (``ROUNDS`` times) every tree is dealt into parts of some ``BLOCK`` points, anew in each round,
 and a part's points are held against ``PIVOTS`` of them. That grows with the points however
 large a tree is, and links most of a group of near copies. Trees whose members are then all in
 one component are done. The others are searched in full: trees of up to ``BLOCK`` points in one task,
-larger ones as leaves dealt over tasks, whose pairs are joined by their boxes. A pair met in few trees beside the size of its sets cannot link either: the shingles that open
-no tree are at most as many as the larger rest. Sets in one component are not compared again: a component is exact, while links
-within it are found only as far as they connect it. Surviving pairs are verified on their whole texts.
+larger ones as leaves dealt over tasks, whose pairs are joined by their boxes. Sets in one component are
+not compared again: a component is exact, while links within it are found only as far as they
+connect it. A pair whose trees have few shingles beside the size of its sets cannot link either: the
+shingles that open no tree are at most as many as the larger rest. Surviving pairs are verified on their
+whole texts.
 
 Shingles are 64-bit hashes within a pair (two sets of s shingles are misjudged with a chance of
 s * s / 2^64); sets are told apart by 128 bits. A text with fewer words is one shingle. Null texts and
@@ -49,7 +54,7 @@ GROUPS = 128
 LEAF = 64
 BLOCK = 2048
 ROUNDS, PIVOTS = 1, 16
-LAST = 6  # of a set's trees, those that a round looks at: its shingles there are the most common
+EARLIER = 32
 #: Shingles of many documents that are put last, at most.
 COMMON = 250_000
 
@@ -234,9 +239,12 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
 class _Tree:
     """The points of one tree, by size, in leaves."""
 
-    def __init__(self, sids: np.ndarray, comps: np.ndarray, sizes: np.ndarray, points: np.ndarray):
+    def __init__(
+        self, sids: np.ndarray, comps: np.ndarray, sizes: np.ndarray, points: np.ndarray, earlier: np.ndarray | None = None
+    ):
         order = np.lexsort((sids, sizes))
         self.sids, self.comps, self.sizes, self.points = sids[order], comps[order], sizes[order], points[order]
+        self.earlier = _trees(np.zeros(len(sids), np.int64), _NO_TREES) if earlier is None else earlier[order]
         self.starts = np.arange(0, len(order), LEAF)
         self.corners = np.maximum.reduceat(self.points, self.starts, axis=0)
 
@@ -258,33 +266,56 @@ class _Tree:
 
     def members(self, number: int) -> tuple[np.ndarray, ...]:
         at = self.leaf(number)
-        return self.sids[at], self.comps[at], self.sizes[at], self.points[at]
+        return self.sids[at], self.comps[at], self.sizes[at], self.points[at], self.earlier[at]
+
+
+_NO_TREES = np.empty(0, np.int64)
+
+
+def _trees(lengths: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """Lists of trees as rows of ``EARLIER`` numbers, filled up with -1."""
+    rows = np.full((len(lengths), EARLIER), -1, np.int64)
+    rows[np.arange(EARLIER) < lengths[:, None]] = flat
+    return rows
+
+
+def _met_earlier(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the rows of a and b, side by side, have a tree in common."""
+    met = np.zeros(len(a), bool)
+    for low in range(0, len(a), 2048):
+        x, y = a[low : low + 2048], b[low : low + 2048]
+        for k in range(EARLIER):
+            met[low : low + 2048] |= ((y == x[:, k : k + 1]) & (y >= 0)).any(axis=1)
+    return met
 
 
 def _leaf_pairs(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...], same: bool) -> np.ndarray:
-    """(u, v, size of u, size of v) rows between the points of two leaves, or within one."""
+    """(u, v, size of u, size of v) rows between the points of two leaves, or within one, but for pairs of
+    an earlier tree."""
     shared = np.minimum(a[3][:, None, :], b[3][None, :, :]).sum(axis=2, dtype=np.int64)
     room = may_link(shared, a[2][:, None], b[2][None, :]) & (a[1][:, None] != b[1][None, :])
     if same:
         room = np.triu(room, 1)
     i, j = np.nonzero(room)
+    new = ~_met_earlier(a[4][i], b[4][j])
+    i, j = i[new], j[new]
     swap = a[0][i] > b[0][j]
     u, v = (np.where(swap, y, x) for x, y in ((a[0][i], b[0][j]), (b[0][j], a[0][i])))
     n_u, n_v = (np.where(swap, y, x) for x, y in ((a[2][i], b[2][j]), (b[2][j], a[2][i])))
     return np.stack([u, v, n_u, n_v], axis=1)
 
 
-_PAIRS = 1_000_000  # pairs a task collects before it hands them out, each with its count
+_PAIRS = 1_000_000  # pairs a task collects before it hands them out
 
 _FOUND = (
-    "u long, v long, n_u long, n_v long, met long, key long, leaf long, corner array<int>, least long, most long, "
-    "one_comp long, sids binary, comps binary, sizes binary, points binary"
+    "u long, v long, key long, leaf long, corner array<int>, least long, most long, "
+    "one_comp long, sids binary, comps binary, sizes binary, points binary, earlier binary"
 )
 _FOUND_TYPES = {
-    "u": pa.int64(), "v": pa.int64(), "n_u": pa.int64(), "n_v": pa.int64(), "met": pa.int64(),
-    "key": pa.int64(), "leaf": pa.int64(),
+    "u": pa.int64(), "v": pa.int64(), "key": pa.int64(), "leaf": pa.int64(),
     "corner": pa.list_(pa.int32()), "least": pa.int64(), "most": pa.int64(), "one_comp": pa.int64(),
     "sids": pa.binary(), "comps": pa.binary(), "sizes": pa.binary(), "points": pa.binary(),
+    "earlier": pa.binary(),
 }
 
 
@@ -320,6 +351,8 @@ def _searching(pivots: int | None, seed: int = 0):
         for batch in batches:
             columns = [batch.column(c).to_numpy() for c in ("key", "salt", "parts", "sid", "comp", "n")]
             points = _points(batch.column("point"))
+            listed = batch.column("earlier")
+            earlier = _trees(listed.value_lengths().to_numpy(), listed.flatten().to_numpy())
             edges = np.flatnonzero((np.diff(columns[0]) != 0) | (np.diff(columns[1]) != 0)) + 1
             bounds = [0, *edges.tolist(), batch.num_rows]
             for low, high in zip(bounds, bounds[1:]):
@@ -330,7 +363,7 @@ def _searching(pivots: int | None, seed: int = 0):
                     number = yield from finished(open_key, parts, met, number)
                     parts = []
                 open_key = key
-                parts.append([*(c[low:high] for c in columns[3:]), points[low:high]])
+                parts.append([*(c[low:high] for c in columns[3:]), points[low:high], earlier[low:high]])
             if sum(map(len, met)) >= _PAIRS:
                 yield _pair_rows(met)
                 met = []
@@ -343,32 +376,29 @@ def _searching(pivots: int | None, seed: int = 0):
 
 
 def _leaf(tree: _Tree, n: int, key: int, number: int) -> dict:
-    sids, comps, sizes, points = tree.members(n)
+    sids, comps, sizes, points, earlier = tree.members(n)
     return {
         "key": key, "leaf": number, "corner": tree.corners[n].tolist(),
         "least": int(sizes[0]), "most": int(sizes[-1]),
         "one_comp": int(comps[0]) if (comps == comps[0]).all() else None,
         "sids": sids.tobytes(), "comps": comps.tobytes(), "sizes": sizes.tobytes(),
-        "points": points.tobytes(),
+        "points": points.tobytes(), "earlier": earlier.tobytes(),
     }
 
 
 def _pair_rows(met: list[np.ndarray]) -> pa.RecordBatch:
-    """Pairs, and in how many trees of the batch each was met."""
-    rows = np.concatenate(met)
-    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-    firsts = np.flatnonzero((np.diff(rows[:, :2], axis=0, prepend=-1) != 0).any(axis=1))
-    columns = [*rows[firsts].T, np.diff(firsts, append=len(rows))]
+    """The distinct pairs of a batch."""
+    rows = np.unique(np.concatenate(met)[:, :2], axis=0)
     return pa.record_batch(
         {
-            name: pa.array(columns[n]) if n < len(columns) else pa.nulls(len(firsts), kind)
+            name: pa.array(rows[:, n]) if n < 2 else pa.nulls(len(rows), kind)
             for n, (name, kind) in enumerate(_FOUND_TYPES.items())
         }
     )
 
 
 def _across(leaves: DataFrame) -> DataFrame:
-    """Pairs (u, v, n_u, n_v, met) between the leaves of large trees, joined by their boxes."""
+    """Pairs (u, v) between the leaves of large trees, joined by their boxes."""
     boxes = ("leaf", "corner", "least", "most", "one_comp")
     a = leaves.select("key", *[F.col(c).alias(f"a_{c}") for c in boxes])
     b = leaves.select("key", *[F.col(c).alias(f"b_{c}") for c in boxes])
@@ -384,36 +414,76 @@ def _across(leaves: DataFrame) -> DataFrame:
         lambda total, x: total + x,
     )
     near = near.filter(may_link(top, F.col("a_least"), F.col("b_least"))).select("a_leaf", "b_leaf")
-    points = ("sids", "comps", "sizes", "points")
+    points = ("sids", "comps", "sizes", "points", "earlier")
     for side in ("a", "b"):
         own = leaves.select(F.col("leaf").alias(f"{side}_leaf"), *[F.col(c).alias(f"{side}_{c}") for c in points])
         near = near.join(own, f"{side}_leaf")
 
     def members(row: dict, side: str) -> tuple[np.ndarray, ...]:
         sids, comps, sizes = (np.frombuffer(row[f"{side}_{c}"], np.int64) for c in points[:3])
-        return sids, comps, sizes, np.frombuffer(row[f"{side}_points"], _COUNT).reshape(-1, GROUPS)
+        own = np.frombuffer(row[f"{side}_points"], _COUNT).reshape(-1, GROUPS)
+        earlier = np.frombuffer(row[f"{side}_earlier"], np.int64).reshape(len(sids), -1)
+        return sids, comps, sizes, own, earlier
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "a_points"):
             for row in batch.to_pylist():
                 found = _leaf_pairs(members(row, "a"), members(row, "b"), row["a_leaf"] == row["b_leaf"])
-                columns = [*found.T, np.ones(len(found), np.int64)]
-                yield pa.record_batch([pa.array(c) for c in columns], names=_PAIR)
+                yield pa.record_batch([pa.array(c) for c in found[:, :2].T], names=["u", "v"])
+
+    return near.mapInArrow(run, "u long, v long")
+
+
+def _shared_trees(sets: DataFrame) -> DataFrame:
+    """sid, n, keys and weights of the trees that each set shares with others, the largest tree first. The key
+    is a tree's number, its weight the shingles that open it."""
+    keyed = sets.select("sid", "n", F.explode("keys").alias("shingle"))
+    members = (F.bit_xor(F.xxhash64("sid", F.lit(k))).alias(f"members_{k}") for k in range(2))
+    opened = keyed.groupBy("shingle").agg(
+        F.min("sid").alias("low"), F.max("sid").alias("high"), F.count("*").alias("size"), *members
+    )
+    same = opened.filter("low < high").groupBy("low", "high", "size", "members_0", "members_1")
+    trees = same.agg(F.min("shingle").alias("shingle"), F.count("*").alias("weight"))
+    trees = trees.select(F.monotonically_increasing_id().alias("key"), "shingle", "size", "weight")
+    points = keyed.join(stored(trees, "trees"), "shingle")
+    own = F.sort_array(F.collect_list(F.struct((-F.col("size")).alias("place"), "key", "weight")))
+    lists = points.groupBy("sid", "n").agg(own.alias("own"))
+    return lists.select("sid", "n", F.col("own.key").alias("keys"), F.col("own.weight").alias("weights"))
+
+
+def _tree_points(shared: DataFrame) -> DataFrame:
+    """key, sid and earlier trees of the points of all shared trees."""
+    placed = shared.select("sid", "keys", F.posexplode("keys").alias("place", "key"))
+    return placed.select("key", "sid", F.slice("keys", 1, F.least("place", F.lit(EARLIER))).alias("earlier"))
 
-    return near.mapInArrow(run, ", ".join(f"{c} long" for c in _PAIR))
 
+def _with_room(pairs: DataFrame, shared: DataFrame) -> DataFrame:
+    """The (u, v) pairs whose trees leave room for a link."""
+    for side in ("u", "v"):
+        own = F.map_from_arrays("keys", "weights").alias(f"trees_{side}")
+        pairs = pairs.join(shared.select(F.col("sid").alias(side), F.col("n").alias(f"n_{side}"), own), side)
+    both = F.map_zip_with(
+        "trees_u", "trees_v", lambda _, a, b: F.when(a.isNotNull() & b.isNotNull(), a).otherwise(F.lit(0))
+    )
+    met = F.aggregate(F.map_values(both), F.lit(0).cast("long"), lambda total, x: total + x)
+    # Of two sets, all shared shingles up to the end of the shorter prefix open trees of both.
+    rest = F.greatest(*[F.col(n) - _prefix_size(F.col(n)) for n in ("n_u", "n_v")])
+    return pairs.filter(may_link(met + rest, F.col("n_u"), F.col("n_v"))).select("u", "v")
 
-_PAIR = ["u", "v", "n_u", "n_v", "met"]
+
+def _prefix_size(n: Column) -> Column:
+    return n - F.call_function("div", NUMERATOR * n + (DENOMINATOR - 1), F.lit(DENOMINATOR)) + 1
 
 
 def _dealt(shared: DataFrame, sets: DataFrame, links: DataFrame | None, seed: int) -> DataFrame:
     """The points of all trees that are in several components, dealt by key and salt."""
-    members = shared.select("key", "sid")
+    members = _tree_points(shared)
     if links is None:
         members = members.withColumn("comp", F.col("sid"))
     else:
         mates = smallest_mates(links).select(F.col("u").alias("sid"), F.col("v").alias("root"))
-        members = members.join(mates, "sid", "left").select("key", "sid", F.coalesce("root", "sid").alias("comp"))
+        own = F.coalesce("root", "sid").alias("comp")
+        members = members.join(mates, "sid", "left").select("key", "sid", "earlier", own)
     trees = members.groupBy("key").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")
     )
@@ -421,44 +491,32 @@ def _dealt(shared: DataFrame, sets: DataFrame, links: DataFrame | None, seed: in
     rows = members.join(trees, "key").join(sets.select("sid", "n", "point"), "sid")
     dealt = rows.withColumn("salt", F.pmod(F.xxhash64("sid", F.lit(seed)), F.col("parts")))
     ordered = dealt.repartition("key", "salt").sortWithinPartitions("key", "salt")
-    return ordered.select("key", "salt", "parts", "sid", "comp", "n", "point")
+    return ordered.select("key", "salt", "parts", "sid", "comp", "n", "point", "earlier")
 
 
 def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
     """(u, v) links between distinct sets that connect all linked ones."""
-    keyed = sets.select("sid", F.size("keys").alias("trees"), F.posexplode("keys").alias("place", "key"))
-    keyed = keyed.select("sid", "key", (F.col("trees") - F.col("place") <= LAST).alias("last"))
-    ends = keyed.groupBy("key").agg(F.min("sid").alias("low"), F.max("sid").alias("high"))
-    shared = stored(keyed.join(ends.filter("low < high").select("key"), "key"), "trees")
+    shared = stored(_shared_trees(sets), "shared")
 
     found, tried = None, None
     for seed in range(ROUNDS):
-        near = _dealt(shared.filter("last"), sets, found, seed).mapInArrow(_searching(PIVOTS, seed), _FOUND)
+        near = _dealt(shared, sets, found, seed).mapInArrow(_searching(PIVOTS, seed), _FOUND)
         new = near.select("u", "v").distinct()
         if tried is not None:
             new = new.join(tried, ["u", "v"], "left_anti")
-        new = stored(new, "tried")
+        new = stored(_with_room(new, shared), "tried")
         tried = new if tried is None else tried.unionByName(new)
         linked_now = stored(verified(new, sets, docs), "round-links")
         found = linked_now if found is None else found.unionByName(linked_now)
 
     searched = _dealt(shared, sets, found, ROUNDS).mapInArrow(_searching(None), _FOUND)
     searched = stored(searched, "searched")
-    pairs = searched.filter("u is not null").select(*_PAIR).unionByName(
-        _across(searched.filter("leaf is not null"))
-    )
-    pairs = pairs.groupBy("u", "v", "n_u", "n_v").agg(F.sum("met").alias("met"))
-    # Of two sets, all shared shingles up to the end of the shorter prefix were met in trees.
-    rest = F.greatest(*[F.col(n) - _prefix_size(F.col(n)) for n in ("n_u", "n_v")])
-    pairs = pairs.filter(may_link(F.col("met") + rest, F.col("n_u"), F.col("n_v"))).select("u", "v")
-    last = stored(pairs.join(tried, ["u", "v"], "left_anti"), "pairs")
+    pairs = searched.filter("u is not null").select("u", "v")
+    pairs = pairs.unionByName(_across(searched.filter("leaf is not null"))).distinct()
+    last = stored(_with_room(pairs.join(tried, ["u", "v"], "left_anti"), shared), "pairs")
     return found.unionByName(stored(verified(last, sets, docs), "last-links"))
 
 
-def _prefix_size(n: Column) -> Column:
-    return n - F.call_function("div", NUMERATOR * n + (DENOMINATOR - 1), F.lit(DENOMINATOR)) + 1
-
-
 def _named(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and mark (null for the empty set) of each row."""
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -92,6 +92,77 @@ def test_large_trees_are_joined_by_their_leaves(spark, monkeypatch):
     assert joined(spark, docs) == plain(docs)
 
 
+def counted(monkeypatch, label):
+    """(rows, distinct rows) of pairs that were stored under a label, filled as the join runs."""
+    seen, write = [], jaccard_join.stored
+
+    def watched(df, name):
+        out = write(df, name)
+        if name == label:
+            pairs = out.filter("u is not null").select("u", "v")
+            seen.append((pairs.count(), pairs.distinct().count()))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", watched)
+    return seen
+
+
+def shared_most(count, spots):
+    """Texts that share most words, too few to link, in a group that no round merges."""
+    made = random.Random(4)
+    base = [f"b{n}" for n in range(1200)]
+    docs = []
+    for n in range(count):
+        own = list(base)
+        for spot in made.sample(range(len(own)), spots):
+            own[spot] = f"o{n}x{spot}"
+        docs.append((n, " ".join(own)))
+    return docs
+
+
+def test_a_pair_is_met_in_one_tree_only(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PIVOTS", 0)
+    seen = counted(monkeypatch, "searched")
+    docs = shared_most(30, 21)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 16)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert joined(spark, docs) == plain(docs)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    ((rows, distinct),) = seen
+    assert rows == distinct > 300
+
+
+@pytest.mark.parametrize("block", [2, 2048])
+@pytest.mark.parametrize("earlier", [1, 3])
+def test_few_earlier_trees_lose_no_pair(spark, monkeypatch, earlier, block):
+    monkeypatch.setattr(jaccard_join, "EARLIER", earlier)
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "PIVOTS", 1)
+    docs = varied(3, 8) + [(n + 10**7, text) for n, text in shared_most(8, 12)]
+    assert joined(spark, docs) == plain(docs)
+
+
+def test_shingles_of_the_same_sets_are_one_tree(spark):
+    words = [f"v{n}" for n in range(300)]
+    docs = [(n, " ".join([*words, f"end{n}"])) for n in range(3)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    lists = jaccard_join._shared_trees(jaccard_join.distinct_sets(frame).localCheckpoint()).collect()
+    assert len(lists) == 3 and len({tuple(own["keys"]) for own in lists}) == 1
+    # Of 297 shingles the first 60 open trees; one of them, the rarest, is in no other set.
+    assert {tuple(own.weights) for own in lists} == {(59,)}
+
+
+def test_pairs_of_an_earlier_tree():
+    rows = jaccard_join._trees(np.array([2, 0, 1, 1]), np.array([5, 7, 7, 0]))
+    a, b = np.indices((4, 4)).reshape(2, -1)
+    met = jaccard_join._met_earlier(rows[a], rows[b]).reshape(4, 4)
+    assert met.tolist() == [[True, False, True, False], [False] * 4, [True, False, True, False], [False] * 3 + [True]]
+
+
 EDGES = [
     (1, None), (2, ""), (3, " \n\t"), (4, "Two words"), (5, "two WORDS"), (6, "two words more"),
     (7, "a b c d e"), (7, "A b c d e"), (None, "a b c d e"), (None, None), (8, "x\xa0y z"), (9, "x\xa0y z"),
