@@ -16,7 +16,7 @@ the same sets, are one tree. Near copies still share many trees, so trees are or
 and two sets are a pair of the first tree they share only: a point knows up to ``EARLIER`` trees of its
 set before this one (a pair whose first tree is not among them is only met more often).
 
-First (``ROUNDS`` times) every tree is dealt into parts of some ``BLOCK`` points, anew in each round,
+First (``ROUNDS`` times) every tree, with the sets that have it among their ``FIRST``, is dealt into parts of some ``BLOCK`` points, anew in each round,
 and a part's points are held against ``PIVOTS`` of them. That grows with the points however
 large a tree is, and links most of a group of near copies. Trees whose members are then all in
 one component are done. The others are searched in full: trees of up to ``BLOCK`` points in one task,
@@ -55,6 +55,7 @@ LEAF = 64
 BLOCK = 2048
 ROUNDS, PIVOTS = 1, 16
 EARLIER = 32
+FIRST = 6  # of a set's trees, those that a round looks at: the largest
 #: Shingles of many documents that are put last, at most.
 COMMON = 250_000
 
@@ -497,10 +498,11 @@ def _dealt(shared: DataFrame, sets: DataFrame, links: DataFrame | None, seed: in
 def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
     """(u, v) links between distinct sets that connect all linked ones."""
     shared = stored(_shared_trees(sets), "shared")
+    first = shared.withColumns({c: F.slice(c, 1, FIRST) for c in ("keys", "weights")})
 
     found, tried = None, None
     for seed in range(ROUNDS):
-        near = _dealt(shared, sets, found, seed).mapInArrow(_searching(PIVOTS, seed), _FOUND)
+        near = _dealt(first, sets, found, seed).mapInArrow(_searching(PIVOTS, seed), _FOUND)
         new = near.select("u", "v").distinct()
         if tried is not None:
             new = new.join(tried, ["u", "v"], "left_anti")
